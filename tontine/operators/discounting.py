@@ -7,7 +7,7 @@ equi-join on (shift, month) that also fans the rows out to every curve version (
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tontine.functions import discounting as D
@@ -42,15 +42,15 @@ def curve_bracket(grid: DataFrame, curve: DataFrame, params: ValuationParams) ->
 def discount_factor_table(curve: DataFrame, scenario: DataFrame, params: ValuationParams) -> DataFrame:
     """(version_id, discount_shift_bps, discount_month) -> interpolated rate and DF.
 
-    Grid = every curve version x every scenario shift x months 0 .. horizon+1, where horizon is
-    the largest curve tenor; any later month has no upper tenor, so its DF is NULL (T8).
+    Grid = every curve version x every scenario shift x months 0 .. horizon+2, where horizon is
+    the largest curve tenor; any month after horizon has no upper tenor, so its DF is NULL (T8).
     Size = versions x shifts x (horizon + 2): it grows with the assumption tables, never with
     the portfolio.
     """
     horizon = curve_horizon(curve)
     shifts = scenario.agg(F.collect_set("discount_shift_bps")).scalar()
     grid = (curve.select("version_id").distinct()
-            .select("version_id", F.explode(F.sequence(F.lit(0), (horizon + 1).cast("int"))).alias("discount_month"))
+            .select("version_id", F.explode(F.sequence(F.lit(0), (horizon + 2).cast("int"))).alias("discount_month"))
             .select("version_id", "discount_month", F.explode(shifts).alias("discount_shift_bps")))
     b = curve_bracket(grid, curve, params)
     dm = F.col("discount_month")
@@ -71,3 +71,15 @@ def discounted_cashflows(cashflows: DataFrame, curve: DataFrame, scenario: DataF
           .withColumn("dm_key", F.least(dm, (curve_horizon(curve) + 1).cast("int"))))
     return (cf.join(bounded_broadcast(dft, params.broadcast_max_rows), ["discount_shift_bps", "dm_key"], "inner")
             .withColumn("discounted_cashflow", F.col("cashflow_amount") * F.col("discount_factor")))
+
+
+def discount_pair_table(curve: DataFrame, scenario: DataFrame, params: ValuationParams) -> DataFrame:
+    """(version_id, discount_shift_bps, month m >= 1) -> DF(m) and DF(m-1): the discount
+    factors of a month-end and of a month-start cash flow of projection month m. Months
+    after horizon+2 read the row of horizon+2, whose factors are both NULL."""
+    t = discount_factor_table(curve, scenario, params)
+    w = Window.partitionBy("version_id", "discount_shift_bps").orderBy("discount_month")
+    return (t.select("version_id", "discount_shift_bps", F.col("discount_month").alias("projection_month"),
+                     F.col("discount_factor").alias("df_end"),
+                     F.lag("discount_factor").over(w).alias("df_start"))
+            .filter(F.col("projection_month") >= 1))

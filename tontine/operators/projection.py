@@ -21,14 +21,17 @@ FRAME_COLUMNS = [
     "duration_year", "attained_age", "valuation_date", "calendar_month_start", "calendar_month_end"]
 
 
-def cohort_x_scenario(policy: DataFrame, scenario: DataFrame, params: ValuationParams) -> DataFrame:
+SCENARIO_DIM = ["scenario_id", "mortality_multiplier", "lapse_multiplier", "discount_shift_bps", "scenario_group"]
+
+
+def cohort_x_scenario(policy: DataFrame, scenario: DataFrame, params: ValuationParams,
+                      dim_columns: Sequence[str] = SCENARIO_DIM) -> DataFrame:
     """Every model point under every scenario (scenario table size-checked, broadcast)."""
-    sc = scenario.select("scenario_id", "mortality_multiplier", "lapse_multiplier", "discount_shift_bps",
-                         "scenario_group")
-    return fan_out(policy, sc, params.dimension_max_rows, "scenario table")
+    return fan_out(policy, scenario.select(*dim_columns), params.dimension_max_rows, "scenario table")
 
 
-def projection_frame(policy: DataFrame, scenario: DataFrame, params: ValuationParams) -> DataFrame:
+def projection_frame(policy: DataFrame, scenario: DataFrame, params: ValuationParams,
+                     dim_columns: Sequence[str] = SCENARIO_DIM) -> DataFrame:
     """One row per model point x scenario x remaining month.
 
     Matured contracts (remaining <= 0) are dropped before ``sequence`` (trap T3: Spark's
@@ -36,7 +39,7 @@ def projection_frame(policy: DataFrame, scenario: DataFrame, params: ValuationPa
     of one model point stay in the partition of their parent row.
     """
     live = policy.filter(F.col("remaining_term_years") > 0)
-    base = cohort_x_scenario(live, scenario, params)
+    base = cohort_x_scenario(live, scenario, params, dim_columns)
     m = F.col("projection_month")
     vd = F.lit(params.valuation_date if isinstance(params.valuation_date, _dt.date)
                else _dt.date.fromisoformat(str(params.valuation_date)))
