@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tontine.operators.joins import bounded_broadcast
 from tontine.params import ValuationParams
 
 CASHFLOW_COLUMNS = ["cohort_id", "sex", "scenario_id", "mort_version_id", "projection_month",
@@ -18,17 +17,12 @@ def expense_rate(expense: DataFrame, params: ValuationParams):
     return expense.filter(F.col("expense_type") == params.expense_type).select("expense_rate").scalar()
 
 
-def with_premium(inforce: DataFrame, premium: DataFrame, params: ValuationParams) -> DataFrame:
-    """INNER attach of the gross premium on (cohort_id, sex); monthly = annual / 12."""
-    p = premium.select("cohort_id", "sex", (F.col("annual_gross_premium") / F.lit(12.0)).alias("monthly_premium"))
-    return inforce.join(bounded_broadcast(p, params.broadcast_max_rows), ["cohort_id", "sex"], "inner")
-
-
-def cashflow_lines(inforce: DataFrame, premium: DataFrame, expense: DataFrame, params: ValuationParams,
+def cashflow_lines(inforce: DataFrame, expense: DataFrame, params: ValuationParams,
                    carry: tuple[str, ...] = ("discount_shift_bps",)) -> DataFrame:
-    """Three lines per in-force row in one pass (``inline`` of a 3-element array, so
-    the upstream window runs once instead of once per UNION ALL branch)."""
-    mp = with_premium(inforce, premium, params)
+    """F1-F6 on in-force rows that carry ``monthly_premium`` (attached at model-point grain by
+    ``projection.with_premium``): three lines per row in one pass (``inline`` of a 3-element
+    array, so the upstream window runs once instead of once per UNION ALL branch)."""
+    mp = inforce.filter(F.col("monthly_premium").isNotNull())
     o, prem = F.col("inforce_open"), F.col("monthly_premium")
     rate = expense_rate(expense, params)
 

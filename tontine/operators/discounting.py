@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tontine.functions import discounting as D
-from tontine.operators.joins import bounded_broadcast
+from tontine.operators.joins import bounded_broadcast, plan_key
 from tontine.params import ValuationParams
 
 DISCOUNTED_COLUMNS = ["cohort_id", "sex", "scenario_id", "mort_version_id", "projection_month", "cashflow_type",
@@ -69,7 +69,8 @@ def discounted_cashflows(cashflows: DataFrame, curve: DataFrame, scenario: DataF
     dm = D.discount_month(F.col("projection_month"), F.col("cashflow_timing"))
     cf = (cashflows.withColumn("discount_month", dm)
           .withColumn("dm_key", F.least(dm, (curve_horizon(curve) + 1).cast("int"))))
-    return (cf.join(bounded_broadcast(dft, params.broadcast_max_rows), ["discount_shift_bps", "dm_key"], "inner")
+    small = bounded_broadcast(dft, params.broadcast_max_rows, key=("dft",) + plan_key(curve, scenario))
+    return (cf.join(small, ["discount_shift_bps", "dm_key"], "inner")
             .withColumn("discounted_cashflow", F.col("cashflow_amount") * F.col("discount_factor")))
 
 

@@ -2,7 +2,8 @@
 
 Assumption/dimension tables are broadcast only after a row count proves them small; above the
 bound the plain DataFrame is returned and Spark plans a shuffle join (AQE may still convert it
-at run time from measured stage sizes, and splits skewed partitions).
+at run time from measured stage sizes, and splits skewed partitions). Counts are memoized per
+semantically equal plan, so a table is counted once per session however often it is joined.
 """
 
 from __future__ import annotations
@@ -10,22 +11,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_COUNTS: dict[int, list[tuple[DataFrame, int]]] = {}
+
 
 class DimensionTooLarge(ValueError):
     pass
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+_KEYED: dict[tuple, int] = {}
+
+
+def row_count_upto(df: DataFrame, limit: int, key: tuple | None = None) -> int:
+    """min(count(df), limit + 1), memoized per session by semantic plan equality, or by
+    ``key`` (e.g. an operator name plus the semantic hashes of its inputs) for plans whose own
+    hash is not stable (scalar subqueries)."""
+    if key is not None:
+        k = (id(df.sparkSession), key, limit)
+        if k not in _KEYED:
+            _KEYED[k] = df.limit(limit + 1).count()
+        return _KEYED[k]
+    h = df.semanticHash()
+    for other, n in _COUNTS.get(h, []):
+        if other.sparkSession is df.sparkSession and other.sameSemantics(df):
+            return min(n, limit + 1)
+    n = df.limit(limit + 1).count()
+    _COUNTS.setdefault(h, []).append((df, n))
+    return n
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int, key: tuple | None = None) -> DataFrame:
     """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` (shuffle join)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if row_count_upto(df, max_rows, key) <= max_rows else df
+
+
+def plan_key(*dfs: DataFrame) -> tuple:
+    return tuple(d.semanticHash() for d in dfs)
 
 
 def fan_out(df: DataFrame, dim: DataFrame, max_rows: int, what: str = "dimension") -> DataFrame:
     """Attach every row of a small dimension table (scenarios, curve versions) to every row of
     ``df``: output size is |df| x |dim| with |dim| checked, i.e. linear in the data, and
     executed as a broadcast nested-loop join with no shuffle of ``df``."""
-    n = dim.limit(max_rows + 1).count()
-    if n > max_rows:
+    if row_count_upto(dim, max_rows) > max_rows:
         raise DimensionTooLarge(f"{what} has more than {max_rows} rows; refusing to fan out")
     return df.crossJoin(F.broadcast(dim))

@@ -40,20 +40,19 @@ def projection_frame(policy: DataFrame, scenario: DataFrame, params: ValuationPa
     """
     live = policy.filter(F.col("remaining_term_years") > 0)
     base = cohort_x_scenario(live, scenario, params, dim_columns)
-    m = F.col("projection_month")
     vd = F.lit(params.valuation_date if isinstance(params.valuation_date, _dt.date)
                else _dt.date.fromisoformat(str(params.valuation_date)))
     elapsed = F.col("elapsed_duration_years")
-    return (base
-            .withColumn("remaining_months", F.col("remaining_term_years") * 12)
-            .withColumn("projection_month",
-                        F.explode(F.sequence(F.lit(1), F.col("remaining_months").cast("int"))))
-            .withColumn("policy_month", elapsed * 12 + m)
-            .withColumn("duration_year", F.ceil((elapsed * 12 + m) / F.lit(12.0)).cast("int"))
-            .withColumn("attained_age", F.col("issue_age") + elapsed + F.floor((m - 1) / F.lit(12)).cast("int"))
-            .withColumn("valuation_date", vd)
-            .withColumn("calendar_month_start", F.add_months(vd, m - 1))
-            .withColumn("calendar_month_end", F.add_months(vd, m)))
+    rem = F.col("remaining_term_years") * 12
+    months = base.drop("attained_age").select("*", rem.alias("remaining_months"),
+                         F.explode(F.sequence(F.lit(1), rem.cast("int"))).alias("projection_month"))
+    m = F.col("projection_month")
+    return months.select(
+        "*", (elapsed * 12 + m).alias("policy_month"),
+        F.ceil((elapsed * 12 + m) / F.lit(12.0)).cast("int").alias("duration_year"),
+        (F.col("issue_age") + elapsed + F.floor((m - 1) / F.lit(12)).cast("int")).alias("attained_age"),
+        vd.alias("valuation_date"), F.add_months(vd, m - 1).alias("calendar_month_start"),
+        F.add_months(vd, m).alias("calendar_month_end"))
 
 
 def _mortality_side(mortality: DataFrame, params: ValuationParams) -> DataFrame:
@@ -67,22 +66,29 @@ def _lapse_side(lapse: DataFrame, params: ValuationParams) -> DataFrame:
     return bounded_broadcast(lp, params.broadcast_max_rows)
 
 
+def with_premium(frame_or_policy: DataFrame, premium: DataFrame) -> DataFrame:
+    """F1 at model-point grain: LEFT attach of the monthly gross premium on (cohort_id, sex)
+    before the month fan-out (a model point x model point join; the projected rows never
+    join it). Rows without a premium keep NULL and emit no cash flows (inner-join semantics
+    of the reference's premium attach)."""
+    p = premium.select("cohort_id", "sex", (F.col("annual_gross_premium") / F.lit(12.0)).alias("monthly_premium"))
+    return frame_or_policy.join(p, ["cohort_id", "sex"], "left")
+
+
 def with_mortality(frame: DataFrame, mortality: DataFrame, params: ValuationParams) -> DataFrame:
     """INNER lookup on (attained_age, sex), fanning out by mortality version."""
     e = params.monthly_exponent
-    return (frame.join(_mortality_side(mortality, params), ["attained_age", "sex"], "inner")
-            .withColumn("base_qx_monthly", monthly_from_annual(F.col("base_qx_annual"), e))
-            .withColumn("scenario_qx_monthly",
-                        stressed_monthly(F.col("base_qx_annual"), F.col("mortality_multiplier"), e)))
+    return frame.join(_mortality_side(mortality, params), ["attained_age", "sex"], "inner").select(
+        "*", monthly_from_annual(F.col("base_qx_annual"), e).alias("base_qx_monthly"),
+        stressed_monthly(F.col("base_qx_annual"), F.col("mortality_multiplier"), e).alias("scenario_qx_monthly"))
 
 
 def with_lapse(frame: DataFrame, lapse: DataFrame, params: ValuationParams) -> DataFrame:
     """LEFT lookup on duration_year (a missing duration gives rate 0, trap T4)."""
     e = params.monthly_exponent
-    return (frame.join(_lapse_side(lapse, params), ["duration_year"], "left")
-            .withColumn("base_lapse_monthly", monthly_from_annual(F.col("base_lapse_annual"), e))
-            .withColumn("scenario_lapse_monthly",
-                        stressed_monthly(F.col("base_lapse_annual"), F.col("lapse_multiplier"), e)))
+    return frame.join(_lapse_side(lapse, params), ["duration_year"], "left").select(
+        "*", monthly_from_annual(F.col("base_lapse_annual"), e).alias("base_lapse_monthly"),
+        stressed_monthly(F.col("base_lapse_annual"), F.col("lapse_multiplier"), e).alias("scenario_lapse_monthly"))
 
 
 def mortality_rates(frame: DataFrame, mortality: DataFrame, params: ValuationParams) -> DataFrame:
@@ -109,14 +115,13 @@ def rollforward(rated: DataFrame, keys: Sequence[str] = CHAIN_KEYS) -> DataFrame
     w = (Window.partitionBy(*keys).orderBy("projection_month")
          .rowsBetween(Window.unboundedPreceding, -1))
     surv = (F.lit(1.0) - qx) * (F.lit(1.0) - lx)
-    opened = rated.withColumn(
-        "inforce_open", F.col("policy_count") * F.coalesce(F.product(surv).over(w), F.lit(1.0)))
+    opened = rated.select(
+        "*", (F.col("policy_count") * F.coalesce(F.product(surv).over(w), F.lit(1.0))).alias("inforce_open"))
     o = F.col("inforce_open")
-    return (opened
-            .withColumn("expected_deaths", o * qx)
-            .withColumn("post_death_inforce", o * (F.lit(1.0) - qx))
-            .withColumn("expected_lapses", o * (F.lit(1.0) - qx) * lx)
-            .withColumn("inforce_close", o * (F.lit(1.0) - qx) * (F.lit(1.0) - lx)))
+    return opened.select(
+        "*", (o * qx).alias("expected_deaths"), (o * (F.lit(1.0) - qx)).alias("post_death_inforce"),
+        (o * (F.lit(1.0) - qx) * lx).alias("expected_lapses"),
+        (o * (F.lit(1.0) - qx) * (F.lit(1.0) - lx)).alias("inforce_close"))
 
 
 def inforce_wide(frame: DataFrame, mortality: DataFrame, lapse: DataFrame, params: ValuationParams) -> DataFrame:

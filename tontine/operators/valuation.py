@@ -34,11 +34,11 @@ def bel_wide(discounted: DataFrame, carry: Sequence[str] = BEL_CARRY) -> DataFra
     functionally dependent on the model point (policy_count, issue_age, ...) are carried as
     grouping columns, replacing the reference's joins back to the frame.
     """
-    return (discounted.groupBy(*BEL_KEYS, *carry)
-            .agg(_pv("premium").alias("premium_pv"), _pv("death_benefit").alias("benefit_pv"),
-                 _pv("expense").alias("expense_pv"))
-            .withColumn("bel_amount", F.col("benefit_pv") + F.col("expense_pv") + F.col("premium_pv"))
-            .withColumn("bel_per_policy", safe_ratio(F.col("bel_amount"), F.col("policy_count"))))
+    g = (discounted.groupBy(*BEL_KEYS, *carry)
+         .agg(_pv("premium").alias("premium_pv"), _pv("death_benefit").alias("benefit_pv"),
+              _pv("expense").alias("expense_pv")))
+    bel = F.col("benefit_pv") + F.col("expense_pv") + F.col("premium_pv")
+    return g.select("*", bel.alias("bel_amount"), safe_ratio(bel, F.col("policy_count")).alias("bel_per_policy"))
 
 
 def bel_components(wide: DataFrame) -> DataFrame:
@@ -56,13 +56,13 @@ def mart_sensitivity(core: DataFrame, params: ValuationParams) -> DataFrame:
     (no self-join); stressed rows without a BASE row are dropped, like an inner join."""
     w = Window.partitionBy("cohort_id", "sex", "version_id", "mort_version_id")
     is_base = F.col("scenario_id") == params.base_scenario
-    d = (core.withColumn("bel_base", F.max(F.when(is_base, F.col("bel_amount"))).over(w))
-         .withColumn("has_base", F.max(F.when(is_base, F.lit(1))).over(w))
-         .filter(~is_base & (F.col("has_base") == 1))
-         .withColumn("bel_stressed", F.col("bel_amount"))
-         .withColumn("delta_bel", F.col("bel_stressed") - F.col("bel_base")))
-    return d.withColumn("delta_bel_pct", safe_ratio(F.col("delta_bel"), F.abs(F.col("bel_base")))) \
-        .select(*SENS_COLUMNS)
+    d = (core.select("*", F.max(F.when(is_base, F.col("bel_amount"))).over(w).alias("bel_base"),
+                     F.max(F.when(is_base, F.lit(1))).over(w).alias("has_base"))
+         .filter(~is_base & (F.col("has_base") == 1)))
+    delta = F.col("bel_amount") - F.col("bel_base")
+    return d.select("cohort_id", "sex", "scenario_id", "scenario_group", "version_id", "mort_version_id", "bel_base",
+                    F.col("bel_amount").alias("bel_stressed"), delta.alias("delta_bel"),
+                    safe_ratio(delta, F.abs(F.col("bel_base"))).alias("delta_bel_pct"))
 
 
 def mart_portfolio(core: DataFrame, sensitivity: DataFrame, params: ValuationParams) -> DataFrame:

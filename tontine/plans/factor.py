@@ -28,7 +28,7 @@ from tontine.functions.rates import safe_ratio
 from tontine.operators import discounting as DS
 from tontine.operators import projection as PJ
 from tontine.operators.cashflow import expense_rate
-from tontine.operators.joins import bounded_broadcast
+from tontine.operators.joins import bounded_broadcast, plan_key
 from tontine.params import ValuationParams
 from tontine.plans.pipeline import Valuation
 from tontine.sources.fixtures import RawInputs
@@ -77,7 +77,11 @@ class FactorValuation:
 
     @cached_property
     def factors(self) -> DataFrame:
-        """Unit PVs per (cell, scenario, curve version, mortality basis) per 1 of sum assured."""
+        """Unit PVs per (cell, scenario, curve version, mortality basis) per 1 of sum assured,
+        materialized (checkpoint) because every policy-level result joins it."""
+        return self.unit._boundary(self._factors())
+
+    def _factors(self) -> DataFrame:
         st, p = self.unit.staged, self.params
         scen = bounded_broadcast(st.scenario.select("scenario_id", "mortality_multiplier", "lapse_multiplier",
                                                     "discount_shift_bps"), p.dimension_max_rows)
@@ -90,7 +94,8 @@ class FactorValuation:
                .withColumn("m_key", F.least(F.col("projection_month"), (horizon + 2).cast("int"))))
         pr = pairs.withColumnRenamed("projection_month", "m_key")
         o = F.col("inforce_open")
-        sums = (inf.join(bounded_broadcast(pr, p.broadcast_max_rows), ["discount_shift_bps", "m_key"], "inner")
+        small = bounded_broadcast(pr, p.broadcast_max_rows, key=("pairs",) + plan_key(st.curve, st.scenario))
+        sums = (inf.join(small, ["discount_shift_bps", "m_key"], "inner")
                 .groupBy("cohort_id", "sex", "scenario_id", "version_id", "mort_version_id")
                 .agg(F.sum(o * F.col("df_start")).alias("a_start"), F.sum(o * F.col("df_end")).alias("a_end"),
                      F.sum(o * F.col("scenario_qx_monthly") * F.col("df_end")).alias("b")))
@@ -107,8 +112,7 @@ class FactorValuation:
     def materialized_factors(self) -> DataFrame:
         """Factor table written to the checkpoint folder (cuts the projection lineage, so a
         lost executor does not replay it) and broadcast when its row count is small."""
-        f = self.factors.checkpoint(eager=True)
-        return bounded_broadcast(f, self.params.broadcast_max_rows)
+        return bounded_broadcast(self.factors, self.params.broadcast_max_rows)
 
     def policy_bel(self) -> DataFrame:
         """PV per policy x scenario x curve x mortality basis (broadcast hash join: the policy
@@ -130,7 +134,7 @@ class FactorValuation:
                     .agg(F.sum(F.col("policy_count") * F.col("sum_assured")).alias("exposure"),
                          F.sum("policy_count").alias("policy_count")))
         e = F.col("exposure")
-        g = (exposure.join(self.factors, ["cell_id", "sex"], "inner")
+        g = (exposure.join(self.materialized_factors(), ["cell_id", "sex"], "inner")
              .groupBy(*OUT_KEYS)
              .agg(F.sum(e * F.col("premium_pv_unit")).alias("premium_pv"),
                   F.sum(e * F.col("benefit_pv_unit")).alias("benefit_pv"),

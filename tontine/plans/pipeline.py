@@ -25,23 +25,58 @@ from tontine.sources.schemas import RAW_SCHEMAS, conform
 
 
 class Valuation:
-    def __init__(self, raw: RawInputs, params: ValuationParams | None = None):
+    """Stage boundaries (staged model points, premiums, the roll-forward, the BEL table) are
+    materialized so that every branch of a plan (marts, validation, reports) reads them once
+    instead of re-deriving the chain:
+
+    * ``materialize="cache"``: lazy ``persist`` (memory, spilling to disk), filled
+      by the first action and shared by all branches; lost blocks are recomputed from lineage.
+    * ``materialize="checkpoint"`` (default): eager ``checkpoint`` into ``spark.checkpoint.dir``
+      (the cluster's shared folder); lineage is cut, a lost executor replays nothing upstream.
+    * ``materialize="none"``: one plan, no reuse.
+    """
+
+    def __init__(self, raw: RawInputs, params: ValuationParams | None = None, materialize: str = "checkpoint"):
         self.raw = raw
         self.params = params or ValuationParams()
+        self.materialize = materialize
+        self._persisted: list[DataFrame] = []
+
+    def _boundary(self, df: DataFrame) -> DataFrame:
+        if self.materialize == "cache":
+            self._persisted.append(df.persist())
+            return df
+        if self.materialize == "checkpoint":
+            df.persist()                       # the checkpoint write reads these blocks, no recompute
+            out = df.checkpoint(eager=True)    # reliable copy in spark.checkpoint.dir; lineage cut here
+            df.unpersist()
+            return out
+        return df
+
+    def release(self) -> None:
+        """Drop cached boundaries (checkpoint files are managed by spark.cleaner)."""
+        for df in self._persisted:
+            df.unpersist()
+        self._persisted.clear()
 
     # ------------------------------------------------------------------ raw + staging
     @cached_property
     def premium_input(self) -> DataFrame:
         if self.raw.premium_input is not None:
             return self.raw.premium_input
-        return conform(PR.premium_table(self.raw.policy_cohort_input, self.raw.mortality_assumption,
-                                        self.raw.discount_curve, self.params), RAW_SCHEMAS["premium_input"])
+        return self._boundary(conform(PR.premium_table(self.staged_policy, self.raw.mortality_assumption,
+                                                       self.raw.discount_curve, self.params),
+                                      RAW_SCHEMAS["premium_input"]))
+
+    @cached_property
+    def staged_policy(self) -> DataFrame:
+        return self._boundary(ST.stg_policy(self.raw.policy_cohort_input))
 
     @cached_property
     def staged(self) -> ST.Staged:
         r, p = self.raw, self.params
         return ST.Staged(
-            policy=ST.stg_policy(r.policy_cohort_input),
+            policy=self.staged_policy,
             mortality=ST.stg_mortality(r.mortality_assumption, p.mort_versions),
             lapse=ST.stg_lapse(r.lapse_assumption, r.assumption_version),
             curve=ST.stg_curve(r.discount_curve),
@@ -53,7 +88,8 @@ class Valuation:
     # ------------------------------------------------------------------ projection
     @cached_property
     def frame_wide(self) -> DataFrame:
-        return PJ.projection_frame(self.staged.policy, self.staged.scenario, self.params)
+        priced = PJ.with_premium(self.staged.policy, self.staged.premium)
+        return PJ.projection_frame(priced, self.staged.scenario, self.params)
 
     @cached_property
     def projection_frame(self) -> DataFrame:
@@ -69,7 +105,7 @@ class Valuation:
 
     @cached_property
     def inforce_wide(self) -> DataFrame:
-        return PJ.inforce_wide(self.frame_wide, self.staged.mortality, self.staged.lapse, self.params)
+        return self._boundary(PJ.inforce_wide(self.frame_wide, self.staged.mortality, self.staged.lapse, self.params))
 
     @cached_property
     def inforce_rollforward(self) -> DataFrame:
@@ -78,7 +114,7 @@ class Valuation:
     # ------------------------------------------------------------------ cash flows, PV
     @cached_property
     def cashflow_wide(self) -> DataFrame:
-        return CF.cashflow_lines(self.inforce_wide, self.staged.premium, self.staged.expense, self.params,
+        return CF.cashflow_lines(self.inforce_wide, self.staged.expense, self.params,
                                  carry=("discount_shift_bps", *VL.BEL_CARRY))
 
     @cached_property
@@ -100,7 +136,7 @@ class Valuation:
     # ------------------------------------------------------------------ valuation
     @cached_property
     def bel_wide(self) -> DataFrame:
-        return VL.bel_wide(self.discounted_wide)
+        return self._boundary(VL.bel_wide(self.discounted_wide))
 
     @cached_property
     def bel_components(self) -> DataFrame:

@@ -415,11 +415,26 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
     }
 
 
-def queries(params: ValuationParams | None = None) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+_SHARED: dict[tuple, Ctx] = {}
+
+
+def context(spark: SparkSession, sf_dir: str, params: ValuationParams | None = None, shared: bool = True) -> Ctx:
+    """One context per (session, input folder, parameters): the staged inputs, size checks and
+    materialized stage boundaries are built once and reused by every query of the session."""
+    if not shared:
+        return Ctx(spark, sf_dir, params)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, params or ValuationParams())
+    if key not in _SHARED:
+        _SHARED[key] = Ctx(spark, sf_dir, params)
+    return _SHARED[key]
+
+
+def queries(params: ValuationParams | None = None, shared: bool = True
+            ) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
     for name, spec in specs(params).items():
         def run(spark: SparkSession, sf_dir: str, _spec: Spec = spec) -> DataFrame:
-            return finalize(_spec.build(Ctx(spark, sf_dir, params)), _spec.columns, _spec.order_by)
+            return finalize(_spec.build(context(spark, sf_dir, params, shared)), _spec.columns, _spec.order_by)
         out[name] = run
     return out
 
