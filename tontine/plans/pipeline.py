@@ -214,3 +214,37 @@ class Valuation:
             "mart_bel_components_core": self.mart_core, "mart_bel_sensitivity": self.mart_sensitivity,
             "mart_portfolio_overview": self.mart_portfolio, "mart_validation_summary": self.mart_validation,
         }
+
+
+MART_PARTITIONS = {
+    "mart_bel_components_core": ("version_id", "mort_version_id"),
+    "mart_bel_sensitivity": ("version_id", "mort_version_id"),
+    "mart_validation_summary": ("version_id", "mort_version_id"),
+    "mart_portfolio_overview": (),
+}
+
+
+def run_all(valuation: Valuation, folder: str, fmt: str = "parquet") -> dict[str, str]:
+    """Materialize the four marts (partitioned by curve and mortality basis) under ``folder``
+    and return their paths; intermediate models stay views over the checkpointed boundaries."""
+    from tontine.sources.sinks import write_table
+    tables = valuation.tables()
+    out = {}
+    for name, parts in MART_PARTITIONS.items():
+        path = f"{folder.rstrip('/')}/{name}"
+        write_table(tables[name], name, path=path, fmt=fmt, partition_by=parts)
+        out[name] = path
+    return out
+
+
+def report_queries(valuation: Valuation) -> dict[str, DataFrame]:
+    """The five exported reports (A13) of the reference, over this valuation."""
+    from tontine.operators import reports as RP
+    v, p = valuation, valuation.params
+    return {
+        "01_bel_base_results": RP.report_base(v.mart_core, p),
+        "02_portfolio_overview": RP.report_portfolio(v.mart_portfolio),
+        "03_validation_summary": RP.report_validation(v.mart_validation),
+        "04_sensitivity_by_cohort": RP.report_sensitivity(v.mart_sensitivity),
+        "05_inforce_decay": RP.report_decay(v.inforce_rollforward, p),
+    }

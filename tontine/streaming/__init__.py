@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch valuation (nightly/quarterly runs over versioned assumption
+tables); it has no stream source, watermark, window over event time or stateful operator.
+Nothing is built here rather than inventing operators the reference does not have.
+"""
