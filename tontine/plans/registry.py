@@ -67,7 +67,11 @@ class Spec:
         return out
 
 
-def finalize(df: DataFrame, columns: list[tuple[str, str]], order_by: str | None = None) -> DataFrame:
+def finalize(df: DataFrame, columns: list[tuple[str, str]], order_by: str | None = None,
+             rounding: bool = True) -> DataFrame:
+    """Project to the spec's columns and types; ``rounding`` applies the decimal rounding used
+    for the oracle comparison (Spark rounds doubles through BigDecimal, which is costly on
+    millions of rows, so the bench times the operator output without it)."""
     exprs = []
     for name, kind in columns:
         c = F.col(f"`{name}`")
@@ -80,7 +84,7 @@ def finalize(df: DataFrame, columns: list[tuple[str, str]], order_by: str | None
         elif kind == "date":
             e = c.cast("date")
         else:
-            e = F.round(c.cast("double"), int(kind[1:])) + F.lit(0.0)
+            e = (F.round(c.cast("double"), int(kind[1:])) + F.lit(0.0)) if rounding else c.cast("double")
         exprs.append(e.alias(name))
     out = df.select(*exprs)
     if order_by:
@@ -429,12 +433,13 @@ def context(spark: SparkSession, sf_dir: str, params: ValuationParams | None = N
     return _SHARED[key]
 
 
-def queries(params: ValuationParams | None = None, shared: bool = True
+def queries(params: ValuationParams | None = None, shared: bool = True, rounding: bool = True
             ) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
     for name, spec in specs(params).items():
         def run(spark: SparkSession, sf_dir: str, _spec: Spec = spec) -> DataFrame:
-            return finalize(_spec.build(context(spark, sf_dir, params, shared)), _spec.columns, _spec.order_by)
+            return finalize(_spec.build(context(spark, sf_dir, params, shared)), _spec.columns, _spec.order_by,
+                            rounding)
         out[name] = run
     return out
 
