@@ -55,3 +55,13 @@ def fan_out(df: DataFrame, dim: DataFrame, max_rows: int, what: str = "dimension
     if row_count_upto(dim, max_rows) > max_rows:
         raise DimensionTooLarge(f"{what} has more than {max_rows} rows; refusing to fan out")
     return df.crossJoin(F.broadcast(dim))
+
+
+def materialized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """For a small table derived from the data (rates per pricing key, unit factors per risk
+    cell): write it to the checkpoint folder, count it, and broadcast it when it is within the
+    bound, so the large side of the join is streamed and never shuffled."""
+    df.persist()
+    mat = df.checkpoint(eager=True)
+    df.unpersist()
+    return bounded_broadcast(mat, max_rows)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tontine.operators.joins import bounded_broadcast, materialized_broadcast
 from tontine.params import ValuationParams
 
 PRICE_KEYS = ["sex", "issue_age", "term_years"]
@@ -35,8 +36,8 @@ def pricing_survival(keys: DataFrame, mortality: DataFrame, curve: DataFrame, pa
             .withColumn("age", (F.col("issue_age") + F.col("t")).cast("int"))
             .withColumn("tenor_year", F.col("t") + 1))
     w = Window.partitionBy(*PRICE_KEYS).orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
-    return (rows.join(F.broadcast(m), ["age", "sex"], "inner")
-            .join(F.broadcast(v), ["tenor_year"], "inner")
+    return (rows.join(bounded_broadcast(m, params.broadcast_max_rows), ["age", "sex"], "inner")
+            .join(bounded_broadcast(v, params.dimension_max_rows), ["tenor_year"], "inner")
             .withColumn("survival", F.coalesce(F.product(F.lit(1.0) - F.col("qx_annual")).over(w), F.lit(1.0))))
 
 
@@ -58,8 +59,10 @@ def gross_divisor(params: ValuationParams) -> float:
 def price(policies: DataFrame, mortality: DataFrame, curve: DataFrame, params: ValuationParams,
           id_cols: tuple[str, ...] = ("cohort_id", "sex")) -> DataFrame:
     """net = SA * sum(v p q) / sum(v p); gross = net / (1 - loadings).
-    The rate table is tiny (one row per pricing key); it is joined back on the key."""
-    rates = premium_rates(policies, mortality, curve, params)
+    The rate table has one row per distinct pricing key (bounded by the key domain, not by the
+    policy count); it is materialized, counted and broadcast, so the policies are streamed
+    through a hash join and never shuffled."""
+    rates = materialized_broadcast(premium_rates(policies, mortality, curve, params), params.broadcast_max_rows)
     net = F.col("sum_assured") * F.col("benefit_sum") / F.col("annuity_sum")
     return (policies.join(rates, PRICE_KEYS, "inner")
             .withColumn("annual_net_premium", net)
