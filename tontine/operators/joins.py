@@ -61,6 +61,8 @@ def materialized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """For a small table derived from the data (rates per pricing key, unit factors per risk
     cell): write it to the checkpoint folder, count it, and broadcast it when it is within the
     bound, so the large side of the join is streamed and never shuffled."""
+    from tontine.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     df.persist()
     mat = df.checkpoint(eager=True)
     df.unpersist()

@@ -20,6 +20,7 @@ from tontine.operators import projection as PJ
 from tontine.operators import staging as ST
 from tontine.operators import valuation as VL
 from tontine.params import ValuationParams
+from tontine.session import ensure_checkpoint_dir
 from tontine.sources.fixtures import RawInputs
 from tontine.sources.schemas import RAW_SCHEMAS, conform
 
@@ -47,6 +48,7 @@ class Valuation:
             self._persisted.append(df.persist())
             return df
         if self.materialize == "checkpoint":
+            ensure_checkpoint_dir(df.sparkSession)
             df.persist()                       # the checkpoint write reads these blocks, no recompute
             out = df.checkpoint(eager=True)    # reliable copy in spark.checkpoint.dir; lineage cut here
             df.unpersist()

@@ -16,6 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tontine.functions import discounting as FD
 from tontine.operators import curves as CV
 from tontine.operators import pricing as PR
 from tontine.operators import projection as PJ
@@ -25,6 +26,7 @@ from tontine.params import ValuationParams
 from tontine.plans import oracle as O
 from tontine.plans.factor import FactorValuation
 from tontine.plans.pipeline import Valuation
+from tontine.sources import assumptions as AS
 from tontine.sources import fixtures as FX
 
 
@@ -192,6 +194,47 @@ def _dq_build(kinds: tuple[str, ...]):
 C_DQ = "table_name:s rule:s columns:s failing_rows:i"
 
 
+def _used_discount_keys(c: Ctx) -> DataFrame:
+    """(shift, discount month) pairs the book's cash flows actually read."""
+    cf = c.v.cashflow_wide
+    dm = FD.discount_month(F.col("projection_month"), F.col("cashflow_timing"))
+    return cf.select("discount_shift_bps", dm.alias("discount_month")).distinct()
+
+
+def _curve_bracket(c: Ctx) -> DataFrame:
+    dm = F.col("discount_month")
+    return (_used_discount_keys(c).select("discount_month").distinct()
+            .select("discount_month", FD.lower_tenor(dm).alias("lower_tenor"), FD.upper_tenor(dm).alias("upper_tenor")))
+
+
+def _discount_table_used(c: Ctx) -> DataFrame:
+    return c.v.discount_factor_table.join(_used_discount_keys(c), ["discount_shift_bps", "discount_month"], "left_semi")
+
+
+def _pricing_discount_used(c: Ctx) -> DataFrame:
+    years = (PR.pricing_survival(c.policies, c.raw.mortality_assumption, c.raw.discount_curve, c.params)
+             .select((F.col("t") + 1).alias("tenor_year")).distinct())
+    return PR.pricing_discount(c.raw.discount_curve, c.params).join(years, ["tenor_year"], "left_semi")
+
+
+CELL_KEYS = ["cohort_id", "sex", "issue_age", "term_years", "elapsed_duration_years"]
+
+ASSUMPTION_CHECKS_SQL = """
+SELECT 'lapse_duration_missing' AS "check", count(*) AS failing FROM frame f
+  WHERE NOT EXISTS (SELECT 1 FROM lapse l WHERE l.duration_year = f.duration_year)
+UNION ALL
+SELECT 'mortality_rows_dropped', abs((SELECT count(*) FROM frame) * (SELECT count(DISTINCT mort_version_id) FROM mort)
+                                     - (SELECT count(*) FROM rated))
+UNION ALL
+SELECT 'curve_grid_hole', count(*) FILTER (WHERE mx / 12 <> nd)
+  FROM (SELECT version_id, max(tenor_month) AS mx, count(DISTINCT tenor_month) AS nd FROM curve GROUP BY 1)
+UNION ALL
+SELECT 'maintenance_rows_not_one', abs(count(*) - 1) FROM expense WHERE expense_type = 'maintenance'
+UNION ALL
+SELECT 'curve_key_duplicate', count(*) FROM (SELECT tenor_month, version_id FROM curve GROUP BY ALL HAVING count(*) > 1)
+"""
+
+
 def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
     p = p or ValuationParams()
     base = f"'{p.base_scenario}'"
@@ -401,6 +444,38 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             f"p.sum_assured * r.benefit_sum / r.annuity_sum / {PR.gross_divisor(p)!r} AS annual_gross_premium, "
             f"'{p.pricing_version_id}' AS pricing_assumption_version, 'ANNUAL' AS premium_frequency, "
             "'EUR' AS premium_currency FROM pol p JOIN u_prates r USING (sex, issue_age, term_years)"),
+        # ---------------------------------------------------------- data-derived views of F1, G3, G8, J1, A5
+        "monthly_premium": Spec(
+            lambda c: c.v.inforce_wide.filter(F.col("monthly_premium").isNotNull()).select(
+                "cohort_id", "sex", "scenario_id", "mort_version_id", "projection_month", "inforce_open",
+                "expected_deaths", "monthly_premium", "policy_count"),
+            C_K3 + " mort_version_id:s projection_month:i inforce_open:d5 expected_deaths:d5 monthly_premium:d6 "
+            "policy_count:i",
+            "SELECT cohort_id, sex, scenario_id, mort_version_id, projection_month, inforce_open, expected_deaths, "
+            "monthly_premium, policy_count FROM cfl"),
+        "curve_bracket": Spec(
+            _curve_bracket, "discount_month:i lower_tenor:i upper_tenor:i",
+            "SELECT DISTINCT discount_month, "
+            "CASE WHEN discount_month <= 0 THEN 0 ELSE CAST(floor((discount_month - 1) / 12e0) * 12 AS BIGINT) END "
+            "AS lower_tenor, CASE WHEN discount_month <= 0 THEN 12 ELSE CAST(ceil(discount_month / 12e0) * 12 AS BIGINT) "
+            "END AS upper_tenor FROM disc"),
+        "discount_factor_table": Spec(
+            _discount_table_used,
+            "version_id:s discount_shift_bps:i discount_month:i lower_tenor:i upper_tenor:i lower_rate:d10 "
+            "upper_rate:d10 interpolated_rate:d10 discount_factor:d10",
+            "SELECT version_id, discount_shift_bps, discount_month, lower_tenor, upper_tenor, lower_rate, upper_rate, "
+            "interpolated_rate, discount_factor FROM dft d WHERE EXISTS (SELECT 1 FROM disc c "
+            "WHERE c.discount_shift_bps = d.discount_shift_bps AND c.discount_month = d.discount_month)"),
+        "pricing_discount": Spec(
+            _pricing_discount_used, "tenor_year:i zero_rate_annual:d10 annual_df:d10",
+            "SELECT tenor_year, zero_rate_annual, annual_df FROM pdisc "
+            "WHERE tenor_year IN (SELECT DISTINCT t + 1 FROM u_psurv)"),
+        "duplicate_keys": Spec(
+            lambda c: AS.duplicate_keys(c.policies, CELL_KEYS),
+            "cohort_id:s sex:s issue_age:i term_years:i elapsed_duration_years:i count:i",
+            "SELECT cohort_id, sex, issue_age, term_years, elapsed_duration_years, count(*) AS count FROM pol "
+            "GROUP BY ALL HAVING count(*) > 1"),
+        "assumption_checks": Spec(lambda c: c.v.assumption_checks, "check:s failing:i", ASSUMPTION_CHECKS_SQL),
         # ---------------------------------------------------------- seriatim unit-factor path
         "seriatim_factors": Spec(
             lambda c: c.fv.factors,

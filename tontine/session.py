@@ -26,12 +26,21 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     return spark
 
 
+_READY: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset (local tests)
-    fall back to a fresh scratch folder."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    fall back to a fresh scratch folder. Idempotent per application."""
+    app = spark.sparkContext.applicationId
+    if app in _READY:
+        return _READY[app]
+    d = spark.sparkContext._jsc.sc().getCheckpointDir()
+    d = d.get() if d.isDefined() else None
     if not d:
-        d = tempfile.mkdtemp(prefix="tontine-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        if not d:
+            d = tempfile.mkdtemp(prefix="tontine-ckpt-")
+        spark.sparkContext.setCheckpointDir(d)
+    _READY[app] = d
     return d
