@@ -132,3 +132,35 @@ def inforce_wide(frame: DataFrame, mortality: DataFrame, lapse: DataFrame, param
 
 INFORCE_COLUMNS = ["cohort_id", "sex", "scenario_id", "mort_version_id", "projection_month", "policy_count",
                    "inforce_open", "expected_deaths", "post_death_inforce", "expected_lapses", "inforce_close"]
+
+
+def projection_years(policy: DataFrame, scenario: DataFrame, params: ValuationParams,
+                     dim_columns: Sequence[str] = SCENARIO_DIM) -> DataFrame:
+    """Year-level projection axis: attained age and policy duration both step at the same
+    12-month boundaries of the projection (age = issue + elapsed + floor((m-1)/12),
+    duration = elapsed + ceil(m/12)), so every decrement rate is constant within projection
+    year y and one row per year carries it."""
+    live = policy.filter(F.col("remaining_term_years") > 0)
+    base = cohort_x_scenario(live, scenario, params, dim_columns).drop("attained_age")
+    y = F.col("projection_year")
+    years = base.select("*", F.explode(F.sequence(F.lit(1), F.col("remaining_term_years").cast("int")))
+                        .alias("projection_year"))
+    return years.select("*", (F.col("issue_age") + F.col("elapsed_duration_years") + y - 1).alias("attained_age"),
+                        (F.col("elapsed_duration_years") + y).cast("int").alias("duration_year"))
+
+
+def rollforward_years(rated_years: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Monthly in-force from a year-level frame: the window runs over years (12x fewer rows
+    than months), S_y = product over earlier years of s^12, then month k of year y opens with
+    S_y * s^(k-1), s = (1 - q)(1 - l). A zero-survival month still zeroes every later month."""
+    qx, lx = F.col("scenario_qx_monthly"), F.col("scenario_lapse_monthly")
+    s = (F.lit(1.0) - qx) * (F.lit(1.0) - lx)
+    w = (Window.partitionBy(*keys).orderBy("projection_year").rowsBetween(Window.unboundedPreceding, -1))
+    opened = rated_years.select("*", s.alias("monthly_survival"),
+                                F.coalesce(F.product(F.pow(s, F.lit(12.0))).over(w), F.lit(1.0)).alias("year_open"))
+    months = opened.select("*", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month_in_year"))
+    k = F.col("month_in_year")
+    return months.select(
+        "*", ((F.col("projection_year") - 1) * 12 + k).alias("projection_month"),
+        (F.col("policy_count") * F.col("year_open")
+         * F.pow(F.col("monthly_survival"), (k - 1).cast("double"))).alias("inforce_open"))

@@ -68,12 +68,14 @@ class FactorValuation:
 
     @cached_property
     def unit_inforce(self) -> DataFrame:
-        """Unit roll-forward per (cell, chain, mortality basis, month)."""
+        """Unit roll-forward per (cell, chain, mortality basis, month); the window runs at
+        year grain (rates are constant within a projection year) and months are expanded
+        after it, so the only shuffle moves 1/12 of the monthly rows."""
         st, p = self.unit.staged, self.params
-        frame = PJ.projection_frame(st.policy, self.chains, p,
+        years = PJ.projection_years(st.policy, self.chains, p,
                                     dim_columns=["chain_id", "mortality_multiplier", "lapse_multiplier"])
-        rated = PJ.with_lapse(PJ.with_mortality(frame, st.mortality, p), st.lapse, p)
-        return PJ.rollforward(rated, keys=["cohort_id", "sex", "chain_id", "mort_version_id"])
+        rated = PJ.with_lapse(PJ.with_mortality(years, st.mortality, p), st.lapse, p)
+        return PJ.rollforward_years(rated, keys=["cohort_id", "sex", "chain_id", "mort_version_id"])
 
     @cached_property
     def factors(self) -> DataFrame:

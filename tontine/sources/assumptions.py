@@ -11,7 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tontine.sources.schemas import RAW_SCHEMAS, conform
+from tontine.sources.schemas import RAW_SCHEMAS, conform, literal_table
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's):
@@ -61,20 +61,15 @@ def lapse_curve(spark: SparkSession, max_duration: int = 30, version_id: str = L
 
 def scenario_table(spark: SparkSession, rows: Sequence[tuple] = tuple(SCENARIO_ROWS)) -> DataFrame:
     """Stress scenario definitions with an explicit schema."""
-    cols = ["scenario_id", "scenario_type", "mortality_multiplier", "lapse_multiplier",
-            "discount_shift_bps", "scenario_group", "is_base_scenario", "scenario_description"]
-    return spark.createDataFrame([dict(zip(cols, r)) for r in rows],
-                                 RAW_SCHEMAS["stress_scenario_definition"])
+    return literal_table(spark, rows, RAW_SCHEMAS["stress_scenario_definition"])
 
 
 def expense_table(spark: SparkSession, rows: Sequence[tuple] = tuple(EXPENSE_ROWS)) -> DataFrame:
-    cols = ["expense_type", "expense_basis", "expense_rate", "version_id", "comment"]
-    return spark.createDataFrame([dict(zip(cols, r)) for r in rows], RAW_SCHEMAS["expense_assumption"])
+    return literal_table(spark, rows, RAW_SCHEMAS["expense_assumption"])
 
 
 def version_table(spark: SparkSession, rows: Sequence[tuple] = tuple(VERSION_ROWS)) -> DataFrame:
-    cols = ["assumption_type", "version_id", "version_name", "is_base_version"]
-    return spark.createDataFrame([dict(zip(cols, r)) for r in rows], RAW_SCHEMAS["assumption_version"])
+    return literal_table(spark, rows, RAW_SCHEMAS["assumption_version"])
 
 
 # --------------------------------------------------------------------------- loaders

@@ -13,9 +13,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tontine.sources import assumptions as A
-from tontine.sources.schemas import POLICY_SCHEMA, RAW_SCHEMAS, conform
+from tontine.sources.schemas import POLICY_SCHEMA, RAW_SCHEMAS, conform, literal_table
 
 # Fixed values of the test fixture: market segment -> (cohort, issue age, term, elapsed years)
 SEGMENT_COHORTS = [
@@ -56,9 +57,13 @@ def policies(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.lit(1).alias("policy_count")), POLICY_SCHEMA)
 
 
+SEGMENT_SCHEMA = T.StructType([T.StructField("seg", T.StringType()), T.StructField("cohort_id", T.StringType()),
+                               T.StructField("issue_age", T.IntegerType()), T.StructField("term_years", T.IntegerType()),
+                               T.StructField("elapsed", T.IntegerType())])
+
+
 def segment_cohorts(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        SEGMENT_COHORTS, "seg string, cohort_id string, issue_age int, term_years int, elapsed int")
+    return literal_table(spark, SEGMENT_COHORTS, SEGMENT_SCHEMA)
 
 
 def model_points(orders: DataFrame, customer: DataFrame, spark: SparkSession | None = None) -> DataFrame:

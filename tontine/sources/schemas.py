@@ -59,3 +59,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
         (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in schema.fields
     ])
+
+
+def literal_table(spark, rows, schema: T.StructType) -> DataFrame:
+    """A small literal table as ``range(1)`` + ``inline`` of typed structs: a deterministic plan
+    (equal tables are semantically equal, so size checks on them are memoized)."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
