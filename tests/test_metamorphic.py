@@ -114,3 +114,16 @@ def test_monthly_rate_compounds_back_to_annual(spark):
     q = spark.range(1).select(monthly_from_annual(F.lit(0.2)).alias("m")).first().m
     assert 1 - (1 - q) ** 12 == pytest.approx(0.2, rel=1e-12)
     assert math.isclose(q, 1 - 0.8 ** (1 / 12))
+
+
+def test_preaggregated_exposure_equals_policy_route(spark, raw_small):
+    from tontine.sources.fixtures import policy_exposure
+    o, c = read_table(spark, SF_SMALL, "orders"), read_table(spark, SF_SMALL, "customer")
+    pol = policies(o, c)
+    a = {tuple(r[k] for k in KEYS): r for r in FactorValuation(pol, raw_small, P).segment_bel().collect()}
+    b = {tuple(r[k] for k in KEYS): r for r in
+         FactorValuation(pol, raw_small, P, exposure=policy_exposure(o, c)).segment_bel().collect()}
+    assert a.keys() == b.keys() and len(a) > 0
+    for k in a:
+        assert b[k].bel_amount == pytest.approx(a[k].bel_amount, rel=1e-9)
+        assert b[k].policy_count == a[k].policy_count

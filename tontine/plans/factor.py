@@ -55,10 +55,18 @@ def unit_cells(policies: DataFrame) -> DataFrame:
 
 
 class FactorValuation:
-    def __init__(self, policies: DataFrame, raw: RawInputs, params: ValuationParams | None = None):
+    """``policies``: one row per policy (cohort_id, sex, cell attributes, sum_assured,
+    policy_count). ``exposure`` (optional): the same book already summed per (cohort_id, sex,
+    cell) as (exposure = sum of policy_count x sum_assured, policy_count); when given, the unit
+    cells and ``segment_bel`` read it instead of the policies."""
+
+    def __init__(self, policies: DataFrame, raw: RawInputs, params: ValuationParams | None = None,
+                 exposure: DataFrame | None = None):
         self.policies = policies
+        self.exposure = exposure
         self.params = params or ValuationParams()
-        unit_raw = RawInputs(**{**raw.__dict__, "policy_cohort_input": unit_cells(policies), "premium_input": None})
+        cells_from = exposure if exposure is not None else policies
+        unit_raw = RawInputs(**{**raw.__dict__, "policy_cohort_input": unit_cells(cells_from), "premium_input": None})
         self.unit = Valuation(unit_raw, self.params)
 
     @cached_property
@@ -142,9 +150,13 @@ class FactorValuation:
 
     def segment_bel(self) -> DataFrame:
         """BEL per (segment, sex, scenario, curve, mortality basis) over all policies."""
-        exposure = (self.policies.groupBy("cohort_id", "sex", cell_id().alias("cell_id"))
-                    .agg(F.sum(F.col("policy_count") * F.col("sum_assured")).alias("exposure"),
-                         F.sum("policy_count").alias("policy_count")))
+        if self.exposure is not None:
+            exposure = self.exposure.select("cohort_id", "sex", cell_id().alias("cell_id"), "exposure",
+                                            "policy_count")
+        else:
+            exposure = (self.policies.groupBy("cohort_id", "sex", cell_id().alias("cell_id"))
+                        .agg(F.sum(F.col("policy_count") * F.col("sum_assured")).alias("exposure"),
+                             F.sum("policy_count").alias("policy_count")))
         e = F.col("exposure")
         g = (exposure.join(self.materialized_factors(), ["cell_id", "sex"], "inner")
              .groupBy(*OUT_KEYS)

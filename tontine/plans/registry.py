@@ -48,9 +48,14 @@ class Ctx:
         return FX.policies(FX.read_table(self.spark, self.sf_dir, "orders"),
                            FX.read_table(self.spark, self.sf_dir, "customer"))
 
+    @cached_property
+    def exposure(self) -> DataFrame:
+        return FX.policy_exposure(FX.read_table(self.spark, self.sf_dir, "orders"),
+                                  FX.read_table(self.spark, self.sf_dir, "customer"))
+
     @cached_property
     def fv(self) -> FactorValuation:
-        return FactorValuation(self.policies, self.raw, self.params)
+        return FactorValuation(self.policies, self.raw, self.params, exposure=self.exposure)
 
 
 @dataclass

@@ -62,6 +62,24 @@ SEGMENT_SCHEMA = T.StructType([T.StructField("seg", T.StringType()), T.StructFie
                                T.StructField("elapsed", T.IntegerType())])
 
 
+def policy_exposure(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """Exposure per (segment, sex, risk cell) without materializing policies: orders are first
+    aggregated per (customer, term, elapsed) (map-side partial aggregation; a customer holding a
+    third of all orders collapses to at most 40 rows), then joined to customer and rolled up.
+    Sum of sum_assured and of policy_count, exactly as over the per-order policies."""
+    o = orders.select("o_custkey", (10 + 5 * (F.col("o_orderkey") % 5)).cast("int").alias("term_years"),
+                      (F.col("o_orderkey") % 8).cast("int").alias("elapsed_duration_years"),
+                      F.floor("o_totalprice").cast("long").alias("sa"))
+    per_cust = o.groupBy("o_custkey", "term_years", "elapsed_duration_years").agg(
+        F.sum("sa").alias("exposure"), F.count(F.lit(1)).alias("policy_count"))
+    c = customer.select("c_custkey", "c_mktsegment")
+    j = per_cust.join(c, per_cust.o_custkey == c.c_custkey, "inner")
+    return (j.groupBy(F.col("c_mktsegment").alias("cohort_id"), _sex(F.col("c_custkey")).alias("sex"),
+                      (25 + 5 * (F.col("c_custkey") % 9)).cast("int").alias("issue_age"),
+                      "term_years", "elapsed_duration_years")
+            .agg(F.sum("exposure").alias("exposure"), F.sum("policy_count").alias("policy_count")))
+
+
 def segment_cohorts(spark: SparkSession) -> DataFrame:
     return literal_table(spark, SEGMENT_COHORTS, SEGMENT_SCHEMA)
 
