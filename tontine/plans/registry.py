@@ -244,7 +244,6 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
     p = p or ValuationParams()
     base = f"'{p.base_scenario}'"
     g_cols, g_sql = _grain_cols(p), _grain_sql(p)
-    rate = f"(SELECT expense_rate FROM expense WHERE expense_type = '{p.expense_type}')"  # noqa: F841
     va_case = "CASE WHEN version_id = 'B' THEN 'A' WHEN version_id = 'D' THEN 'C' END"
     decay = ", ".join(f"max(CASE WHEN projection_month = {m} THEN round(inforce_open, 0) END) AS {n}"
                       for m, n in RP.DECAY_MONTHS)
