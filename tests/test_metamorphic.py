@@ -127,3 +127,13 @@ def test_preaggregated_exposure_equals_policy_route(spark, raw_small):
     for k in a:
         assert b[k].bel_amount == pytest.approx(a[k].bel_amount, rel=1e-9)
         assert b[k].policy_count == a[k].policy_count
+
+
+def test_bel_from_inforce_equals_line_sums(val_small):
+    from tontine.operators import valuation as VL
+    lines = {tuple(r[k] for k in KEYS): r for r in VL.bel_wide(val_small.discounted_wide).collect()}
+    direct = _bel(val_small)
+    assert lines.keys() == direct.keys() and len(lines) == 10 * 9 * 4 * 2
+    for k in lines:
+        for c in ("premium_pv", "benefit_pv", "expense_pv", "bel_amount"):
+            assert direct[k][c] == pytest.approx(lines[k][c], rel=1e-10)

@@ -84,3 +84,33 @@ def discount_pair_table(curve: DataFrame, scenario: DataFrame, params: Valuation
                      F.col("discount_factor").alias("df_end"),
                      F.lag("discount_factor").over(w).alias("df_start"))
             .filter(F.col("projection_month") >= 1))
+
+
+def pv_sums(inforce: DataFrame, curve: DataFrame, scenario: DataFrame, params: ValuationParams,
+            keys: list[str]) -> DataFrame:
+    """Per ``keys`` x curve version: a_start = sum open*DF(m-1), a_end = sum open*DF(m),
+    b = sum open*q*DF(m) over the in-force rows (which carry discount_shift_bps).
+
+    BEL follows by linearity: premium_pv = -monthly_premium * a_start, benefit_pv =
+    sum_assured * b, expense_pv = monthly_premium * rate * a_end, with no 3-lines x curves
+    expansion. Curve versions are pivoted to columns of the discount-pair table, so every
+    in-force row is joined once (one broadcast hash join) and aggregated once.
+    """
+    pairs = discount_pair_table(curve, scenario, params).withColumnRenamed("projection_month", "m_key")
+    wide = (pairs.groupBy("discount_shift_bps", "m_key").pivot("version_id")
+            .agg(F.first("df_start").alias("s"), F.first("df_end").alias("e")))
+    versions = [c[:-2] for c in wide.columns if c.endswith("_s")]
+    small = bounded_broadcast(wide, params.broadcast_max_rows, key=("pairs_wide",) + plan_key(curve, scenario))
+    horizon = curve_horizon(curve)
+    rows = inforce.select(*keys, "discount_shift_bps", "inforce_open", "scenario_qx_monthly",
+                          F.least(F.col("projection_month"), (horizon + 2).cast("int")).alias("m_key"))
+    o, q = F.col("inforce_open"), F.col("scenario_qx_monthly")
+    aggs = []
+    for i, v in enumerate(versions):
+        ds, de = F.col(f"`{v}_s`"), F.col(f"`{v}_e`")
+        aggs += [F.sum(o * ds).alias(f"s{i}"), F.sum(o * de).alias(f"e{i}"), F.sum(o * q * de).alias(f"b{i}")]
+    sums = rows.join(small, ["discount_shift_bps", "m_key"], "inner").groupBy(*keys).agg(*aggs)
+    per_version = F.array(*[F.struct(F.lit(v).alias("version_id"), F.col(f"s{i}").alias("a_start"),
+                                     F.col(f"e{i}").alias("a_end"), F.col(f"b{i}").alias("b"))
+                            for i, v in enumerate(versions)])
+    return sums.select(*keys, F.inline(per_version))

@@ -41,6 +41,26 @@ def bel_wide(discounted: DataFrame, carry: Sequence[str] = BEL_CARRY) -> DataFra
     return g.select("*", bel.alias("bel_amount"), safe_ratio(bel, F.col("policy_count")).alias("bel_per_policy"))
 
 
+def bel_from_inforce(inforce: DataFrame, curve: DataFrame, scenario: DataFrame, expense_rate,
+                     params: ValuationParams, carry: Sequence[str] = BEL_CARRY) -> DataFrame:
+    """H1-H3 straight from in-force rows (carrying monthly_premium, sum_assured and the
+    scenario shift): the same BEL as summing discounted cash-flow lines, by linearity, without
+    expanding each row into 3 lines x curve versions. As in the line sums, a PV whose discount
+    factors are all NULL is 0 (other lines contribute zeros there)."""
+    from tontine.operators.discounting import pv_sums
+    keys = ["cohort_id", "sex", "scenario_id", "mort_version_id", "monthly_premium", "sum_assured", *carry]
+    rows = inforce.filter(F.col("monthly_premium").isNotNull())
+    s = pv_sums(rows, curve, scenario, params, keys)
+    mp, sa = F.col("monthly_premium"), F.col("sum_assured")
+    z = F.lit(0.0)
+    g = s.select(*BEL_KEYS, *carry,
+                 F.coalesce(-(mp * F.col("a_start")), z).alias("premium_pv"),
+                 F.coalesce(sa * F.col("b"), z).alias("benefit_pv"),
+                 F.coalesce(mp * expense_rate * F.col("a_end"), z).alias("expense_pv"))
+    bel = F.col("benefit_pv") + F.col("expense_pv") + F.col("premium_pv")
+    return g.select("*", bel.alias("bel_amount"), safe_ratio(bel, F.col("policy_count")).alias("bel_per_policy"))
+
+
 def bel_components(wide: DataFrame) -> DataFrame:
     return wide.select(*BEL_COLUMNS)
 

@@ -28,7 +28,7 @@ from tontine.functions.rates import safe_ratio
 from tontine.operators import discounting as DS
 from tontine.operators import projection as PJ
 from tontine.operators.cashflow import expense_rate
-from tontine.operators.joins import bounded_broadcast, plan_key
+from tontine.operators.joins import bounded_broadcast
 from tontine.params import ValuationParams
 from tontine.plans.pipeline import Valuation
 from tontine.sources.fixtures import RawInputs
@@ -95,38 +95,20 @@ class FactorValuation:
         st, p = self.unit.staged, self.params
         scen = bounded_broadcast(st.scenario.select("scenario_id", "mortality_multiplier", "lapse_multiplier",
                                                     "discount_shift_bps"), p.dimension_max_rows)
-        # discount pairs with curve versions as columns: one row per (shift, month), so the
-        # projected rows are joined once instead of once per curve version
-        pairs = DS.discount_pair_table(st.curve, st.scenario, p).withColumnRenamed("projection_month", "m_key")
-        wide = (pairs.groupBy("discount_shift_bps", "m_key").pivot("version_id")
-                .agg(F.first("df_start").alias("s"), F.first("df_end").alias("e")))
-        versions = [c[:-2] for c in wide.columns if c.endswith("_s")]
-        small = bounded_broadcast(wide, p.broadcast_max_rows, key=("pairs_wide",) + plan_key(st.curve, st.scenario))
-        horizon = DS.curve_horizon(st.curve)
         inf = (self.unit_inforce
                .select("cohort_id", "sex", "mortality_multiplier", "lapse_multiplier", "mort_version_id",
                        "projection_month", "inforce_open", "scenario_qx_monthly")
-               .join(scen, ["mortality_multiplier", "lapse_multiplier"], "inner")
-               .select("*", F.least(F.col("projection_month"), (horizon + 2).cast("int")).alias("m_key")))
-        o, q = F.col("inforce_open"), F.col("scenario_qx_monthly")
-        aggs = []
-        for i, v in enumerate(versions):
-            ds, de = F.col(f"`{v}_s`"), F.col(f"`{v}_e`")
-            aggs += [F.sum(o * ds).alias(f"s{i}"), F.sum(o * de).alias(f"e{i}"), F.sum(o * q * de).alias(f"b{i}")]
-        sums = (inf.join(small, ["discount_shift_bps", "m_key"], "inner")
-                .groupBy("cohort_id", "sex", "scenario_id", "mort_version_id").agg(*aggs))
-        per_version = F.array(*[F.struct(F.lit(v).alias("version_id"), F.col(f"s{i}").alias("a_start"),
-                                         F.col(f"e{i}").alias("a_end"), F.col(f"b{i}").alias("b"))
-                                for i, v in enumerate(versions)])
-        sums = sums.select("cohort_id", "sex", "scenario_id", "mort_version_id", F.inline(per_version))
+               .join(scen, ["mortality_multiplier", "lapse_multiplier"], "inner"))
+        sums = DS.pv_sums(inf, st.curve, st.scenario, p, ["cohort_id", "sex", "scenario_id", "mort_version_id"])
         prem = self.unit.staged.premium.select("cohort_id", "sex",
                                                F.col("annual_gross_premium").alias("unit_premium"))
         mp = F.col("unit_premium") / F.lit(12.0)
         rate = expense_rate(st.expense, p)
         return (sums.join(prem, ["cohort_id", "sex"], "inner")
                 .select(F.col("cohort_id").alias("cell_id"), "sex", "scenario_id", "version_id", "mort_version_id",
-                        "unit_premium", (-(mp * F.col("a_start"))).alias("premium_pv_unit"),
-                        F.col("b").alias("benefit_pv_unit"), (mp * rate * F.col("a_end")).alias("expense_pv_unit")))
+                        "unit_premium", F.coalesce(-(mp * F.col("a_start")), F.lit(0.0)).alias("premium_pv_unit"),
+                        F.coalesce(F.col("b"), F.lit(0.0)).alias("benefit_pv_unit"),
+                        F.coalesce(mp * rate * F.col("a_end"), F.lit(0.0)).alias("expense_pv_unit")))
 
     # ---------------------------------------------------------------- policy level
     def materialized_factors(self) -> DataFrame:

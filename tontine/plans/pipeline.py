@@ -138,7 +138,9 @@ class Valuation:
     # ------------------------------------------------------------------ valuation
     @cached_property
     def bel_wide(self) -> DataFrame:
-        return self._boundary(VL.bel_wide(self.discounted_wide))
+        st = self.staged
+        return self._boundary(VL.bel_from_inforce(self.inforce_wide, st.curve, st.scenario,
+                                                  CF.expense_rate(st.expense, self.params), self.params))
 
     @cached_property
     def bel_components(self) -> DataFrame:
