@@ -66,9 +66,9 @@ class Valuation:
     def premium_input(self) -> DataFrame:
         if self.raw.premium_input is not None:
             return self.raw.premium_input
-        return self._boundary(conform(PR.premium_table(self.staged_policy, self.raw.mortality_assumption,
-                                                       self.raw.discount_curve, self.params),
-                                      RAW_SCHEMAS["premium_input"]))
+        # a join of two materialized tables (staged model points, priced rates): no boundary
+        return conform(PR.premium_table(self.staged_policy, self.raw.mortality_assumption,
+                                        self.raw.discount_curve, self.params), RAW_SCHEMAS["premium_input"])
 
     @cached_property
     def staged_policy(self) -> DataFrame:

@@ -61,9 +61,22 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     ])
 
 
+def _sql_literal(v, t: T.DataType) -> str:
+    if v is None:
+        return f"CAST(NULL AS {t.simpleString()})"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"CAST({v!r} AS {t.simpleString()})"
+
+
 def literal_table(spark, rows, schema: T.StructType) -> DataFrame:
-    """A small literal table as ``range(1)`` + ``inline`` of typed structs: a deterministic plan
-    (equal tables are semantically equal, so size checks on them are memoized)."""
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
-               for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    """A small literal table as ``range(1)`` + ``inline`` of typed structs, built from one SQL
+    expression: a deterministic plan (equal tables are semantically equal, so size checks on
+    them are memoized) constructed with a single call to the JVM."""
+    structs = ", ".join(
+        "named_struct(" + ", ".join(f"'{f.name}', CAST({_sql_literal(v, f.dataType)} AS {f.dataType.simpleString()})"
+                                    for v, f in zip(r, schema.fields)) + ")"
+        for r in rows)
+    return spark.range(1).select(F.expr(f"inline(array({structs}))"))
