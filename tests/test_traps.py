@@ -127,3 +127,20 @@ def test_b9_base_version_resolution(spark, raw_small):
     assert counts["lapse"] == 2
     with pytest.raises(Exception):
         ST.stg_lapse(raw_small.lapse_assumption, two).count()             # >1 base rows -> error
+
+
+def test_t2_year_grain_rollforward_equals_monthly(spark):
+    yearly = [(y, q, l) for y, q, l in [(1, 0.01, 0.05), (2, 1.0, 0.02), (3, 0.02, 0.03)]]
+    months = [(12 * (y - 1) + k, q, l, y) for y, q, l in yearly for k in range(1, 13)]
+    cols = ("cohort_id string, sex string, scenario_id string, mort_version_id string, projection_month int, "
+            "policy_count double, scenario_qx_monthly double, scenario_lapse_monthly double")
+    monthly = PJ.rollforward(spark.createDataFrame([("X", "M", "B", "M1", m, 7.0, q, l) for m, q, l, _ in months], cols))
+    ycols = cols.replace("projection_month int", "projection_year int")
+    by_year = PJ.rollforward_years(spark.createDataFrame([("X", "M", "B", "M1", y, 7.0, q, l) for y, q, l in yearly],
+                                                         ycols), ["cohort_id", "sex", "scenario_id", "mort_version_id"])
+    a = {r.projection_month: r.inforce_open for r in monthly.collect()}
+    b = {r.projection_month: r.inforce_open for r in by_year.collect()}
+    assert a.keys() == b.keys() and len(a) == 36
+    for m in a:
+        assert b[m] == pytest.approx(a[m], rel=1e-12, abs=1e-15)
+    assert all(b[m] == 0.0 for m in range(14, 37))        # after the month with q = 1 nothing is in force

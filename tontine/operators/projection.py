@@ -164,3 +164,19 @@ def rollforward_years(rated_years: DataFrame, keys: Sequence[str]) -> DataFrame:
         "*", ((F.col("projection_year") - 1) * 12 + k).alias("projection_month"),
         (F.col("policy_count") * F.col("year_open")
          * F.pow(F.col("monthly_survival"), (k - 1).cast("double"))).alias("inforce_open"))
+
+
+def inforce_wide_years(policy: DataFrame, scenario: DataFrame, mortality: DataFrame, lapse: DataFrame,
+                       params: ValuationParams) -> DataFrame:
+    """E1-E3 with the window at year grain: the same monthly in-force rows as ``inforce_wide``
+    (up to rounding in the last bits), but the roll-forward shuffle moves one row per
+    projection year instead of twelve."""
+    years = projection_years(policy, scenario, params)
+    rated = with_lapse(with_mortality(years, mortality, params), lapse, params)
+    monthly = rollforward_years(rated, CHAIN_KEYS)
+    o, qx, lx = F.col("inforce_open"), F.col("scenario_qx_monthly"), F.col("scenario_lapse_monthly")
+    return monthly.select(
+        "*", (F.col("remaining_term_years") * 12).alias("remaining_months"),
+        (o * qx).alias("expected_deaths"), (o * (F.lit(1.0) - qx)).alias("post_death_inforce"),
+        (o * (F.lit(1.0) - qx) * lx).alias("expected_lapses"),
+        (o * (F.lit(1.0) - qx) * (F.lit(1.0) - lx)).alias("inforce_close"))

@@ -107,7 +107,9 @@ class Valuation:
 
     @cached_property
     def inforce_wide(self) -> DataFrame:
-        return self._boundary(PJ.inforce_wide(self.frame_wide, self.staged.mortality, self.staged.lapse, self.params))
+        priced = PJ.with_premium(self.staged.policy, self.staged.premium)
+        return self._boundary(PJ.inforce_wide_years(priced, self.staged.scenario, self.staged.mortality,
+                                                    self.staged.lapse, self.params))
 
     @cached_property
     def inforce_rollforward(self) -> DataFrame:
