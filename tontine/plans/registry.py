@@ -222,6 +222,30 @@ def _pricing_discount_used(c: Ctx) -> DataFrame:
     return PR.pricing_discount(c.raw.discount_curve, c.params).join(years, ["tenor_year"], "left_semi")
 
 
+def _rates_read(c: Ctx, stressed: bool) -> DataFrame:
+    """Distinct mortality and lapse rates the book's projection reads (D1, or D1 + D4)."""
+    m = PJ.with_mortality(c.v.frame_wide, c.v.staged.mortality, c.params)
+    l = c.v.lapse_rates
+    mcols = [F.lit("mortality").alias("rate_type"), "mort_version_id", "sex", F.col("attained_age").alias("rate_key"),
+             F.col("base_qx_annual").alias("annual_rate"), F.col("base_qx_monthly").alias("monthly_rate")]
+    lcols = [F.lit("lapse").alias("rate_type"), F.lit(None).cast("string").alias("mort_version_id"),
+             F.lit(None).cast("string").alias("sex"), F.col("duration_year").cast("long").alias("rate_key"),
+             F.col("base_lapse_annual").alias("annual_rate"), F.col("base_lapse_monthly").alias("monthly_rate")]
+    if stressed:
+        mcols += [F.col("mortality_multiplier").alias("multiplier"), F.col("scenario_qx_monthly").alias("stressed_rate")]
+        lcols += [F.col("lapse_multiplier").alias("multiplier"), F.col("scenario_lapse_monthly").alias("stressed_rate")]
+    return m.select(*mcols).unionByName(l.select(*lcols)).distinct()
+
+
+RATES_SQL = """
+SELECT DISTINCT 'mortality' AS rate_type, mort_version_id, sex, CAST(attained_age AS BIGINT) AS rate_key,
+       base_qx_annual AS annual_rate, base_qx_monthly AS monthly_rate{m_extra} FROM rated
+UNION
+SELECT DISTINCT 'lapse', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(duration_year AS BIGINT),
+       base_lapse_annual, base_lapse_monthly{l_extra} FROM lrates
+"""
+
+
 CELL_KEYS = ["cohort_id", "sex", "issue_age", "term_years", "elapsed_duration_years"]
 
 ASSUMPTION_CHECKS_SQL = """
@@ -463,6 +487,23 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             "CASE WHEN discount_month <= 0 THEN 0 ELSE CAST(floor((discount_month - 1) / 12e0) * 12 AS BIGINT) END "
             "AS lower_tenor, CASE WHEN discount_month <= 0 THEN 12 ELSE CAST(ceil(discount_month / 12e0) * 12 AS BIGINT) "
             "END AS upper_tenor FROM disc"),
+        "monthly_rates": Spec(
+            lambda c: _rates_read(c, False),
+            "rate_type:s mort_version_id:s sex:s rate_key:i annual_rate:d10 monthly_rate:d10",
+            RATES_SQL.format(m_extra="", l_extra="")),
+        "stressed_rates": Spec(
+            lambda c: _rates_read(c, True),
+            "rate_type:s mort_version_id:s sex:s rate_key:i annual_rate:d10 monthly_rate:d10 multiplier:d10 "
+            "stressed_rate:d10",
+            RATES_SQL.format(m_extra=", mortality_multiplier AS multiplier, qx AS stressed_rate",
+                             l_extra=", lapse_multiplier, scenario_lapse_monthly")),
+        "curve_interpolation": Spec(
+            lambda c: _discount_table_used(c).select("version_id", "discount_shift_bps", "discount_month",
+                                                      "lower_rate", "upper_rate", "interpolated_rate"),
+            "version_id:s discount_shift_bps:i discount_month:i lower_rate:d10 upper_rate:d10 interpolated_rate:d10",
+            "SELECT version_id, discount_shift_bps, discount_month, lower_rate, upper_rate, interpolated_rate "
+            "FROM dft d WHERE EXISTS (SELECT 1 FROM disc c "
+            "WHERE c.discount_shift_bps = d.discount_shift_bps AND c.discount_month = d.discount_month)"),
         "discount_factor_table": Spec(
             _discount_table_used,
             "version_id:s discount_shift_bps:i discount_month:i lower_tenor:i upper_tenor:i lower_rate:d10 "
