@@ -103,3 +103,11 @@ def test_raw_tables_round_trip(spark, raw_small, val_small, scratch):
 def test_cli_test_command_passes_on_clean_inputs():
     from tontine.__main__ import main
     assert main(["test", "--sf-dir", "/root/testdata/sf0.001"]) == 0
+
+
+def test_register_views_supports_report_sql(spark, val_small):
+    from tontine.plans.pipeline import register_views
+    names = register_views(val_small, prefix="t_")
+    assert len(names) == 26
+    n = spark.sql("SELECT overall_validation_status, COUNT(*) AS n FROM t_mart_validation_summary GROUP BY 1").collect()
+    assert [(r.overall_validation_status, r.n) for r in n] == [("PASS", 720)]

@@ -254,3 +254,13 @@ def report_queries(valuation: Valuation) -> dict[str, DataFrame]:
         "04_sensitivity_by_cohort": RP.report_sensitivity(v.mart_sensitivity),
         "05_inforce_decay": RP.report_decay(v.inforce_rollforward, p),
     }
+
+
+def register_views(valuation: Valuation, prefix: str = "") -> list[str]:
+    """A12 (views): expose all 26 models as temporary views under their reference names, so
+    report SQL can be run with ``spark.sql`` (views stay lazy; the boundaries are materialized)."""
+    names = []
+    for name, df in valuation.tables().items():
+        df.createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names
