@@ -10,7 +10,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tontine.operators import cashflow as CF
 from tontine.operators import checks as CK
