@@ -137,3 +137,13 @@ def test_bel_from_inforce_equals_line_sums(val_small):
     for k in lines:
         for c in ("premium_pv", "benefit_pv", "expense_pv", "bel_amount"):
             assert direct[k][c] == pytest.approx(lines[k][c], rel=1e-10)
+
+
+@pytest.mark.parametrize("mode", ["none", "cache", "table"])
+def test_materialization_modes_agree(raw_small, val_small, mode):
+    ref = {(r.scenario_id, r.version_id, r.mort_version_id): r.total_bel for r in val_small.mart_portfolio.collect()}
+    got = {(r.scenario_id, r.version_id, r.mort_version_id): r.total_bel
+           for r in Valuation(raw_small, P, materialize=mode).mart_portfolio.collect()}
+    assert got.keys() == ref.keys()
+    for k in ref:
+        assert got[k] == pytest.approx(ref[k], rel=1e-12)

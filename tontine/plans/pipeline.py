@@ -19,7 +19,7 @@ from tontine.operators import projection as PJ
 from tontine.operators import staging as ST
 from tontine.operators import valuation as VL
 from tontine.params import ValuationParams
-from tontine.session import ensure_checkpoint_dir
+from tontine.session import boundary_path, ensure_checkpoint_dir
 from tontine.sources.fixtures import RawInputs
 from tontine.sources.schemas import RAW_SCHEMAS, conform
 
@@ -33,6 +33,9 @@ class Valuation:
       by the first action and shared by all branches; lost blocks are recomputed from lineage.
     * ``materialize="checkpoint"`` (default): eager ``checkpoint`` into ``spark.checkpoint.dir``
       (the cluster's shared folder); lineage is cut, a lost executor replays nothing upstream.
+    * ``materialize="table"``: each boundary written as a parquet table under
+      ``spark.checkpoint.dir`` and read back (lineage cut; columnar, so readers prune columns,
+      and the optimizer sees real file sizes). Prefer it when a boundary is large.
     * ``materialize="none"``: one plan, no reuse.
     """
 
@@ -46,6 +49,12 @@ class Valuation:
         if self.materialize == "cache":
             self._persisted.append(df.persist())
             return df
+        if self.materialize == "table":
+            # a written parquet table in the shared checkpoint folder: lineage cut, columnar
+            # (readers prune columns), and real file sizes for the optimizer's join choices
+            path = boundary_path(df.sparkSession)
+            df.write.mode("overwrite").parquet(path)
+            return df.sparkSession.read.parquet(path)
         if self.materialize == "checkpoint":
             ensure_checkpoint_dir(df.sparkSession)
             df.persist()                       # the checkpoint write reads these blocks, no recompute

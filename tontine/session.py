@@ -44,3 +44,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.sparkContext.setCheckpointDir(d)
     _READY[app] = d
     return d
+
+
+def boundary_path(spark: SparkSession, name: str = "boundary") -> str:
+    """A fresh folder under the shared checkpoint directory for a written stage boundary."""
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tontine-tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
