@@ -216,6 +216,24 @@ def _discount_table_used(c: Ctx) -> DataFrame:
     return c.v.discount_factor_table.join(_used_discount_keys(c), ["discount_shift_bps", "discount_month"], "left_semi")
 
 
+def _book_tenors(c: Ctx) -> DataFrame:
+    """Curve points the valuation reads: the annual tenors bracketing the book's discount months."""
+    b = _curve_bracket(c)
+    return (b.select(F.col("lower_tenor").cast("long").alias("tenor_month"))
+            .unionByName(b.select(F.col("upper_tenor").cast("long").alias("tenor_month")))
+            .filter(F.col("tenor_month") > 0).distinct())
+
+
+def _on_book_tenors(c: Ctx, df: DataFrame) -> DataFrame:
+    return df.join(_book_tenors(c), ["tenor_month"], "left_semi")
+
+
+BOOK_TENORS_SQL = """(SELECT lower_tenor AS tenor_month FROM dft d WHERE lower_tenor > 0 AND EXISTS (SELECT 1 FROM disc c
+   WHERE c.discount_shift_bps = d.discount_shift_bps AND c.discount_month = d.discount_month)
+ UNION SELECT upper_tenor FROM dft d WHERE EXISTS (SELECT 1 FROM disc c
+   WHERE c.discount_shift_bps = d.discount_shift_bps AND c.discount_month = d.discount_month))"""
+
+
 def _pricing_discount_used(c: Ctx) -> DataFrame:
     years = (PR.pricing_survival(c.policies, c.raw.mortality_assumption, c.raw.discount_curve, c.params)
              .select((F.col("t") + 1).alias("tenor_year")).distinct())
@@ -497,6 +515,36 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             "stressed_rate:d10",
             RATES_SQL.format(m_extra=", mortality_multiplier AS multiplier, qx AS stressed_rate",
                              l_extra=", lapse_multiplier, scenario_lapse_monthly")),
+        # ---------------------------------------------------------- curve analytics (K) at the curve points read
+        "forward_rates": Spec(
+            lambda c: _on_book_tenors(c, CV.forward_rates(c.v.staged.curve)),
+            "version_id:s tenor_month:i tenor_year:d10 forward_rate:d10",
+            "SELECT * FROM (SELECT version_id, tenor_month, tenor_month / 12e0 AS tenor_year, "
+            "pow(1e0 + zero_rate_annual, tenor_month / 12e0) / pow(1e0 + lag(zero_rate_annual) OVER w, "
+            "lag(tenor_month / 12e0) OVER w) - 1e0 AS forward_rate FROM curve "
+            "WINDOW w AS (PARTITION BY version_id ORDER BY tenor_month)) "
+            f"WHERE forward_rate IS NOT NULL AND tenor_month IN {BOOK_TENORS_SQL}"),
+        "annual_discount_factors": Spec(
+            lambda c: _on_book_tenors(c, CV.annual_discount_factors(c.v.staged.curve)),
+            "version_id:s tenor_month:i tenor_year:d10 zero_rate_annual:d10 discount_factor:d10",
+            "SELECT version_id, tenor_month, tenor_month / 12e0 AS tenor_year, zero_rate_annual, "
+            "1e0 / pow(1e0 + zero_rate_annual, tenor_month / 12e0) AS discount_factor FROM curve "
+            f"WHERE tenor_month IN {BOOK_TENORS_SQL}"),
+        "va_effect": Spec(
+            lambda c: _on_book_tenors(c, CV.va_effect(c.v.staged.curve, "A", "B")),
+            "tenor_month:i df_no_va:d10 df_with_va:d10 df_change_pct:d8",
+            "SELECT a.tenor_month, a.df AS df_no_va, b.df AS df_with_va, (b.df - a.df) / a.df * 100 AS df_change_pct "
+            "FROM (SELECT tenor_month, 1e0 / pow(1e0 + zero_rate_annual, tenor_month / 12e0) AS df FROM curve "
+            "WHERE version_id = 'A' AND tenor_month = 240) a JOIN (SELECT tenor_month, "
+            "1e0 / pow(1e0 + zero_rate_annual, tenor_month / 12e0) AS df FROM curve WHERE version_id = 'B' "
+            f"AND tenor_month = 240) b USING (tenor_month) WHERE a.tenor_month IN {BOOK_TENORS_SQL}"),
+        "curve_divergence": Spec(
+            lambda c: _on_book_tenors(c, CV.curve_divergence(c.v.staged.curve, "A", "C")),
+            "tenor_month:i spot_first:d10 spot_second:d10 spot_diff:d10",
+            "SELECT a.tenor_month, a.zero_rate_annual AS spot_first, b.zero_rate_annual AS spot_second, "
+            "b.zero_rate_annual - a.zero_rate_annual AS spot_diff FROM curve a JOIN curve b USING (tenor_month) "
+            "WHERE a.version_id = 'A' AND b.version_id = 'C' AND a.tenor_month <= 240 "
+            f"AND a.tenor_month IN {BOOK_TENORS_SQL}"),
         "curve_interpolation": Spec(
             lambda c: _discount_table_used(c).select("version_id", "discount_shift_bps", "discount_month",
                                                       "lower_rate", "upper_rate", "interpolated_rate"),
