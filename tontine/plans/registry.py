@@ -301,6 +301,32 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             "policy_count, elapsed_duration_years, issue_age + elapsed_duration_years AS attained_age, "
             "term_years - elapsed_duration_years AS remaining_term_years, 'COHORT_FIXTURE' AS cohort_version_id "
             "FROM mp_raw"),
+        "stg_mortality": Spec(
+            lambda c: c.v.staged.mortality.join(
+                c.v.projection_frame.select(F.col("attained_age").alias("age"), "sex").distinct(), ["age", "sex"],
+                "left_semi"),
+            "age:i sex:s qx_annual:d10 source:s year:i mort_version_id:s",
+            "SELECT age, sex, qx_annual, 'SYNTH' AS source, 2019 AS year, mort_version_id FROM mort m "
+            "WHERE EXISTS (SELECT 1 FROM frame f WHERE f.attained_age = m.age AND f.sex = m.sex)"),
+        "stg_lapse": Spec(
+            lambda c: c.v.staged.lapse.join(c.v.projection_frame.select("duration_year").distinct(),
+                                            ["duration_year"], "left_semi"),
+            "duration_year:i lapse_rate_annual:d10 version_id:s",
+            f"SELECT duration_year, lapse_rate_annual, '{AS.LAPSE_VERSION}' AS version_id FROM lapse "
+            "WHERE duration_year IN (SELECT duration_year FROM frame)"),
+        "stg_curve": Spec(
+            lambda c: _on_book_tenors(c, c.v.staged.curve),
+            "tenor_month:i zero_rate_annual:d10 version_id:s",
+            f"SELECT tenor_month, zero_rate_annual, version_id FROM curve WHERE tenor_month IN {BOOK_TENORS_SQL}"),
+        "stg_scenario": Spec(
+            lambda c: c.v.staged.scenario.join(c.v.projection_frame.select("scenario_id").distinct(),
+                                               ["scenario_id"], "left_semi"),
+            "scenario_id:s scenario_type:s mortality_multiplier:d10 lapse_multiplier:d10 discount_shift_bps:i "
+            "scenario_group:s is_base_scenario:b scenario_description:s",
+            "SELECT scenario_id, scenario_type, coalesce(mortality_multiplier, 1e0) AS mortality_multiplier, "
+            "coalesce(lapse_multiplier, 1e0) AS lapse_multiplier, coalesce(discount_shift_bps, 0) AS discount_shift_bps, "
+            "scenario_group, is_base_scenario, scenario_description FROM scen "
+            "WHERE scenario_id IN (SELECT scenario_id FROM frame)"),
         "stg_premium": Spec(
             lambda c: c.v.staged.premium,
             C_MP + " annual_gross_premium:d4 pricing_assumption_version:s premium_frequency:s premium_currency:s",
