@@ -144,3 +144,14 @@ def test_t2_year_grain_rollforward_equals_monthly(spark):
     for m in a:
         assert b[m] == pytest.approx(a[m], rel=1e-12, abs=1e-15)
     assert all(b[m] == 0.0 for m in range(14, 37))        # after the month with q = 1 nothing is in force
+
+
+def test_b5_b7_defaults_for_missing_values(spark, raw_small):
+    from tontine.sources.schemas import literal_table
+    prem = literal_table(spark, [("C1", "M", 100.0, 107.5, "PRICING_V1", None, None)], RAW_SCHEMAS["premium_input"])
+    r = ST.stg_premium(prem, raw_small.assumption_version).first()
+    assert (r.premium_frequency, r.premium_currency) == ("ANNUAL", "EUR")
+    scen = literal_table(spark, [("X", "T", None, None, None, "Core", False, "d")],
+                         RAW_SCHEMAS["stress_scenario_definition"])
+    s = ST.stg_scenario(scen).first()
+    assert (s.mortality_multiplier, s.lapse_multiplier, s.discount_shift_bps) == (1.0, 1.0, 0)
