@@ -19,6 +19,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
              .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
+             # remove checkpoint files once the checkpointed data is no longer referenced
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .config("spark.driver.memory", driver_memory)
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
