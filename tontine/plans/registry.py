@@ -140,10 +140,6 @@ def _grain_cols(p: ValuationParams) -> str:
     return C_K3 + (" mort_version_id:s" if p.checks_by_mort_version else "")
 
 
-def _grain_sql(p: ValuationParams) -> str:
-    return "cohort_id, sex, scenario_id" + (", mort_version_id" if p.checks_by_mort_version else "")
-
-
 def _in(values) -> str:
     return ", ".join("'" + v + "'" for v in values)
 
@@ -285,7 +281,7 @@ SELECT 'curve_key_duplicate', count(*) FROM (SELECT tenor_month, version_id FROM
 def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
     p = p or ValuationParams()
     base = f"'{p.base_scenario}'"
-    g_cols, g_sql = _grain_cols(p), _grain_sql(p)
+    g_cols = _grain_cols(p)
     va_case = "CASE WHEN version_id = 'B' THEN 'A' WHEN version_id = 'D' THEN 'C' END"
     decay = ", ".join(f"max(CASE WHEN projection_month = {m} THEN round(inforce_open, 0) END) AS {n}"
                       for m, n in RP.DECAY_MONTHS)
