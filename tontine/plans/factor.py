@@ -63,11 +63,25 @@ class FactorValuation:
     def __init__(self, policies: DataFrame, raw: RawInputs, params: ValuationParams | None = None,
                  exposure: DataFrame | None = None):
         self.policies = policies
-        self.exposure = exposure
         self.params = params or ValuationParams()
-        cells_from = exposure if exposure is not None else policies
-        unit_raw = RawInputs(**{**raw.__dict__, "policy_cohort_input": unit_cells(cells_from), "premium_input": None})
-        self.unit = Valuation(unit_raw, self.params)
+        self._raw = raw
+        self._exposure_in = exposure
+
+    @cached_property
+    def exposure(self) -> DataFrame | None:
+        """The pre-aggregated exposure (small: segments x sexes x cells), persisted: the unit-cell
+        projection and ``segment_bel`` run as separate jobs and both read it, so the policy table
+        is scanned once (a lost block is recomputed from its lineage, one scan)."""
+        if self._exposure_in is None:
+            return None
+        return self._exposure_in.persist()
+
+    @cached_property
+    def unit(self) -> Valuation:
+        cells_from = self.exposure if self.exposure is not None else self.policies
+        unit_raw = RawInputs(**{**self._raw.__dict__, "policy_cohort_input": unit_cells(cells_from),
+                                "premium_input": None})
+        return Valuation(unit_raw, self.params)
 
     @cached_property
     def chains(self) -> DataFrame:
