@@ -15,12 +15,16 @@ from pyspark.sql import functions as F
 
 
 def _valuation(spark, args):
+    import datetime as dt
+
     from tontine.params import ValuationParams
     from tontine.plans.pipeline import Valuation
     from tontine.sources.fixtures import load_inputs
     from tontine.sources.tables import read_raw_tables
     raw = read_raw_tables(spark, location=args.raw_dir) if args.raw_dir else load_inputs(spark, args.sf_dir)
-    return Valuation(raw, ValuationParams())
+    params = ValuationParams(valuation_date=dt.date.fromisoformat(args.valuation_date),
+                             mort_versions=tuple(args.mort_versions.split(",")))
+    return Valuation(raw, params, materialize=args.materialize)
 
 
 def main(argv=None) -> int:
@@ -30,6 +34,9 @@ def main(argv=None) -> int:
     src.add_argument("--raw-dir", help="folder holding the eight raw tables as <folder>/<table>")
     src.add_argument("--sf-dir", help="driver tables folder (orders, customer, ...)")
     ap.add_argument("--out", help="output folder (run)")
+    ap.add_argument("--valuation-date", default="2026-01-01", help="first projection month (YYYY-MM-DD)")
+    ap.add_argument("--mort-versions", default="M1,M2", help="mortality bases to value, comma separated")
+    ap.add_argument("--materialize", default="checkpoint", choices=["checkpoint", "table", "cache", "none"])
     args = ap.parse_args(argv)
 
     from tontine.operators import quality as DQ
