@@ -111,3 +111,12 @@ def test_register_views_supports_report_sql(spark, val_small):
     assert len(names) == 26
     n = spark.sql("SELECT overall_validation_status, COUNT(*) AS n FROM t_mart_validation_summary GROUP BY 1").collect()
     assert [(r.overall_validation_status, r.n) for r in n] == [("PASS", 720)]
+
+
+def test_cli_run_writes_marts_and_reports(spark, scratch):
+    from tontine.__main__ import main
+    assert main(["run", "--sf-dir", "/root/testdata/sf0.001", "--out", scratch, "--mort-versions", "M1",
+                 "--valuation-date", "2026-04-01"]) == 0
+    port = spark.read.parquet(os.path.join(scratch, "mart_portfolio_overview"))
+    assert port.count() == 9 * 4 and {r.mort_version_id for r in port.collect()} == {"M1"}
+    assert os.path.isdir(os.path.join(scratch, "reports", "05_inforce_decay"))
