@@ -32,7 +32,7 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS, HEX = r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}"
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
-FDR, BATTERY = 0.05, 0.001
+FDR, BATTERY, LEAST = 0.05, 0.001, 20
 GRID, TOP = 8, 8000
 _D, _U, _L = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: encoding -> (pattern of its tokens, alphabet, symbol collision rate of text written in it, its excess third moment)
@@ -72,12 +72,13 @@ def upper_tail(z: Column) -> Column:
 
 
 def battery(tokens: DataFrame) -> DataFrame:
-    """``(token)`` -> plus ``encoding, n, p_chi, p_runs, p_serial, p_text``."""
+    """``(token)`` -> plus ``encoding, n, p_chi, p_runs, p_serial, p_text``. Padding does not
+    count; tokens with fewer than ``LEAST`` other symbols are left out."""
     body = F.regexp_replace("token", "=+$", "")
     kind = F.lit("base64")
     for name in ("base62", "base32", "hex"):
         kind = F.when(F.col("body").rlike(ENCODINGS[name][0]), F.lit(name)).otherwise(kind)
-    t = tokens.withColumn("body", body).withColumn("encoding", kind)
+    t = tokens.withColumn("body", body).where(F.length("body") >= LEAST).withColumn("encoding", kind)
     t = t.withColumn("body", F.when(F.col("encoding") == "hex", F.lower("body")).otherwise(F.col("body"))).withColumn("n", F.length("body").cast("double"))
 
     def by_kind(value) -> Column:
@@ -130,7 +131,7 @@ def battery(tokens: DataFrame) -> DataFrame:
 def discoveries(tokens: DataFrame, fdr: float = FDR, alpha: float = BATTERY) -> DataFrame:
     """The ``(token)`` rows judged random: pass the battery, and are rejected as text at a false
     discovery rate of ``fdr`` over all distinct tokens, weighted by length."""
-    t = materialize(battery(tokens.distinct().where(F.length(F.regexp_replace("token", "=+$", "")) >= 20)), "battery")
+    t = materialize(battery(tokens.distinct()), "battery")
     total = t.agg(F.count(F.lit(1)).alias("m"), F.avg("n").alias("mean_n"))
     fine = (F.least("p_chi", "p_runs", "p_serial") * 3 >= alpha)
     weighted = F.least(F.lit(1.0), F.col("p_text") * F.col("mean_n") / F.col("n"))
@@ -162,8 +163,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: f
     random = discoveries(spans.where("kind = 3").select("token"), fdr, alpha)
     kept = spans.where("kind < 3").drop("token").unionByName(spans.where("kind = 3").join(random, "token", "left_semi").drop("token"))
     label = lambda c: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), c["kind"] + 1), c["start"], c["end"])
+    of_kind = lambda i: F.size(F.filter("s", lambda c: c["kind"] == i)).cast("long")
     per = kept.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("s"))
-    per = per.select("row", *[F.size(F.filter("s", lambda c, i=i: c["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)],
+    per = per.select("row", *[of_kind(i).alias(f"n_{k}") for i, k in enumerate(KINDS)],
                      F.array_join(F.transform(F.filter("s", lambda c: c["kind"] < 3), label), ",").alias("base"), F.array_join(F.transform("s", label), ",").alias("spans"))
     zero = lambda k: F.coalesce(F.col(f"n_{k}"), F.lit(0).cast("long")).alias(f"n_{k}")
     return rows.select("row", "doc_id").join(per, "row", "left").select(

@@ -41,7 +41,7 @@ from tontine.llm.common import materialize, range_prefix, scratch_path
 MAGIC = b"EFTOKIDS"
 _FOOT = struct.Struct("<8sIIQQQqQQ")  # magic, version, bytes an id, docs, ids, docs without id, smallest id, bytes of ends, bytes of ids' ids
 SHARD_IDS = 1 << 26
-CACHE = 400_000
+CACHE = 1_000_000
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PIECE = re.compile(rf"\s*[{_LETTERS}]+(?=[\s.,;:!?#$%&*|()]|$)|\s*\S+|\s+")
 _PLAIN = re.compile(rf" [{_LETTERS}]+")
@@ -82,12 +82,13 @@ class Encoder:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: set[str]) -> None:
-        plain = [p for p in new if _PLAIN.fullmatch(p)]
-        rest = [p for p in new if not _PLAIN.fullmatch(p)]
-        for at in range(0, len(plain), 1000):  # " a b c": every piece starts with a token that starts with a blank
-            part = plain[at:at + 1000]
-            ids = np.array(self.tokenizer.encode("".join(part), add_special_tokens=False).ids, dtype=self.kind)
-            cut = np.flatnonzero(self.starts[ids])
+        plain, rest = [], []
+        for p in new:
+            (plain if _PLAIN.fullmatch(p) else rest).append(p)
+        groups = [plain[at:at + 200] for at in range(0, len(plain), 200)]
+        for part, e in zip(groups, self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype=self.kind)
+            cut = np.flatnonzero(self.starts[ids])  # " a b c": every piece starts with a token that starts with a blank
             if len(cut) != len(part):
                 rest += part
                 continue
