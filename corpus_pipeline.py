@@ -10,29 +10,34 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tontine.llm import decontaminate as decontamination
 from tontine.llm import mixing, near_dup, quality, token_files
-from tontine.llm.common import materialize, read_table
+from tontine.llm.common import materialize, on_workers, read_table
 
 
+@on_workers
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labelled ones among them, does not reject."""
     return quality.keep_good(docs, quality.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+@on_workers
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the smallest id, of each group of near-duplicates."""
     return near_dup.drop_near_duplicates(docs)
 
 
+@on_workers
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the contamination rule clears."""
     return decontamination.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
 
 
+@on_workers
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mix(docs)
 
 
+@on_workers
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the documents, read back: ``doc_id, start, n_tokens, ids_crc32``."""
     return token_files.token_output(docs)

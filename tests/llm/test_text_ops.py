@@ -105,10 +105,20 @@ def test_near_duplicates_on_awkward_rows(spark):
     same(near_dup.near_duplicates(brute.docs(spark)), DUP, brute.components(brute.DOCS))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_near_duplicates_around_the_threshold(spark, seed):
+@pytest.mark.parametrize("seed, block", [(1, near_dup.BLOCK_ROWS), (2, 7)])
+def test_near_duplicates_around_the_threshold(spark, seed, block):
     v = variants(150, seed)
-    same(near_dup.near_duplicates(brute.docs(spark, v)), DUP, brute.components(v))
+    same(near_dup.near_duplicates(brute.docs(spark, v), block_rows=block), DUP, brute.components(v))
+
+
+def test_cross_pairs():
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 12, int(rng.integers(1, 12)))).astype(np.uint32) for _ in range(60)]
+    comp, side = rng.integers(0, 20, 60), rng.integers(0, 3, 60)
+    left, right = side != 1, side != 0
+    want = {(i, j) for i in range(60) for j in range(i + 1, 60) if comp[i] != comp[j] and ((left[i] and right[j]) or (right[i] and left[j]))
+            and 100 * len(set(sets[i]) & set(sets[j])) >= 75 * len(set(sets[i]) | set(sets[j]))}
+    assert {tuple(x) for x in near_dup.cross_pairs(sets, comp, left, right, 75, 100).tolist()} == want
 
 
 def test_chain_of_near_copies_is_one_component(spark):

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +15,32 @@ from pyspark.sql import functions as F
 _LOCAL: dict[str, str] = {}
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this library to the executors through Spark, once an application, so that tasks can
+    import it wherever the driver was started."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        root = Path(__file__).resolve().parents[2]
+        path = Path(tempfile.mkdtemp(prefix="tontine-ship-")) / "tontine.zip"  # the driver's own copy
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted((root / "tontine").rglob("*.py")):
+                z.write(f, f.relative_to(root))
+        spark.sparkContext.addPyFile(str(path))
+        _SHIPPED.add(app)
+
+
+def on_workers(query: Callable) -> Callable:
+    """``query`` with the library shipped first; its first argument is the session."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        ship_package(spark)
+        return query(spark, *args)
+    return run
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -4,13 +4,14 @@ Signature: the 64-bit shingle hashes go through a first permutation (an invertib
 second permutation of the 32-bit circle is shifted circularly by k = 0, 1, .. to give coordinate
 k, the smallest image of the document's shingles. Two permutations thus give all coordinates.
 Bands of ``rows`` coordinates are hashed; documents that share a band hash are candidates and
-are confirmed on their full shingle sets. With 32 bands of 4, a pair at exactly 0.75 is missed
-with probability (1 - 0.75**4)**32, about 5e-6; above that, less.
+are confirmed on their full shingle sets. With 42 bands of 5, a pair at exactly 0.75 is missed
+with probability (1 - 0.75**5)**42, about 1e-5; above that, less.
 
 Documents with equal shingle sets form a class that one representative stands for. In a bucket
 every representative is first checked against the bucket's smallest one; what that links forms
-components, and only pairs across components are then checked, so a large group of near copies
-never emits all its pairs.
+components. Buckets that still hold several components are compared in blocks of bounded size, a
+block's common shingles counted by one matrix product, and only pairs across components that
+reach the threshold come out, so no bucket ever emits all its pairs.
 
 Defined results: no words, or null text: no shingles, linked with nothing; rows of one doc_id
 are one node; rows without doc_id get component null and are kept.
@@ -30,9 +31,10 @@ from tontine.llm.common import materialize
 from tontine.llm.components import connected_components
 from tontine.llm.words import U, mix, shingles
 
-SHINGLE, BANDS, ROWS = 5, 32, 4
+SHINGLE, BANDS, ROWS = 5, 42, 5
 NUM, DEN = 75, 100  # linked: DEN * |A & B| >= NUM * |A | B|
 _BLOCK = 1 << 16
+BLOCK_ROWS, BLOCK_ITEMS = 2048, 4_000_000  # of one block of a bucket
 
 
 def circulant_signature(items: np.ndarray, k: int) -> np.ndarray:
@@ -93,9 +95,9 @@ def _fingerprints(shingle: int, bands: int, rows: int):
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([shingles(t, shingle).tobytes() for t in _texts(b.column(1))], pa.binary())],
-                ["id", "items"])
+            sets = [shingles(t, shingle) for t in _texts(b.column(1))]
+            short = [np.unique((x >> U(32)).astype(np.uint32)).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in sets], pa.binary()), pa.array(short, pa.binary())], ["id", "items", "short"])
     return run
 
 
@@ -116,6 +118,81 @@ def _confirm(num: int, den: int):
     return run
 
 
+def cross_pairs(sets: list[np.ndarray], comp: np.ndarray, left: np.ndarray, right: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Index pairs (i < j) of different components and sides whose sets are similar enough.
+    ``left`` and ``right`` mark the sides that a set belongs to (both, within one block)."""
+    n = len(sets)
+    size = np.array([len(x) for x in sets])
+    owner, item = np.repeat(np.arange(n), size), np.concatenate(sets)
+    order = np.argsort(item, kind="stable")
+    owner, item = owner[order], item[order]
+    new = np.concatenate([[True], item[1:] != item[:-1]])
+    column = np.cumsum(new) - 1
+    held = np.bincount(column)
+    keep = held[column] > 1  # what one set holds is common to no pair
+    owner, column = owner[keep], np.unique(column[keep], return_inverse=True)[1]
+    common = np.zeros((n, n), dtype=np.float32)
+    columns = int(column[-1]) + 1 if len(column) else 0
+    width = max(1, min(columns, max(256, (1 << 23) // n)))
+    for at in range(0, columns, width):
+        a, b = np.searchsorted(column, [at, at + width])
+        x = np.zeros((n, width), dtype=np.float32)
+        x[owner[a:b], column[a:b] - at] = 1
+        common += x @ x.T
+    fits = den * common >= num * (size[:, None] + size[None, :] - common)
+    sides = (left[:, None] & right[None, :]) | (right[:, None] & left[None, :])
+    return np.argwhere(np.triu(fits & sides & (comp[:, None] != comp[None, :]), 1))
+
+
+def _blocks(num: int, den: int):
+    """Rows sorted by (h, lo, hi) -> the similar pairs of each block, a run of equal keys."""
+    def pairs(run: list[pa.RecordBatch]) -> tuple[list[int], list[int]]:
+        t = pa.Table.from_batches(run)
+        rep, comp, part = (t[c].to_numpy() for c in ("rep", "comp", "part"))
+        sets = [np.frombuffer(x.as_py(), dtype=np.uint32) for x in t["short"]]
+        got = cross_pairs(sets, comp, part == t["lo"].to_numpy(), part == t["hi"].to_numpy(), num, den)
+        a, b = rep[got[:, 0]], rep[got[:, 1]]
+        return np.minimum(a, b).tolist(), np.maximum(a, b).tolist()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        key, a, b = None, [], []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, lo, hi = (batch.column(i).to_numpy() for i in range(3))
+            cut = 1 + np.flatnonzero((h[1:] != h[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1]))
+            for x, y in zip([0, *cut.tolist()], [*cut.tolist(), batch.num_rows]):
+                if held and (h[x], lo[x], hi[x]) != key:
+                    for out, more in zip((a, b), pairs(held)):
+                        out += more
+                    held = []
+                key = (h[x], lo[x], hi[x])
+                held.append(batch.slice(x, y - x))
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                a, b = [], []
+        if held:
+            for out, more in zip((a, b), pairs(held)):
+                out += more
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    return run
+
+
+def block_pairs(placed: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN, block_rows: int = BLOCK_ROWS, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """Similar pairs of different components in the buckets ``placed (h, rep, n, comp)``. A bucket
+    is dealt into blocks; every two blocks meet in one group, so a row is copied once a block."""
+    many = placed.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("c"), F.sum("n").alias("items")).where("lo < hi")
+    many = many.select("h", F.greatest(F.ceil(F.col("c") / block_rows), F.ceil(F.col("items") / block_items)).cast("int").alias("parts"))
+    rows = placed.join(many, "h").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    whole = rows.where("parts = 1").withColumn("other", F.lit(0))
+    dealt = rows.where("parts > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = whole.unionByName(dealt).select("h", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "rep", "comp")
+    rows = rows.join(sets.select(F.col("id").alias("rep"), "short"), "rep").select("h", "lo", "hi", "part", "rep", "comp", "short")
+    parts = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (rows.repartition(parts, "h", "lo", "hi").sortWithinPartitions("h", "lo", "hi").mapInArrow(_blocks(num, den), "a long, b long").distinct())
+
+
 def confirm(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """The ``(a, b)`` pairs whose sets in ``sets (id, items)`` are similar enough."""
     return (pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
@@ -124,7 +201,8 @@ def confirm(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    bands: int = BANDS, rows: int = ROWS, num: int = NUM, den: int = DEN) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS, num: int = NUM, den: int = DEN,
+                    block_rows: int = BLOCK_ROWS, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs``."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     fp = materialize(src.mapInArrow(_fingerprints(shingle, bands, rows),
@@ -140,23 +218,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     star = materialize(mem.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "star")
     needed = mem.select(F.col("rep").alias("id")).distinct()
-    sets = materialize(src.where("id is not null").join(needed, "id", "left_semi").mapInArrow(_sets(shingle), "id long, items binary"), "sets")
+    sets = materialize(src.where("id is not null").join(needed, "id", "left_semi").mapInArrow(_sets(shingle), "id long, items binary, short binary"), "sets")
     # an id that names several texts stands for each of them
     links = materialize(confirm(star, sets, num, den), "links")
     comp = connected_components(links)
 
-    # pairs across components: one of the two is outside the component of the bucket's hub
     c = comp.select(F.col("id").alias("rep"), "comp")
-    hc = comp.select(F.col("id").alias("hub"), F.col("comp").alias("hub_comp"))
-    placed = (mem.join(c, "rep", "left").join(hc, "hub", "left")
-              .withColumns({"comp": F.coalesce("comp", "rep"), "hub_comp": F.coalesce("hub_comp", "hub")}))
-    out = placed.where("comp <> hub_comp").select("h", "hub", F.col("rep").alias("s"), F.col("n").alias("sn"), F.col("comp").alias("sc"))
-    rest = placed.select("h", "rep", "n", "comp")
-    cross = (out.join(rest, "h").where(
-        (F.col("comp") != F.col("sc")) & (F.col("rep") != F.col("hub"))
-        & (den * F.least("n", "sn") >= num * F.greatest("n", "sn")))
-        .select(F.least("s", "rep").alias("a"), F.greatest("s", "rep").alias("b")).distinct())
-    more = materialize(confirm(materialize(cross, "cross"), sets, num, den), "links2")
+    placed = mem.join(c, "rep", "left").select("h", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
+    cross = materialize(block_pairs(placed, sets, num, den, block_rows, block_items), "cross")
+    more = materialize(confirm(cross, sets, num, den), "links2")
 
     # classes hang on their representative; an id may stand in several classes
     twin = known.join(reps.where("c > 1").select("k1", "k2", "rep"), ["k1", "k2"]).select(F.col("rep").alias("a"), F.col("id").alias("b"))

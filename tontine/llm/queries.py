@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tontine.llm import decontaminate, licenses, line_dedup, mixing, near_dup, neighbours, quality, secrets, token_files, url_filter
-from tontine.llm.common import read_table
+from tontine.llm.common import on_workers, read_table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,5 +60,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read_table(spark, sf_dir, "pages")).drop("antecedent")
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_decontaminate, op3_near_dup, op4_line_dedup, op5_mixing, op6_neighbours, op7_secret_scan,
+QUERIES = {f.__name__: on_workers(f) for f in (op1_license_scan, op2_decontaminate, op3_near_dup, op4_line_dedup, op5_mixing, op6_neighbours, op7_secret_scan,
                                    op8_token_files, op9_quality, op10_url_filter)}
