@@ -23,7 +23,7 @@ from tontine.llm.common import materialize, range_prefix
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 EPOCHS = 2
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 10_000
 
 
 def n_words(text: Column) -> Column:
@@ -75,7 +75,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("__docs"))
     goal = materialize(targets(sums.drop("__docs"), weights, share, epochs), "targets")
     rows = rows.withColumn("__hash", shuffle_key("doc_id"))
-    n_buckets = 1 << max(4, (max(1, rows.count()) // BUCKET_ROWS).bit_length())
+    n_buckets = 1 << max(8, (max(1, rows.count()) // BUCKET_ROWS).bit_length())
     rows = rows.withColumn("__bucket", F.shiftright("__hash", 60 - n_buckets.bit_length() + 1))
 
     bucket = rows.groupBy("source", "__bucket").agg(F.sum("size").alias("__sum"))
