@@ -41,7 +41,7 @@ from tontine.llm.common import materialize, range_prefix, scratch_path
 MAGIC = b"EFTOKIDS"
 _FOOT = struct.Struct("<8sIIQQQqQQ")  # magic, version, bytes an id, docs, ids, docs without id, smallest id, bytes of ends, bytes of ids' ids
 SHARD_IDS = 1 << 26
-CACHE = 1_000_000
+CACHE = 300_000
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PIECE = re.compile(rf"\s*[{_LETTERS}]+(?=[\s.,;:!?#$%&*|()]|$)|\s*\S+|\s+")
 _PLAIN = re.compile(rf" [{_LETTERS}]+")
@@ -105,7 +105,7 @@ class Encoder:
         for c in cut:
             used.update(c or ())
         if len(self.cache) + len(used) > CACHE:
-            self.cache = {}
+            self.cache = {p: ids for p in used if (ids := self.cache.get(p)) is not None}  # the common ones stay
         self._learn(used - self.cache.keys())
         get = self.cache.__getitem__
         return [self._whole([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
