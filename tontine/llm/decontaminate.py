@@ -21,6 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tontine.llm.common import tidied
 from tontine.llm.words import CLASSES, U, sequence_hashes, word_hashes
 
 N = 13
@@ -117,7 +118,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, key: Column | str, text_col: str
                       F.lit(None).cast("array<long>").alias("__spans"), F.lit(None).cast("array<string>").alias("__items"))
     schema = out.schema
     for block in blocks(benchmark, item_col, item_text, block_bytes):
-        out = out.mapInArrow(_scanner(block, n), schema)
+        out = out.mapInArrow(tidied(_scanner(block, n)), schema)
     return out
 
 
@@ -174,5 +175,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                 text = [cut_spans(t, x) if x else t for t, x in zip(b.column(1).to_pylist(), spans)]
                 yield b.set_column(1, "__text", pa.array(text, b.schema.field(1).type))
 
-    done = h.mapInArrow(run, h.schema)
+    done = h.mapInArrow(tidied(run), h.schema)
     return done.select(*[(F.col("__text") if c == text_col else F.col("__key").getField(c)).alias(c) for c in docs.columns])

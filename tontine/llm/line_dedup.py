@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tontine.llm.common import materialize
+from tontine.llm.common import materialize, tidied
 
 MIN_CHARS, MIN_DOCS = 40, 5
 SHARD_KEYS = 1 << 18
@@ -173,7 +173,7 @@ class LineIndex:
     def keys_of(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """Distinct ``(doc_id, k1, k2)`` within each row."""
         src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("doc_id is not null")
-        return src.mapInArrow(_postings(self.min_chars), "doc_id long, k1 long, k2 long")
+        return src.mapInArrow(tidied(_postings(self.min_chars)), "doc_id long, k1 long, k2 long")
 
     def _shard(self):
         return F.pmod(F.shiftright("k1", 40), F.lit(self.shards).cast("long"))
@@ -292,5 +292,5 @@ class LineIndex:
         row = F.struct(*[F.col(f"`{c}`") for c in rest])
         joined = docs.join(drops, F.col(id_col).cast("long") == F.col("__id"), "left").select(row.alias("__row"), F.col(text_col).cast("string").alias("__text"), "__drop")
         kind = joined.schema["__row"].dataType.simpleString()
-        out = joined.mapInArrow(_dropper(self.min_chars), f"__row {kind}, __text string, n_lines long, n_dropped long")
+        out = joined.mapInArrow(tidied(_dropper(self.min_chars)), f"__row {kind}, __text string, n_lines long, n_dropped long")
         return out.select(*[(F.col("__text") if c == text_col else F.col("__row").getField(c)).alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")

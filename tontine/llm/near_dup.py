@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tontine.llm.common import materialize
+from tontine.llm.common import materialize, tidied
 from tontine.llm.components import connected_components
 from tontine.llm.words import U, mix, shingles
 
@@ -190,14 +190,14 @@ def block_pairs(placed: DataFrame, sets: DataFrame, num: int = NUM, den: int = D
     rows = whole.unionByName(dealt).select("h", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "rep", "comp")
     rows = rows.join(sets.select(F.col("id").alias("rep"), "short"), "rep").select("h", "lo", "hi", "part", "rep", "comp", "short")
     parts = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(parts, "h", "lo", "hi").sortWithinPartitions("h", "lo", "hi").mapInArrow(_blocks(num, den), "a long, b long").distinct())
+    return (rows.repartition(parts, "h", "lo", "hi").sortWithinPartitions("h", "lo", "hi").mapInArrow(tidied(_blocks(num, den)), "a long, b long").distinct())
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """The ``(a, b)`` pairs whose sets in ``sets (id, items)`` are similar enough."""
     return (pairs.join(sets.select(F.col("id").alias("b"), F.col("items").alias("y")), "b")
             .join(sets.select(F.col("id").alias("a"), F.col("items").alias("x")), "a")
-            .select("a", "b", "x", "y").mapInArrow(_confirm(num, den), "a long, b long"))
+            .select("a", "b", "x", "y").mapInArrow(tidied(_confirm(num, den)), "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -205,7 +205,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     block_rows: int = BLOCK_ROWS, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs``."""
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    fp = materialize(src.mapInArrow(_fingerprints(shingle, bands, rows),
+    fp = materialize(src.mapInArrow(tidied(_fingerprints(shingle, bands, rows)),
                                     "id long, n long, k1 long, k2 long, bands array<long>"), "fingerprints")
     known = fp.where("n > 0 and id is not null")
     reps = materialize(known.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")), "classes")
@@ -218,7 +218,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     star = materialize(mem.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "star")
     needed = mem.select(F.col("rep").alias("id")).distinct()
-    sets = materialize(src.where("id is not null").join(needed, "id", "left_semi").mapInArrow(_sets(shingle), "id long, items binary, short binary"), "sets")
+    sets = materialize(src.where("id is not null").join(needed, "id", "left_semi").mapInArrow(tidied(_sets(shingle)), "id long, items binary, short binary"), "sets")
     # an id that names several texts stands for each of them
     links = materialize(confirm(star, sets, num, den), "links")
     comp = connected_components(links)

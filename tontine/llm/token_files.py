@@ -36,12 +36,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tontine.llm import elias_fano
-from tontine.llm.common import materialize, range_prefix, scratch_path
+from tontine.llm.common import materialize, range_prefix, scratch_path, tidied
 
 MAGIC = b"EFTOKIDS"
 _FOOT = struct.Struct("<8sIIQQQqQQ")  # magic, version, bytes an id, docs, ids, docs without id, smallest id, bytes of ends, bytes of ids' ids
 SHARD_IDS = 1 << 26
-CACHE = 300_000
+CACHE = 200_000
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PIECE = re.compile(rf"\s*[{_LETTERS}]+(?=[\s.,;:!?#$%&*|()]|$)|\s*\S+|\s+")
 _PLAIN = re.compile(rf" [{_LETTERS}]+")
@@ -115,7 +115,7 @@ _ENCODERS: dict[int, Encoder] = {}
 
 
 def encoder(spec: Broadcast) -> Encoder:
-    """One encoder per worker and vocabulary, kept between tasks."""
+    """One encoder per worker and vocabulary, kept between tasks (its pieces are not)."""
     text = spec.value
     key = zlib.crc32(text.encode())
     if key not in _ENCODERS:
@@ -203,6 +203,7 @@ def _write(spec: Broadcast, folder: str, end_id: int, shard_ids: int):
                         shard = None
         if shard is not None:
             close()
+        enc.cache = {}
         if done:
             yield pa.RecordBatch.from_pydict(dict(zip(("part", "seq", "file", "n_docs", "n_ids"), map(list, zip(*done)))))
     return run
@@ -217,7 +218,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     laid = src.repartitionByRange(parts, "id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"), "text")
-    rows = laid.mapInArrow(_write(spec, f"{path}/shards", end_id, shard_ids), "part long, seq long, file string, n_docs long, n_ids long")
+    rows = laid.mapInArrow(tidied(_write(spec, f"{path}/shards", end_id, shard_ids)), "part long, seq long, file string, n_docs long, n_ids long")
     rows = materialize(rows, "shards")
     ranked = range_prefix(rows, ["part", "seq"], "n_ids", "__upto", max(1, parts // 8), "manifest")
     ranked.select("file", "n_docs", "n_ids", (F.col("__upto") - F.col("n_ids")).alias("start")).write.parquet(f"{path}/manifest")
@@ -250,7 +251,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     all documents before it, ids with the end id, and their crc32 as 32-bit integers."""
     files = spark.read.parquet(f"{path}/manifest").select("file", "start")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return files.repartition(parts, "file").mapInArrow(_read(f"{path}/shards"), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.repartition(parts, "file").mapInArrow(tidied(_read(f"{path}/shards")), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_output(docs: DataFrame, **params) -> DataFrame:
