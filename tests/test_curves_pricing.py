@@ -81,3 +81,18 @@ def test_curve_and_mortality_bel_impact(val_small):
     m = {(r.version_id, r.mort_version_id): r for r in CV.mortality_bel_impact(val_small.mart_portfolio, P).collect()}
     assert m[("B", "M1")].va_effect == pytest.approx(m[("B", "M1")].total_bel - m[("A", "M1")].total_bel)
     assert m[("A", "M2")].delta_vs_ref_mort > 0          # heavier mortality basis, higher BEL
+
+
+def test_long_terms_are_priced_in_full_and_unpriceable_policies_are_kept(spark, raw_small):
+    m, c = raw_small.mortality_assumption, raw_small.discount_curve
+    book = spark.createDataFrame([("long", "M", 30, 60, 1e5), ("past", "M", 90, 30, 1e5), ("none", "F", 120, 5, 1e5), ("zero", "F", 40, 0, 1e5)],
+                                 "cohort_id string, sex string, issue_age int, term_years int, sum_assured double")
+    got = {r.cohort_id: r.annual_net_premium for r in PR.price(book, m, c, P).collect()}
+    q = {r.age: r.qx_annual for r in m.filter("version_id = 'M1' and sex = 'M'").collect()}
+    v = {r.tenor_year: r.annual_df for r in PR.pricing_discount(c, P).collect()}
+    assert got["long"] == pytest.approx(1e5 * _brute_net_rate(q, v, 30, 60), rel=1e-9)
+    assert [got[k] for k in ("past", "none", "zero")] == [None] * 3
+    cover = {(r.issue_age, r.term_years): r for r in PR.pricing_coverage(book, m, c, P).collect()}
+    assert cover[30, 60].priced and sum(r.policies for r in cover.values()) == 4
+    assert (cover[90, 30].missing_mortality, cover[120, 5].missing_mortality, cover[40, 0].years) == (9, 5, 0)
+    assert not any(cover[k].priced for k in ((90, 30), (120, 5), (40, 0)))

@@ -8,7 +8,6 @@ Layers (each a plain function DataFrame -> DataFrame, nothing runs until an acti
                 curve analytics, validation gate, data-quality runner, reports
 * ``plans``     wiring: the model-point row path, the seriatim unit-factor path,
                 the query registry used by ``__spark_entry__``
-* ``streaming`` intentionally empty (the reference is batch only)
 """
 
 from tontine.params import ValuationParams

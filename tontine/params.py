@@ -19,7 +19,6 @@ class ValuationParams:
     # pricing (J): which mortality basis and curve price the premium
     pricing_mort_version: str = "M1"
     pricing_curve_version: str = "A"
-    pricing_max_tenor_years: int = 40
     # fixed values: expense 3 %, profit 2 %, contingency 2 % loadings on the net premium
     loadings: tuple[float, ...] = (0.03, 0.02, 0.02)
     pricing_version_id: str = "PRICING_V1"

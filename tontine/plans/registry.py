@@ -230,6 +230,28 @@ BOOK_TENORS_SQL = """(SELECT lower_tenor AS tenor_month FROM dft d WHERE lower_t
    WHERE c.discount_shift_bps = d.discount_shift_bps AND c.discount_month = d.discount_month))"""
 
 
+def _long_terms(c):
+    """Every policy priced to four times its term: years beyond 40, ages beyond the table."""
+    book = c.policies.withColumn("term_years", F.col("term_years") * 4)
+    m, d = c.raw.mortality_assumption, c.raw.discount_curve
+    return PR.pricing_coverage(book, m, d, c.params).join(PR.premium_rates(book, m, d, c.params), PR.PRICE_KEYS)
+
+
+LONG_TERMS_SQL = """
+SELECT sex, issue_age, term_years, policies, count(*) AS years, count(*) FILTER (qx_annual IS NULL) AS missing_mortality,
+       count(*) FILTER (df IS NULL) AS missing_discount, bool_and(qx_annual IS NOT NULL AND df IS NOT NULL) AS priced,
+       CASE WHEN bool_and(qx_annual IS NOT NULL AND df IS NOT NULL) THEN sum(df * p * qx_annual) END AS benefit_sum,
+       CASE WHEN bool_and(qx_annual IS NOT NULL AND df IS NOT NULL) THEN sum(df * p) END AS annuity_sum
+FROM (SELECT y.*, qx_annual, 1e0 / pow(1e0 + zero_rate_annual, y.t + 1e0) AS df,
+             coalesce(product(1e0 - qx_annual) OVER (PARTITION BY y.sex, y.issue_age, y.term_years ORDER BY y.t
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1e0) AS p
+      FROM (SELECT sex, issue_age, term_years, policies, unnest(generate_series(0, term_years - 1)) AS t
+            FROM (SELECT sex, issue_age, 4 * term_years AS term_years, count(*) AS policies FROM pol GROUP BY ALL)) y
+      LEFT JOIN mort_raw m ON m.version_id = 'M1' AND m.sex = y.sex AND m.age = y.issue_age + y.t
+      LEFT JOIN curve c ON c.version_id = 'A' AND c.tenor_month = 12 * (y.t + 1))
+GROUP BY ALL"""
+
+
 def _pricing_discount_used(c: Ctx) -> DataFrame:
     years = (PR.pricing_survival(c.policies, c.raw.mortality_assumption, c.raw.discount_curve, c.params)
              .select((F.col("t") + 1).alias("tenor_year")).distinct())
@@ -512,6 +534,11 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             f"p.sum_assured * r.benefit_sum / r.annuity_sum / {PR.gross_divisor(p)!r} AS annual_gross_premium, "
             f"'{p.pricing_version_id}' AS pricing_assumption_version, 'ANNUAL' AS premium_frequency, "
             "'EUR' AS premium_currency FROM pol p JOIN u_prates r USING (sex, issue_age, term_years)"),
+        "pricing_long_terms": Spec(
+            lambda c: _long_terms(c),
+            "sex:s issue_age:i term_years:i policies:i years:i missing_mortality:i missing_discount:i priced:b "
+            "benefit_sum:d8 annuity_sum:d8",
+            LONG_TERMS_SQL),
         # ---------------------------------------------------------- data-derived views of F1, G3, G8, J1, A5
         "monthly_premium": Spec(
             lambda c: c.v.inforce_wide.filter(F.col("monthly_premium").isNotNull()).select(

@@ -32,8 +32,8 @@ _READY: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset (local tests)
-    fall back to a fresh scratch folder. Idempotent per application."""
+    """Use the cluster's shared ``spark.checkpoint.dir``; where it is unset, only a local
+    master (one machine, as in tests) may fall back to a scratch folder. Idempotent per application."""
     app = spark.sparkContext.applicationId
     if app in _READY:
         return _READY[app]
@@ -42,6 +42,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
         if not d:
+            if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             d = tempfile.mkdtemp(prefix="tontine-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     _READY[app] = d

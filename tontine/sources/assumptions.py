@@ -26,7 +26,7 @@ SCENARIO_ROWS = [
     ("LAPSE_DOWN", "Lapse", 1.00, 0.90, 0, "Core", False, "Lapse -10%"),
     ("RATE_UP", "Discount", 1.00, 1.00, 50, "Core", False, "Discount +50bps"),
     ("RATE_DOWN", "Discount", 1.00, 1.00, -50, "Core", False, "Discount -50bps"),
-    ("COMBINED_ADVERSE", "Combined", 1.10, 1.00, -50, "Advanced", False, "Mortality up, discount down"),
+    ("COMBINED_ADVERSE", "Combined", 1.10, 1.00, -50, "Advanced", False, "Mortality↑, Discount↓"),
     ("PERSIST_IMPROVE", "Lapse", 1.00, 0.70, 0, "Advanced", False, "Persistency improves (lapse -30%)"),
 ]
 #   maintenance expense: 3 % of premium

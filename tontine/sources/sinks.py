@@ -33,9 +33,9 @@ def write_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "p
         w.saveAsTable(name)
 
 
-def export_csv(reports: Mapping[str, DataFrame], folder: str, single_file: bool = True) -> None:
-    """One CSV folder per report with a header. Reports are small aggregates, so
-    ``single_file`` coalesces each to one partition on an executor (not on the driver)."""
+def export_csv(reports: Mapping[str, DataFrame], folder: str, single_file: bool = False) -> None:
+    """One CSV folder per report with a header. ``single_file`` coalesces
+    each to one partition on an executor; leave it off for reports that grow with the book."""
     for name, df in reports.items():
         out = df.coalesce(1) if single_file else df
         out.write.mode("overwrite").option("header", "true").csv(f"{folder}/{name}")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tontine.sources.fixtures import RawInputs
 from tontine.sources.schemas import RAW_SCHEMAS, conform
 
 RAW_TABLES = list(RAW_SCHEMAS)
+log = logging.getLogger(__name__)
 
 
 def _read(spark: SparkSession, name: str, location: str | None, database: str | None, fmt: str) -> DataFrame:
@@ -26,8 +30,10 @@ def read_raw_tables(spark: SparkSession, location: str | None = None, database:
         try:
             prem = _read(spark, "premium_input", location, database, fmt)
             prem.schema  # noqa: B018  (resolve now: a missing table falls back to pricing)
-        except Exception:  # noqa: BLE001
-            prem = None
+        except AnalysisException as e:  # only an absent table; unreadable ones are errors
+            if e.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+                raise
+            log.warning("no premium_input table: premiums are priced from the other tables")
     return RawInputs(premium_input=prem, **kw)
 
 
