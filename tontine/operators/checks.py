@@ -22,14 +22,32 @@ def _grain(params: ValuationParams) -> list[str]:
     return keys + (["mort_version_id"] if params.checks_by_mort_version else [])
 
 
-def val_projection(frame: DataFrame) -> DataFrame:
-    """L1: month axis starts at 1, ends at remaining_months and has remaining_months rows."""
-    g = (frame.groupBy("cohort_id", "sex", "scenario_id")
-         .agg(F.min("projection_month").alias("min_month"), F.max("projection_month").alias("max_month"),
-              F.count(F.lit(1)).alias("row_count"), F.max("remaining_months").alias("remaining_months")))
-    return g.withColumn("projection_ok", _status(
-        F.col("min_month") != 1, F.col("max_month") != F.col("remaining_months"),
-        F.col("row_count") != F.col("remaining_months")))
+def _month_axis(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(
+        F.min("projection_month").alias("min_month"), F.max("projection_month").alias("max_month"),
+        F.count(F.lit(1)).alias("row_count"), F.max("remaining_months").alias("remaining_months"))
+
+
+def val_projection(frame: DataFrame, inforce: DataFrame | None = None) -> DataFrame:
+    """L1: month axis starts at 1, ends at remaining_months and has remaining_months rows.
+
+    With ``inforce`` (the rows the BEL is summed from) its months must be whole as well, under
+    every mortality basis it holds; a contract without in-force rows fails."""
+    def broken() -> Column:
+        return ((F.col("min_month") != 1) | (F.col("max_month") != F.col("remaining_months"))
+                | (F.col("row_count") != F.col("remaining_months")))
+
+    k3 = ["cohort_id", "sex", "scenario_id"]
+    g = _month_axis(frame, k3)
+    if inforce is None:
+        return g.withColumn("projection_ok", _status(broken()))
+    axis = _month_axis(inforce, k3 + ["mort_version_id"])
+    bases = axis.agg(F.countDistinct("mort_version_id")).scalar()
+    chain = axis.groupBy(*k3).agg(F.max(broken()).alias("chain_broken"), F.count(F.lit(1)).alias("chain_bases"))
+    return (g.join(chain, k3, "left")
+            .withColumn("projection_ok", _status(broken(), F.coalesce("chain_broken", F.lit(True)),
+                                                 F.col("chain_bases") != bases))
+            .drop("chain_broken", "chain_bases"))
 
 
 def val_inforce(inforce: DataFrame, params: ValuationParams) -> DataFrame:
@@ -74,12 +92,22 @@ def val_discount(discounted: DataFrame) -> DataFrame:
     return g.withColumn("discount_ok", _status(F.col("df_non_positive") > 0, F.col("df_null") > 0))
 
 
-def val_bel(bel: DataFrame, params: ValuationParams) -> DataFrame:
-    """Benefit + expense + premium = bel within tolerance."""
+def val_bel(bel: DataFrame, params: ValuationParams, discounted: DataFrame | None = None) -> DataFrame:
+    """Benefit + expense + premium = bel within tolerance.
+
+    With ``discounted`` the published BEL, which is computed by linearity, must also equal the sum
+    of the discounted cash-flow lines; the larger deviation is reported, and a BEL row without
+    lines fails."""
+    keys = ["cohort_id", "sex", "scenario_id", "version_id", "mort_version_id"]
     err = F.abs(F.col("benefit_pv") + F.col("expense_pv") + F.col("premium_pv") - F.col("bel_amount"))
-    return bel.select("cohort_id", "sex", "scenario_id", "version_id", "mort_version_id", "premium_pv",
-                      "benefit_pv", "expense_pv", "bel_amount", err.alias("bel_error"),
-                      _status(err > params.bel_tolerance).alias("bel_reconciled"))
+    missing = F.lit(False)
+    if discounted is not None:
+        lines = discounted.groupBy(*keys).agg(F.coalesce(F.sum("discounted_cashflow"), F.lit(0.0)).alias("line_sum"))
+        bel = bel.join(lines, keys, "left")
+        err = F.greatest(err, F.abs(F.col("line_sum") - F.col("bel_amount")))
+        missing = F.col("line_sum").isNull()
+    return bel.select(*keys, "premium_pv", "benefit_pv", "expense_pv", "bel_amount", err.alias("bel_error"),
+                      _status(err > params.bel_tolerance, missing).alias("bel_reconciled"))
 
 
 # Expected sign of the BEL change per scenario (others are not directional)

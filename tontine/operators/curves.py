@@ -78,7 +78,7 @@ def curve_bel_impact(portfolio: DataFrame, params: ValuationParams) -> DataFrame
 
 
 def mortality_bel_impact(portfolio: DataFrame, params: ValuationParams,
-                         va_pairs: Sequence[tuple[str, str]] = (("A", "B"), ("C", "D"))) -> DataFrame:
+                         va_pairs: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """BASE BEL per mortality basis against the reference basis (per curve), and the VA
     effect (BEL on the VA curve minus BEL on its no-VA twin) under each basis."""
     base = portfolio.filter(F.col("scenario_id") == params.base_scenario).select(
@@ -88,7 +88,8 @@ def mortality_bel_impact(portfolio: DataFrame, params: ValuationParams,
     out = (base.withColumn("ref_mort_bel", ref)
            .withColumn("delta_vs_ref_mort", F.col("total_bel") - F.col("ref_mort_bel"))
            .withColumn("pct_vs_ref_mort", safe_ratio(F.col("delta_vs_ref_mort"), F.abs(F.col("ref_mort_bel")))))
-    twin = F.create_map(*[x for a, b in va_pairs for x in (F.lit(b), F.lit(a))])
+    pairs = params.va_pairs if va_pairs is None else va_pairs
+    twin = F.create_map(*[x for a, b in pairs for x in (F.lit(b), F.lit(a))]) if pairs else F.create_map().cast("map<string,string>")
     partner = base.select(F.col("version_id").alias("twin_version_id"), "mort_version_id",
                           F.col("total_bel").alias("twin_bel"))
     return (out.withColumn("twin_version_id", twin[F.col("version_id")])

@@ -23,11 +23,22 @@ def curve_horizon(curve: DataFrame):
     return curve.agg(F.max("tenor_month")).scalar()
 
 
+def unique_points(curve: DataFrame) -> DataFrame:
+    """The curve with one row per (version_id, tenor_month); a repeated key raises, since every
+    present value that reads it would be counted twice or read either rate."""
+    repeated = F.concat(F.lit("discount curve "), F.coalesce(F.col("version_id").cast("string"), F.lit("NULL")),
+                        F.lit(" has several rows for tenor "), F.coalesce(F.col("tenor_month").cast("string"), F.lit("NULL")))
+    points = curve.groupBy("version_id", "tenor_month").agg(
+        F.count(F.lit(1)).alias("n"), F.first("zero_rate_annual").alias("rate"))
+    return points.select("version_id", "tenor_month",
+                         F.when(F.col("n") == 1, F.col("rate")).otherwise(F.raise_error(repeated)).alias("zero_rate_annual"))
+
+
 def curve_bracket(grid: DataFrame, curve: DataFrame, params: ValuationParams) -> DataFrame:
     """lower/upper annual tenors and their rates, by version (LEFT joins: a missing
     lower tenor reads as 0 %, a missing upper tenor as NULL, traps T7/T8)."""
     dm = F.col("discount_month")
-    c = curve.select("version_id", "tenor_month", "zero_rate_annual")
+    c = unique_points(curve)
     lo = bounded_broadcast(c.select("version_id", F.col("tenor_month").alias("lower_tenor"),
                                     F.col("zero_rate_annual").alias("lower_rate_raw")), params.broadcast_max_rows)
     hi = bounded_broadcast(c.select("version_id", F.col("tenor_month").alias("upper_tenor"),
@@ -93,13 +104,17 @@ def pv_sums(inforce: DataFrame, curve: DataFrame, scenario: DataFrame, params: V
 
     BEL follows by linearity: premium_pv = -monthly_premium * a_start, benefit_pv =
     sum_assured * b, expense_pv = monthly_premium * rate * a_end, with no 3-lines x curves
-    expansion. Curve versions are pivoted to columns of the discount-pair table, so every
-    in-force row is joined once (one broadcast hash join) and aggregated once.
+    expansion. A few curve versions (``max_pivot_versions``) are pivoted to columns of the
+    discount-pair table, so every in-force row is joined once (one broadcast hash join) and
+    aggregated once; more of them stay rows of the same table, with the same result.
     """
     pairs = discount_pair_table(curve, scenario, params).withColumnRenamed("projection_month", "m_key")
-    wide = (pairs.groupBy("discount_shift_bps", "m_key").pivot("version_id")
+    few = curve.select("version_id").distinct().sort("version_id").limit(params.max_pivot_versions + 1)
+    versions = [r.version_id for r in few.collect()]  # max_pivot_versions + 1 names at most
+    if len(versions) > params.max_pivot_versions or None in versions:
+        return _pv_sums_long(inforce, pairs, curve, scenario, params, keys)
+    wide = (pairs.groupBy("discount_shift_bps", "m_key").pivot("version_id", versions)
             .agg(F.first("df_start").alias("s"), F.first("df_end").alias("e")))
-    versions = [c[:-2] for c in wide.columns if c.endswith("_s")]
     small = bounded_broadcast(wide, params.broadcast_max_rows, key=("pairs_wide",) + plan_key(curve, scenario))
     horizon = curve_horizon(curve)
     rows = inforce.select(*keys, "discount_shift_bps", "inforce_open", "scenario_qx_monthly",
@@ -114,3 +129,15 @@ def pv_sums(inforce: DataFrame, curve: DataFrame, scenario: DataFrame, params: V
                                      F.col(f"e{i}").alias("a_end"), F.col(f"b{i}").alias("b"))
                             for i, v in enumerate(versions)])
     return sums.select(*keys, F.inline(per_version))
+
+
+def _pv_sums_long(inforce: DataFrame, pairs: DataFrame, curve: DataFrame, scenario: DataFrame, params: ValuationParams,
+                  keys: list[str]) -> DataFrame:
+    """``pv_sums`` with one row per curve version: partial sums map-side, any number of versions."""
+    small = bounded_broadcast(pairs, params.broadcast_max_rows, key=("pairs",) + plan_key(curve, scenario))
+    rows = inforce.select(*keys, "discount_shift_bps", "inforce_open", "scenario_qx_monthly",
+                          F.least(F.col("projection_month"), (curve_horizon(curve) + 2).cast("int")).alias("m_key"))
+    o, q = F.col("inforce_open"), F.col("scenario_qx_monthly")
+    return (rows.join(small, ["discount_shift_bps", "m_key"], "inner").groupBy(*keys, "version_id")
+            .agg(F.sum(o * F.col("df_start")).alias("a_start"), F.sum(o * F.col("df_end")).alias("a_end"),
+                 F.sum(o * q * F.col("df_end")).alias("b")))

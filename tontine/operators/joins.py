@@ -1,60 +1,81 @@
 """Join helpers with explicit size checks.
 
-Assumption/dimension tables are broadcast only after a row count proves them small; above the
-bound the plain DataFrame is returned and Spark plans a shuffle join (AQE may still convert it
-at run time from measured stage sizes, and splits skewed partitions). Counts are memoized per
-semantically equal plan, so a table is counted once per session however often it is joined.
+Assumption/dimension tables are broadcast only after a count proves them small, in rows and in
+bytes; above the bound the plain DataFrame is returned and Spark plans a shuffle join (AQE may
+still convert it at run time from measured stage sizes, and splits skewed partitions). Counts are
+memoized per session and semantically equal plan until the next valuation is built
+(``forget_counts``), so a table is counted once however often it is joined, and rewritten inputs
+are counted anew.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+import weakref
 
-_COUNTS: dict[int, list[tuple[DataFrame, int]]] = {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tontine.params import ValuationParams
 
-class DimensionTooLarge(ValueError):
-    pass
+_PLANS: weakref.WeakKeyDictionary[SparkSession, dict[int, list[tuple[DataFrame, int]]]] = weakref.WeakKeyDictionary()
+_KEYED: weakref.WeakKeyDictionary[SparkSession, dict[tuple, int]] = weakref.WeakKeyDictionary()
 
 
-_KEYED: dict[tuple, int] = {}
+def forget_counts(spark: SparkSession) -> None:
+    """Drop the memoized counts of ``spark``."""
+    _PLANS.pop(spark, None)
+    _KEYED.pop(spark, None)
 
 
-def row_count_upto(df: DataFrame, limit: int, key: tuple | None = None) -> int:
-    """min(count(df), limit + 1), memoized per session by semantic plan equality, or by
-    ``key`` (e.g. an operator name plus the semantic hashes of its inputs) for plans whose own
-    hash is not stable (scalar subqueries)."""
+def row_count(df: DataFrame, key: tuple | None = None) -> int:
+    """count(df), memoized per session by semantic plan equality, or by ``key`` (e.g. an operator
+    name plus the semantic hashes of its inputs) for plans whose own hash is not stable (scalar
+    subqueries)."""
     if key is not None:
-        k = (id(df.sparkSession), key, limit)
-        if k not in _KEYED:
-            _KEYED[k] = df.limit(limit + 1).count()
-        return _KEYED[k]
-    h = df.semanticHash()
-    for other, n in _COUNTS.get(h, []):
-        if other.sparkSession is df.sparkSession and other.sameSemantics(df):
-            return min(n, limit + 1)
-    n = df.limit(limit + 1).count()
-    _COUNTS.setdefault(h, []).append((df, n))
-    return n
+        known = _KEYED.setdefault(df.sparkSession, {})
+        if key not in known:
+            known[key] = df.count()
+        return known[key]
+    same = _PLANS.setdefault(df.sparkSession, {}).setdefault(df.semanticHash(), [])
+    for other, n in same:
+        if other.sameSemantics(df):
+            return n
+    same.append((df, df.count()))
+    return same[-1][1]
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of one row of the schema."""
+    return df._jdf.schema().defaultSize()
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int, key: tuple | None = None) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` (shuffle join)."""
-    return F.broadcast(df) if row_count_upto(df, max_rows, key) <= max_rows else df
+def bounded_broadcast(df: DataFrame, max_rows: int, key: tuple | None = None,
+                      max_bytes: int = ValuationParams.broadcast_max_bytes) -> DataFrame:
+    """``broadcast(df)`` when ``df`` is within both bounds, else ``df`` (shuffle join)."""
+    n = row_count(df, key)
+    return F.broadcast(df) if n <= max_rows and n * row_bytes(df) <= max_bytes else df
 
 
 def plan_key(*dfs: DataFrame) -> tuple:
     return tuple(d.semanticHash() for d in dfs)
 
 
-def fan_out(df: DataFrame, dim: DataFrame, max_rows: int, what: str = "dimension") -> DataFrame:
-    """Attach every row of a small dimension table (scenarios, curve versions) to every row of
-    ``df``: output size is |df| x |dim| with |dim| checked, i.e. linear in the data, and
-    executed as a broadcast nested-loop join with no shuffle of ``df``."""
-    if row_count_upto(dim, max_rows) > max_rows:
-        raise DimensionTooLarge(f"{what} has more than {max_rows} rows; refusing to fan out")
-    return df.crossJoin(F.broadcast(dim))
+def fan_out(df: DataFrame, dim: DataFrame, max_rows: int) -> DataFrame:
+    """Attach every row of a dimension table (scenarios, curve versions) to every row of ``df``:
+    |df| x |dim| rows, as the valuation defines them. A small dimension is broadcast, with no
+    shuffle of ``df``; a larger one is dealt into parts of about ``max_rows`` rows, ``df`` is
+    copied once a part and the two meet in an equi-join on the part."""
+    n = row_count(dim)
+    if n <= max_rows and n * row_bytes(dim) <= ValuationParams.broadcast_max_bytes:
+        return df.crossJoin(F.broadcast(dim))
+    parts = -(-n // max_rows)
+    # the salt spreads the copies of df, which all hold the same parts, over many tasks
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = (df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
+            .withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
+    right = (dim.withColumn("__part", F.pmod(F.xxhash64(*dim.columns), F.lit(parts)).cast("int"))
+             .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    return left.join(right, ["__part", "__salt"], "inner").drop("__part", "__salt")
 
 
 def materialized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:

@@ -27,7 +27,7 @@ SCENARIO_DIM = ["scenario_id", "mortality_multiplier", "lapse_multiplier", "disc
 def cohort_x_scenario(policy: DataFrame, scenario: DataFrame, params: ValuationParams,
                       dim_columns: Sequence[str] = SCENARIO_DIM) -> DataFrame:
     """Every model point under every scenario (scenario table size-checked, broadcast)."""
-    return fan_out(policy, scenario.select(*dim_columns), params.dimension_max_rows, "scenario table")
+    return fan_out(policy, scenario.select(*dim_columns), params.dimension_max_rows)
 
 
 def projection_frame(policy: DataFrame, scenario: DataFrame, params: ValuationParams,

@@ -25,11 +25,15 @@ class ValuationParams:
     # curve analytics (K)
     reference_curve_version: str = "A"
     reference_mort_version: str = "M1"
+    va_pairs: tuple[tuple[str, str], ...] = (("A", "B"), ("C", "D"))  # (without, with) volatility adjustment
     # summary gate: a missing check row counts as FAIL (reference: PASS)
     strict_missing_checks: bool = True
     # in-force / cash-flow checks grouped with mort_version_id (reference: without)
     checks_by_mort_version: bool = True
-    # broadcast only below these row counts (checked with a count on the small side)
+    # broadcast only below these row counts and this size (rows counted, times the schema's row size)
     broadcast_max_rows: int = 2_000_000
+    broadcast_max_bytes: int = 256 << 20
     dimension_max_rows: int = 10_000
+    # up to so many curve versions are columns of one aggregation; beyond, rows
+    max_pivot_versions: int = 16
     extra: dict = field(default_factory=dict, compare=False, hash=False)

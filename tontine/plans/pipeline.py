@@ -18,6 +18,7 @@ from tontine.operators import pricing as PR
 from tontine.operators import projection as PJ
 from tontine.operators import staging as ST
 from tontine.operators import valuation as VL
+from tontine.operators.joins import forget_counts
 from tontine.params import ValuationParams
 from tontine.session import boundary_path, ensure_checkpoint_dir
 from tontine.sources.fixtures import RawInputs
@@ -43,6 +44,7 @@ class Valuation:
         self.raw = raw
         self.params = params or ValuationParams()
         self.materialize = materialize
+        forget_counts(raw.policy_cohort_input.sparkSession)  # inputs may have been rewritten
         self._persisted: list[DataFrame] = []
 
     def _boundary(self, df: DataFrame) -> DataFrame:
@@ -171,7 +173,7 @@ class Valuation:
     # ------------------------------------------------------------------ validation
     @cached_property
     def val_projection(self) -> DataFrame:
-        return CK.val_projection(self.frame_wide)
+        return CK.val_projection(self.frame_wide, self.inforce_wide)
 
     @cached_property
     def val_inforce(self) -> DataFrame:
@@ -187,7 +189,7 @@ class Valuation:
 
     @cached_property
     def val_bel(self) -> DataFrame:
-        return CK.val_bel(self.bel_components, self.params)
+        return CK.val_bel(self.bel_components, self.params, self.discounted_wide)
 
     @cached_property
     def val_direction(self) -> DataFrame:

@@ -410,7 +410,7 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
                              "SELECT * FROM v_disc"),
         "val_bel": Spec(
             lambda c: c.v.val_bel,
-            C_K5 + " premium_pv:d2 benefit_pv:d2 expense_pv:d2 bel_amount:d2 bel_error:d6 bel_reconciled:s",
+            C_K5 + " premium_pv:d2 benefit_pv:d2 expense_pv:d2 bel_amount:d2 bel_error:d2 bel_reconciled:s",
             "SELECT * FROM v_bel"),
         "val_direction": Spec(
             lambda c: c.v.val_direction,

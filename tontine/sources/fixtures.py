@@ -26,6 +26,8 @@ SEGMENT_COHORTS = [
     ("MACHINERY", "C4", 65, 15, 3),
     ("HOUSEHOLD", "C5", 45, 20, 8),
 ]
+# any other segment is its own cohort with these attributes: issue age, term, elapsed years
+OTHER_SEGMENT = (40, 25, 4)
 MODEL_POINT_SUM_ASSURED = 100000
 # invented curves: version -> 1-year start rate, converging to 3.3 %
 CURVE_START_RATES = [("A", 0.020), ("B", 0.0225), ("C", 0.0215), ("D", 0.024)]
@@ -96,9 +98,12 @@ def model_points(orders: DataFrame, customer: DataFrame, spark: SparkSession | N
     c = customer.select("c_custkey", "c_mktsegment")
     j = per_cust.join(c, per_cust.o_custkey == c.c_custkey, "inner")
     seg = F.broadcast(segment_cohorts(spark))
-    mp = (j.join(seg, j.c_mktsegment == seg.seg, "inner")
-          .groupBy("cohort_id", _sex(F.col("c_custkey")).alias("sex"), "issue_age", "term_years",
-                   F.col("elapsed").alias("elapsed_duration_years"))
+    age, term, elapsed = (F.lit(x) for x in OTHER_SEGMENT)
+    mp = (j.join(seg, j.c_mktsegment == seg.seg, "left")
+          .groupBy(F.coalesce("cohort_id", "c_mktsegment", F.lit("NONE")).alias("cohort_id"),
+                   _sex(F.col("c_custkey")).alias("sex"), F.coalesce("issue_age", age).alias("issue_age"),
+                   F.coalesce("term_years", term).alias("term_years"),
+                   F.coalesce("elapsed", elapsed).alias("elapsed_duration_years"))
           .agg(F.sum("n").alias("policy_count")))
     return conform(mp.select(
         "cohort_id", "sex", "issue_age", "term_years",
