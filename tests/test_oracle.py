@@ -35,7 +35,7 @@ def _rows(cols, recs):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("orders", "customer"):
+    for t in ("orders", "customer", "lineitem"):
         c.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return c
 

@@ -53,6 +53,26 @@ def va_effect(curve: DataFrame, without_va: str, with_va: str, tenor_years: int
             .withColumn("df_change_pct", (F.col("df_with_va") - F.col("df_no_va")) / F.col("df_no_va") * 100))
 
 
+def _paired(curves: DataFrame, pairs: DataFrame, value: str, names: tuple[str, str]) -> DataFrame:
+    """``value`` of both versions of each pair, per tenor: two equi-joins on the version."""
+    first, second = (curves.select(F.col("version_id").alias(k), "tenor_month", F.col(value).alias(n))
+                     for k, n in zip(("first_version_id", "second_version_id"), names))
+    return pairs.join(first, ["first_version_id"], "inner").join(second, ["second_version_id", "tenor_month"], "inner")
+
+
+def va_effects(curve: DataFrame, pairs: DataFrame, tenor_years: int = LLP_YEARS) -> DataFrame:
+    """K4 for a table of (first_version_id without, second_version_id with) pairs of any size."""
+    d = annual_discount_factors(curve.filter(F.col("tenor_month") == 12 * tenor_years))
+    return (_paired(d, pairs, "discount_factor", ("df_no_va", "df_with_va"))
+            .withColumn("df_change_pct", (F.col("df_with_va") - F.col("df_no_va")) / F.col("df_no_va") * 100))
+
+
+def curve_divergences(curve: DataFrame, pairs: DataFrame, llp_years: int = LLP_YEARS) -> DataFrame:
+    """K5 for a table of pairs of any size."""
+    return (_paired(curve.filter(F.col("tenor_month") <= 12 * llp_years), pairs, "zero_rate_annual", ("spot_first", "spot_second"))
+            .withColumn("spot_diff", F.col("spot_second") - F.col("spot_first")))
+
+
 def curve_divergence(curve: DataFrame, first: str, second: str, llp_years: int = LLP_YEARS) -> DataFrame:
     """K5: spot-rate difference between two curves up to the last liquid point."""
     c = curve.filter(F.col("tenor_month") <= 12 * llp_years)

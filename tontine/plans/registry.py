@@ -3,25 +3,27 @@
 The output spec fixes every column's type and decimal rounding, applied identically on both
 sides so that last-bit differences of pow/summation order cannot break the value hash.
 Kinds: 's' string, 'i' bigint, 'b' boolean, 'date', 'dN' double rounded to N decimals.
-Every query reads the driver's orders/customer tables (model points or seriatim policies are
-derived from them), so its work grows with the data.
+Every query reads the driver's orders, customer or lineitem tables: model points, seriatim policies
+and the assumption tables of the staging and curve keys are derived from them and grow with them.
+The model-point and seriatim valuations themselves read the fixed invented assumption tables.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tontine.functions import discounting as FD
 from tontine.operators import curves as CV
+from tontine.operators import discounting as DG
 from tontine.operators import pricing as PR
 from tontine.operators import projection as PJ
 from tontine.operators import quality as DQ
 from tontine.operators import reports as RP
+from tontine.operators import staging as ST
 from tontine.params import ValuationParams
 from tontine.plans import oracle as O
 from tontine.plans.factor import FactorValuation
@@ -53,6 +55,22 @@ class Ctx:
         return FX.policy_exposure(FX.read_table(self.spark, self.sf_dir, "orders"),
                                   FX.read_table(self.spark, self.sf_dir, "customer"))
 
+    @cached_property
+    def agency(self) -> FX.AgencyAssumptions:
+        return FX.agency_assumptions(FX.read_table(self.spark, self.sf_dir, "orders"))
+
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        return FX.read_table(self.spark, self.sf_dir, "lineitem")
+
+    @cached_property
+    def supplier_curves(self) -> DataFrame:
+        return FX.supplier_curves(self.lineitem)
+
+    @cached_property
+    def supplier_pairs(self) -> DataFrame:
+        return FX.supplier_pairs(self.lineitem)
+
     @cached_property
     def fv(self) -> FactorValuation:
         return FactorValuation(self.policies, self.raw, self.params, exposure=self.exposure)
@@ -195,39 +213,14 @@ def _dq_build(kinds: tuple[str, ...]):
 C_DQ = "table_name:s rule:s columns:s failing_rows:i"
 
 
-def _used_discount_keys(c: Ctx) -> DataFrame:
-    """(shift, discount month) pairs the book's cash flows actually read."""
-    cf = c.v.cashflow_wide
-    dm = FD.discount_month(F.col("projection_month"), F.col("cashflow_timing"))
-    return cf.select("discount_shift_bps", dm.alias("discount_month")).distinct()
-
-
 def _curve_bracket(c: Ctx) -> DataFrame:
-    dm = F.col("discount_month")
-    return (_used_discount_keys(c).select("discount_month").distinct()
-            .select("discount_month", FD.lower_tenor(dm).alias("lower_tenor"), FD.upper_tenor(dm).alias("upper_tenor")))
+    months = F.sequence(F.lit(0), (DG.curve_horizon(c.supplier_curves) + 2).cast("int"))
+    grid = c.supplier_curves.select("version_id").distinct().select("version_id", F.explode(months).alias("discount_month"))
+    return DG.curve_bracket(grid, c.supplier_curves, c.params)
 
 
-def _discount_table_used(c: Ctx) -> DataFrame:
-    return c.v.discount_factor_table.join(_used_discount_keys(c), ["discount_shift_bps", "discount_month"], "left_semi")
-
-
-def _book_tenors(c: Ctx) -> DataFrame:
-    """Curve points the valuation reads: the annual tenors bracketing the book's discount months."""
-    b = _curve_bracket(c)
-    return (b.select(F.col("lower_tenor").cast("long").alias("tenor_month"))
-            .unionByName(b.select(F.col("upper_tenor").cast("long").alias("tenor_month")))
-            .filter(F.col("tenor_month") > 0).distinct())
-
-
-def _on_book_tenors(c: Ctx, df: DataFrame) -> DataFrame:
-    return df.join(_book_tenors(c), ["tenor_month"], "left_semi")
-
-
-BOOK_TENORS_SQL = """(SELECT lower_tenor AS tenor_month FROM dft d WHERE lower_tenor > 0 AND EXISTS (SELECT 1 FROM disc c
-   WHERE c.discount_shift_bps = d.discount_shift_bps AND c.discount_month = d.discount_month)
- UNION SELECT upper_tenor FROM dft d WHERE EXISTS (SELECT 1 FROM disc c
-   WHERE c.discount_shift_bps = d.discount_shift_bps AND c.discount_month = d.discount_month))"""
+def _supplier_discounts(c: Ctx) -> DataFrame:
+    return DG.discount_factor_table(c.supplier_curves, c.raw.stress_scenario_definition, c.params)
 
 
 def _long_terms(c):
@@ -252,12 +245,6 @@ FROM (SELECT y.*, qx_annual, 1e0 / pow(1e0 + zero_rate_annual, y.t + 1e0) AS df,
 GROUP BY ALL"""
 
 
-def _pricing_discount_used(c: Ctx) -> DataFrame:
-    years = (PR.pricing_survival(c.policies, c.raw.mortality_assumption, c.raw.discount_curve, c.params)
-             .select((F.col("t") + 1).alias("tenor_year")).distinct())
-    return PR.pricing_discount(c.raw.discount_curve, c.params).join(years, ["tenor_year"], "left_semi")
-
-
 def _rates_read(c: Ctx, stressed: bool) -> DataFrame:
     """Distinct mortality and lapse rates the book's projection reads (D1, or D1 + D4)."""
     m = PJ.with_mortality(c.v.frame_wide, c.v.staged.mortality, c.params)
@@ -282,6 +269,10 @@ SELECT DISTINCT 'lapse', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(dura
 """
 
 
+#: versions of the agencies' and suppliers' tables that the staging and pricing keys select
+AGENCY_BASES = ("G0", "G1")
+SUPPLIER_PRICING_CURVE = "S1"
+
 CELL_KEYS = ["cohort_id", "sex", "issue_age", "term_years", "elapsed_duration_years"]
 
 ASSUMPTION_CHECKS_SQL = """
@@ -320,31 +311,34 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             "term_years - elapsed_duration_years AS remaining_term_years, 'COHORT_FIXTURE' AS cohort_version_id "
             "FROM mp_raw"),
         "stg_mortality": Spec(
-            lambda c: c.v.staged.mortality.join(
-                c.v.projection_frame.select(F.col("attained_age").alias("age"), "sex").distinct(), ["age", "sex"],
-                "left_semi"),
+            lambda c: ST.stg_mortality(c.agency.mortality_assumption, AGENCY_BASES),
             "age:i sex:s qx_annual:d10 source:s year:i mort_version_id:s",
-            "SELECT age, sex, qx_annual, 'SYNTH' AS source, 2019 AS year, mort_version_id FROM mort m "
-            "WHERE EXISTS (SELECT 1 FROM frame f WHERE f.attained_age = m.age AND f.sex = m.sex)"),
+            "SELECT age, sex, qx_annual, source, year, version_id AS mort_version_id FROM a_mort "
+            "WHERE version_id IN ('G0', 'G1')"),
         "stg_lapse": Spec(
-            lambda c: c.v.staged.lapse.join(c.v.projection_frame.select("duration_year").distinct(),
-                                            ["duration_year"], "left_semi"),
+            lambda c: ST.stg_lapse(c.agency.lapse_assumption, c.agency.assumption_version),
             "duration_year:i lapse_rate_annual:d10 version_id:s",
-            f"SELECT duration_year, lapse_rate_annual, '{AS.LAPSE_VERSION}' AS version_id FROM lapse "
-            "WHERE duration_year IN (SELECT duration_year FROM frame)"),
+            "SELECT duration_year, lapse_rate_annual, version_id FROM a_lapse WHERE version_id = 'L0'"),
+        "stg_expense": Spec(
+            lambda c: ST.stg_expense(c.agency.expense_assumption, c.agency.assumption_version),
+            "expense_type:s expense_basis:s expense_rate:d10 version_id:s comment:s",
+            "SELECT * FROM a_expense WHERE version_id = 'E0'"),
+        "stg_version": Spec(
+            lambda c: ST.stg_version(c.agency.assumption_version),
+            "assumption_type:s version_id:s version_name:s is_base_version:b", "SELECT * FROM a_version"),
+        "base_version_counts": Spec(
+            lambda c: ST.base_version_counts(c.agency.assumption_version),
+            "assumption_type:s n_base:i ok:b",
+            "SELECT assumption_type, count(*) FILTER (is_base_version) AS n_base, count(*) FILTER (is_base_version) = 1 AS ok "
+            "FROM a_version GROUP BY 1"),
         "stg_curve": Spec(
-            lambda c: _on_book_tenors(c, c.v.staged.curve),
-            "tenor_month:i zero_rate_annual:d10 version_id:s",
-            f"SELECT tenor_month, zero_rate_annual, version_id FROM curve WHERE tenor_month IN {BOOK_TENORS_SQL}"),
+            lambda c: ST.stg_curve(c.supplier_curves),
+            "tenor_month:i zero_rate_annual:d10 version_id:s", "SELECT tenor_month, zero_rate_annual, version_id FROM s_curve"),
         "stg_scenario": Spec(
-            lambda c: c.v.staged.scenario.join(c.v.projection_frame.select("scenario_id").distinct(),
-                                               ["scenario_id"], "left_semi"),
+            lambda c: ST.stg_scenario(c.agency.stress_scenario_definition),
             "scenario_id:s scenario_type:s mortality_multiplier:d10 lapse_multiplier:d10 discount_shift_bps:i "
             "scenario_group:s is_base_scenario:b scenario_description:s",
-            "SELECT scenario_id, scenario_type, coalesce(mortality_multiplier, 1e0) AS mortality_multiplier, "
-            "coalesce(lapse_multiplier, 1e0) AS lapse_multiplier, coalesce(discount_shift_bps, 0) AS discount_shift_bps, "
-            "scenario_group, is_base_scenario, scenario_description FROM scen "
-            "WHERE scenario_id IN (SELECT scenario_id FROM frame)"),
+            "SELECT * FROM a_scen"),
         "stg_premium": Spec(
             lambda c: c.v.staged.premium,
             C_MP + " annual_gross_premium:d4 pricing_assumption_version:s premium_frequency:s premium_currency:s",
@@ -549,11 +543,9 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             "SELECT cohort_id, sex, scenario_id, mort_version_id, projection_month, inforce_open, expected_deaths, "
             "monthly_premium, policy_count FROM cfl"),
         "curve_bracket": Spec(
-            _curve_bracket, "discount_month:i lower_tenor:i upper_tenor:i",
-            "SELECT DISTINCT discount_month, "
-            "CASE WHEN discount_month <= 0 THEN 0 ELSE CAST(floor((discount_month - 1) / 12e0) * 12 AS BIGINT) END "
-            "AS lower_tenor, CASE WHEN discount_month <= 0 THEN 12 ELSE CAST(ceil(discount_month / 12e0) * 12 AS BIGINT) "
-            "END AS upper_tenor FROM disc"),
+            _curve_bracket, "version_id:s discount_month:i lower_tenor:i upper_tenor:i lower_rate:d10 upper_rate:d10",
+            "SELECT version_id, discount_month, lower_tenor, upper_tenor, lower_rate, upper_rate FROM s_dft "
+            "WHERE discount_shift_bps = 0"),
         "monthly_rates": Spec(
             lambda c: _rates_read(c, False),
             "rate_type:s mort_version_id:s sex:s rate_key:i annual_rate:d10 monthly_rate:d10",
@@ -564,54 +556,54 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             "stressed_rate:d10",
             RATES_SQL.format(m_extra=", mortality_multiplier AS multiplier, qx AS stressed_rate",
                              l_extra=", lapse_multiplier, scenario_lapse_monthly")),
-        # ---------------------------------------------------------- curve analytics (K) at the curve points read
+        # ---------------------------------------------------------- curve analytics (K), G5, G8, J1 on the suppliers' curves
         "forward_rates": Spec(
-            lambda c: _on_book_tenors(c, CV.forward_rates(c.v.staged.curve)),
+            lambda c: CV.forward_rates(c.supplier_curves),
             "version_id:s tenor_month:i tenor_year:d10 forward_rate:d10",
             "SELECT * FROM (SELECT version_id, tenor_month, tenor_month / 12e0 AS tenor_year, "
             "pow(1e0 + zero_rate_annual, tenor_month / 12e0) / pow(1e0 + lag(zero_rate_annual) OVER w, "
-            "lag(tenor_month / 12e0) OVER w) - 1e0 AS forward_rate FROM curve "
-            "WINDOW w AS (PARTITION BY version_id ORDER BY tenor_month)) "
-            f"WHERE forward_rate IS NOT NULL AND tenor_month IN {BOOK_TENORS_SQL}"),
+            "lag(tenor_month / 12e0) OVER w) - 1e0 AS forward_rate FROM s_curve "
+            "WINDOW w AS (PARTITION BY version_id ORDER BY tenor_month)) WHERE forward_rate IS NOT NULL"),
         "annual_discount_factors": Spec(
-            lambda c: _on_book_tenors(c, CV.annual_discount_factors(c.v.staged.curve)),
+            lambda c: CV.annual_discount_factors(c.supplier_curves),
             "version_id:s tenor_month:i tenor_year:d10 zero_rate_annual:d10 discount_factor:d10",
             "SELECT version_id, tenor_month, tenor_month / 12e0 AS tenor_year, zero_rate_annual, "
-            "1e0 / pow(1e0 + zero_rate_annual, tenor_month / 12e0) AS discount_factor FROM curve "
-            f"WHERE tenor_month IN {BOOK_TENORS_SQL}"),
+            "1e0 / pow(1e0 + zero_rate_annual, tenor_month / 12e0) AS discount_factor FROM s_curve"),
+        "ufr_check": Spec(
+            lambda c: CV.ufr_check(c.supplier_curves), "version_id:s forward_rate:d10 ufr:d10 gap:d10",
+            "SELECT a.version_id, pow(1e0 + b.zero_rate_annual, 60) / pow(1e0 + a.zero_rate_annual, 59) - 1e0 AS forward_rate, "
+            "0.033e0 AS ufr, pow(1e0 + b.zero_rate_annual, 60) / pow(1e0 + a.zero_rate_annual, 59) - 1.033e0 AS gap "
+            "FROM s_curve a JOIN s_curve b USING (version_id) WHERE a.tenor_month = 708 AND b.tenor_month = 720"),
         "va_effect": Spec(
-            lambda c: _on_book_tenors(c, CV.va_effect(c.v.staged.curve, "A", "B")),
-            "tenor_month:i df_no_va:d10 df_with_va:d10 df_change_pct:d8",
-            "SELECT a.tenor_month, a.df AS df_no_va, b.df AS df_with_va, (b.df - a.df) / a.df * 100 AS df_change_pct "
-            "FROM (SELECT tenor_month, 1e0 / pow(1e0 + zero_rate_annual, tenor_month / 12e0) AS df FROM curve "
-            "WHERE version_id = 'A' AND tenor_month = 240) a JOIN (SELECT tenor_month, "
-            "1e0 / pow(1e0 + zero_rate_annual, tenor_month / 12e0) AS df FROM curve WHERE version_id = 'B' "
-            f"AND tenor_month = 240) b USING (tenor_month) WHERE a.tenor_month IN {BOOK_TENORS_SQL}"),
+            lambda c: CV.va_effects(c.supplier_curves, c.supplier_pairs),
+            "first_version_id:s second_version_id:s tenor_month:i df_no_va:d10 df_with_va:d10 df_change_pct:d8",
+            "SELECT *, (df_with_va / df_no_va - 1) * 100 AS df_change_pct FROM (SELECT first_version_id, second_version_id, "
+            "a.tenor_month, pow(1e0 + a.zero_rate_annual, -20) AS df_no_va, pow(1e0 + b.zero_rate_annual, -20) AS df_with_va "
+            "FROM s_pair JOIN s_curve a ON a.version_id = first_version_id AND a.tenor_month = 240 "
+            "JOIN s_curve b ON b.version_id = second_version_id AND b.tenor_month = 240)"),
         "curve_divergence": Spec(
-            lambda c: _on_book_tenors(c, CV.curve_divergence(c.v.staged.curve, "A", "C")),
-            "tenor_month:i spot_first:d10 spot_second:d10 spot_diff:d10",
-            "SELECT a.tenor_month, a.zero_rate_annual AS spot_first, b.zero_rate_annual AS spot_second, "
-            "b.zero_rate_annual - a.zero_rate_annual AS spot_diff FROM curve a JOIN curve b USING (tenor_month) "
-            "WHERE a.version_id = 'A' AND b.version_id = 'C' AND a.tenor_month <= 240 "
-            f"AND a.tenor_month IN {BOOK_TENORS_SQL}"),
+            lambda c: CV.curve_divergences(c.supplier_curves, c.supplier_pairs),
+            "first_version_id:s second_version_id:s tenor_month:i spot_first:d10 spot_second:d10 spot_diff:d10",
+            "SELECT first_version_id, second_version_id, a.tenor_month, a.zero_rate_annual AS spot_first, "
+            "b.zero_rate_annual AS spot_second, b.zero_rate_annual - a.zero_rate_annual AS spot_diff FROM s_pair "
+            "JOIN s_curve a ON a.version_id = first_version_id JOIN s_curve b ON b.version_id = second_version_id "
+            "AND b.tenor_month = a.tenor_month WHERE a.tenor_month <= 240"),
         "curve_interpolation": Spec(
-            lambda c: _discount_table_used(c).select("version_id", "discount_shift_bps", "discount_month",
-                                                      "lower_rate", "upper_rate", "interpolated_rate"),
+            lambda c: _supplier_discounts(c).select("version_id", "discount_shift_bps", "discount_month",
+                                                    "lower_rate", "upper_rate", "interpolated_rate"),
             "version_id:s discount_shift_bps:i discount_month:i lower_rate:d10 upper_rate:d10 interpolated_rate:d10",
-            "SELECT version_id, discount_shift_bps, discount_month, lower_rate, upper_rate, interpolated_rate "
-            "FROM dft d WHERE EXISTS (SELECT 1 FROM disc c "
-            "WHERE c.discount_shift_bps = d.discount_shift_bps AND c.discount_month = d.discount_month)"),
+            "SELECT version_id, discount_shift_bps, discount_month, lower_rate, upper_rate, interpolated_rate FROM s_dft"),
         "discount_factor_table": Spec(
-            _discount_table_used,
+            _supplier_discounts,
             "version_id:s discount_shift_bps:i discount_month:i lower_tenor:i upper_tenor:i lower_rate:d10 "
             "upper_rate:d10 interpolated_rate:d10 discount_factor:d10",
             "SELECT version_id, discount_shift_bps, discount_month, lower_tenor, upper_tenor, lower_rate, upper_rate, "
-            "interpolated_rate, discount_factor FROM dft d WHERE EXISTS (SELECT 1 FROM disc c "
-            "WHERE c.discount_shift_bps = d.discount_shift_bps AND c.discount_month = d.discount_month)"),
+            "interpolated_rate, discount_factor FROM s_dft"),
         "pricing_discount": Spec(
-            _pricing_discount_used, "tenor_year:i zero_rate_annual:d10 annual_df:d10",
-            "SELECT tenor_year, zero_rate_annual, annual_df FROM pdisc "
-            "WHERE tenor_year IN (SELECT DISTINCT t + 1 FROM u_psurv)"),
+            lambda c: PR.pricing_discount(c.supplier_curves, replace(c.params, pricing_curve_version=SUPPLIER_PRICING_CURVE)),
+            "tenor_year:i zero_rate_annual:d10 annual_df:d10",
+            "SELECT tenor_month / 12 AS tenor_year, zero_rate_annual, pow(1e0 + zero_rate_annual, -tenor_month / 12) AS annual_df "
+            "FROM s_curve WHERE version_id = 'S1'"),
         "duplicate_keys": Spec(
             lambda c: AS.duplicate_keys(c.policies, CELL_KEYS),
             "cohort_id:s sex:s issue_age:i term_years:i elapsed_duration_years:i count:i",

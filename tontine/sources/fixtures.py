@@ -1,8 +1,12 @@
 """Adapters from the driver's tables (orders, customer) to insurance inputs.
 
 * ``policies``      one seriatim policy per order (unit-factor path, pricing)
-* ``model_points``  segment x sex model points (reference row path)
+* ``model_points``  agency x segment x sex model points (reference row path); an agency is a block
+  of 1,000 customer keys, so the book grows with the data
 * ``mortality_table`` / ``curve_table``: invented assumption tables (not the reference's data)
+* ``agency_assumptions`` / ``supplier_curves``: assumption tables with a version per agency or
+  supplier, taken from orders and lineitem, so that the assumption operators work on tables that
+  grow with the data
 
 The scans read only the columns they need; Catalyst prunes the rest at the parquet reader.
 """
@@ -32,6 +36,8 @@ MODEL_POINT_SUM_ASSURED = 100000
 # invented curves: version -> 1-year start rate, converging to 3.3 %
 CURVE_START_RATES = [("A", 0.020), ("B", 0.0225), ("C", 0.0215), ("D", 0.024)]
 MORTALITY_VERSIONS = [("M1", 1.0), ("M2", 1.15)]
+CUSTOMERS_PER_AGENCY = 1000
+SUPPLIER_CURVE_YEARS = 60
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +48,10 @@ def _sex(custkey: F.Column) -> F.Column:
     return F.when(custkey % 2 == 0, F.lit("F")).otherwise(F.lit("M"))
 
 
+def _agency(custkey: F.Column) -> F.Column:
+    return F.floor(custkey / F.lit(CUSTOMERS_PER_AGENCY)).cast("long")
+
+
 def policies(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """One policy per order. Sort-merge (or AQE-broadcast) join on the customer key;
     a hot customer is split by AQE's skew-join handling, nothing is collected."""
@@ -87,11 +97,12 @@ def segment_cohorts(spark: SparkSession) -> DataFrame:
 
 
 def model_points(orders: DataFrame, customer: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Segment x sex model points (policy_cohort_input schema).
+    """Agency x segment x sex model points (policy_cohort_input schema).
 
     Orders are first counted per customer (map-side partial aggregation, so one customer
     holding a third of all orders costs nothing extra), then joined to customer on the key
-    the aggregate is already partitioned by, then rolled up to the 10 model points.
+    the aggregate is already partitioned by, then rolled up to the model points. Agency 0's
+    cohorts carry the segment's cohort name alone, the others add their number (``C1-7``).
     """
     spark = spark or orders.sparkSession
     per_cust = orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
@@ -99,8 +110,10 @@ def model_points(orders: DataFrame, customer: DataFrame, spark: SparkSession | N
     j = per_cust.join(c, per_cust.o_custkey == c.c_custkey, "inner")
     seg = F.broadcast(segment_cohorts(spark))
     age, term, elapsed = (F.lit(x) for x in OTHER_SEGMENT)
+    agency = _agency(F.col("c_custkey"))
+    cohort = F.concat_ws("-", F.coalesce("cohort_id", "c_mktsegment", F.lit("NONE")), F.when(agency != 0, agency).cast("string"))
     mp = (j.join(seg, j.c_mktsegment == seg.seg, "left")
-          .groupBy(F.coalesce("cohort_id", "c_mktsegment", F.lit("NONE")).alias("cohort_id"),
+          .groupBy(cohort.alias("cohort_id"),
                    _sex(F.col("c_custkey")).alias("sex"), F.coalesce("issue_age", age).alias("issue_age"),
                    F.coalesce("term_years", term).alias("term_years"),
                    F.coalesce("elapsed", elapsed).alias("elapsed_duration_years"))
@@ -112,6 +125,11 @@ def model_points(orders: DataFrame, customer: DataFrame, spark: SparkSession | N
         F.lit("COHORT_FIXTURE").alias("version_id")), RAW_SCHEMAS["policy_cohort_input"])
 
 
+def _gompertz(factor: F.Column) -> F.Column:
+    sex_f = F.when(F.col("sex") == "F", F.lit(0.55)).otherwise(F.lit(1.0))
+    return F.least(F.lit(1.0), sex_f * (F.lit(0.0003) + F.lit(0.00002) * F.pow(F.lit(1.11), F.col("age"))) * factor)
+
+
 def mortality_table(spark: SparkSession, max_age: int = 110) -> DataFrame:
     """Invented Gompertz-like annual q by age 0..max_age, sex F/M, versions M1/M2 (444 rows)."""
     versions = F.array(*[F.struct(F.lit(v).alias("version_id"), F.lit(f).alias("factor"))
@@ -119,9 +137,7 @@ def mortality_table(spark: SparkSession, max_age: int = 110) -> DataFrame:
     grid = (spark.range(0, max_age + 1).select(F.col("id").alias("age"))
             .select("age", F.explode(F.array(F.lit("F"), F.lit("M"))).alias("sex"))
             .select("age", "sex", F.inline(versions)))
-    sex_f = F.when(F.col("sex") == "F", F.lit(0.55)).otherwise(F.lit(1.0))
-    q = F.round(F.least(F.lit(1.0), sex_f * (F.lit(0.0003) + F.lit(0.00002) * F.pow(F.lit(1.11), F.col("age")))
-                        * F.col("factor")), 8)
+    q = F.round(_gompertz(F.col("factor")), 8)
     return conform(grid.select(
         F.lit(2019).alias("year"), "age", "sex", q.alias("qx_annual"), F.lit("SYNTH").alias("source"),
         "version_id"), RAW_SCHEMAS["mortality_assumption"])
@@ -137,6 +153,87 @@ def curve_table(spark: SparkSession, max_years: int = 150) -> DataFrame:
                    RAW_SCHEMAS["discount_curve"])
 
 
+def _zero_rate(start: F.Column) -> F.Column:
+    return F.lit(0.033) - (F.lit(0.033) - start) / (F.lit(1.0) + F.col("t") / F.lit(8.0))
+
+
+def supplier_curves(lineitem: DataFrame, max_years: int = SUPPLIER_CURVE_YEARS) -> DataFrame:
+    """Two curves per supplier: ``S<key>`` starts at 1 % plus a tenth of its mean discount,
+    ``S<key>-VA`` lies above it at the start by a tenth of its mean tax. Means of whole
+    percentages, so that the order of summation does not matter."""
+    per = lineitem.filter(F.col("l_suppkey").isNotNull()).groupBy("l_suppkey").agg(
+        *[(F.sum(F.round(F.col(c) * 100).cast("long")) / F.count(c)).alias(c) for c in ("l_discount", "l_tax")])
+    start = F.lit(0.01) + F.col("l_discount") / F.lit(1000.0)
+    name = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
+    versions = F.array(F.struct(name.alias("version_id"), start.alias("start_rate")),
+                       F.struct(F.concat(name, F.lit("-VA")).alias("version_id"),
+                                (start + F.col("l_tax") / F.lit(1000.0)).alias("start_rate")))
+    g = (per.select(F.inline(versions))
+         .select("version_id", "start_rate", F.explode(F.sequence(F.lit(1), F.lit(max_years))).alias("t")))
+    return conform(g.select((F.col("t") * 12).alias("tenor_month"), _zero_rate(F.col("start_rate")).alias("zero_rate_annual"),
+                            "version_id"), RAW_SCHEMAS["discount_curve"])
+
+
+def supplier_pairs(lineitem: DataFrame) -> DataFrame:
+    """(without, with) volatility adjustment: one pair of curve versions per supplier."""
+    name = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
+    return (lineitem.select("l_suppkey").filter(F.col("l_suppkey").isNotNull()).distinct()
+            .select(name.alias("first_version_id"), F.concat(name, F.lit("-VA")).alias("second_version_id")))
+
+
+@dataclass
+class AgencyAssumptions:
+    """Raw assumption tables with one version per agency."""
+    mortality_assumption: DataFrame
+    lapse_assumption: DataFrame
+    expense_assumption: DataFrame
+    stress_scenario_definition: DataFrame
+    assumption_version: DataFrame
+
+
+def agency_assumptions(orders: DataFrame, max_age: int = 110) -> AgencyAssumptions:
+    """Assumption tables per agency from its orders: mortality ``G<k>`` scaled by the share of
+    finished orders, lapse ``L<k>`` per policy year the share of open ones, expense ``E<k>``, and
+    the fixed scenarios with the agency's lapse scale, missing where neutral. Agency 0's versions
+    are the base versions. Shares are quotients of counts."""
+    o = orders.filter(F.col("o_custkey").isNotNull()).select(
+        _agency(F.col("o_custkey")).alias("agency"), (F.col("o_orderkey") % 8 + 1).alias("duration_year"), "o_orderstatus")
+    share = lambda status: F.count(F.when(F.col("o_orderstatus") == status, 1)) / F.count(F.lit(1))
+    per = o.groupBy("agency").agg(share("F").alias("finished"))
+    key = lambda letter: F.concat(F.lit(letter), F.col("agency").cast("string"))
+
+    grid = (per.select("agency", "finished", F.explode(F.sequence(F.lit(0), F.lit(max_age))).alias("age"))
+            .select("agency", "finished", "age", F.explode(F.array(F.lit("F"), F.lit("M"))).alias("sex")))
+    mortality = grid.select(F.lit(2019).alias("year"), "age", "sex", _gompertz(F.lit(0.8) + F.col("finished")).alias("qx_annual"),
+                            F.lit("AGENCY").alias("source"), key("G").alias("version_id"))
+
+    lapse = (o.groupBy("agency", "duration_year").agg(share("O").alias("open"))
+             .select("duration_year", (F.col("open") / F.lit(4.0)).alias("lapse_rate_annual"), key("L").alias("version_id")))
+
+    expense = per.select(F.lit("maintenance").alias("expense_type"), F.lit("premium").alias("expense_basis"),
+                         (F.lit(0.03) + F.col("finished") / F.lit(100.0)).alias("expense_rate"),
+                         key("E").alias("version_id"), F.lit(None).cast("string").alias("comment"))
+
+    names = RAW_SCHEMAS["stress_scenario_definition"].names
+    fixed = F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(names, row)]) for row in A.SCENARIO_ROWS])
+    s = per.select("agency", "finished", F.inline(fixed))
+    scenario = s.select(
+        F.concat_ws("@", "scenario_id", F.col("agency").cast("string")).alias("scenario_id"), "scenario_type",
+        F.when(F.col("mortality_multiplier") != 1.0, F.col("mortality_multiplier")).alias("mortality_multiplier"),
+        F.when(F.col("lapse_multiplier") != 1.0, F.col("lapse_multiplier") + F.col("finished") / F.lit(10.0)).alias("lapse_multiplier"),
+        F.when(F.col("discount_shift_bps") != 0, F.col("discount_shift_bps")).alias("discount_shift_bps"),
+        "scenario_group", "is_base_scenario", "scenario_description")
+
+    kinds = F.array(*[F.struct(F.lit(kind).alias("assumption_type"), key(letter).alias("version_id"))
+                      for kind, letter in (("mortality", "G"), ("lapse", "L"), ("expense", "E"))])
+    version = per.select("agency", F.inline(kinds)).select(
+        "assumption_type", "version_id", F.concat_ws(" ", F.lit("Agency"), F.col("agency").cast("string")).alias("version_name"),
+        (F.col("agency") == 0).alias("is_base_version"))
+    return AgencyAssumptions(*(conform(df, RAW_SCHEMAS[n]) for df, n in (
+        (mortality, "mortality_assumption"), (lapse, "lapse_assumption"), (expense, "expense_assumption"),
+        (scenario, "stress_scenario_definition"), (version, "assumption_version"))))
+
+
 @dataclass
 class RawInputs:
     """The eight raw tables of the reference (premium_input is priced from the others)."""
