@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tontine.params import ValuationParams
@@ -74,14 +74,13 @@ def df_by_scenario(discounted: DataFrame, scenarios: Sequence[str] = tuple(DISCO
             .distinct())
 
 
-def bel_waterfall(bel: DataFrame, params: ValuationParams) -> DataFrame:
-    """I8: BASE components per model point, ranked by BEL and by BEL per policy."""
-    w = Window.partitionBy("version_id", "mort_version_id")
+def bel_waterfall(bel: DataFrame, params: ValuationParams, by: str = "bel_amount") -> DataFrame:
+    """I8: BASE components per model point, sorted by ``by`` (``bel_amount`` or ``bel_per_policy``)
+    within each curve and basis."""
     return (bel.filter(F.col("scenario_id") == params.base_scenario)
             .select(F.concat_ws("-", "cohort_id", "sex").alias("model_point"), "version_id", "mort_version_id",
                     "premium_pv", "benefit_pv", "expense_pv", "bel_amount", "bel_per_policy")
-            .withColumn("rank_bel", F.rank().over(w.orderBy("bel_amount")))
-            .withColumn("rank_bel_per_policy", F.rank().over(w.orderBy("bel_per_policy"))))
+            .orderBy("version_id", "mort_version_id", by, "model_point"))
 
 
 def delta_ranking(portfolio: DataFrame, params: ValuationParams) -> DataFrame:

@@ -81,7 +81,6 @@ class Spec:
     build: Callable[[Ctx], DataFrame]
     cols: str
     sql: str | None
-    order_by: str | None = None
 
     @property
     def columns(self) -> list[tuple[str, str]]:
@@ -92,8 +91,7 @@ class Spec:
         return out
 
 
-def finalize(df: DataFrame, columns: list[tuple[str, str]], order_by: str | None = None,
-             rounding: bool = True) -> DataFrame:
+def finalize(df: DataFrame, columns: list[tuple[str, str]], rounding: bool = True) -> DataFrame:
     """Project to the spec's columns and types; ``rounding`` applies the decimal rounding used
     for the oracle comparison (Spark rounds doubles through BigDecimal, which is costly on
     millions of rows, so the bench times the operator output without it)."""
@@ -111,10 +109,7 @@ def finalize(df: DataFrame, columns: list[tuple[str, str]], order_by: str | None
         else:
             e = (F.round(c.cast("double"), int(kind[1:])) + F.lit(0.0)) if rounding else c.cast("double")
         exprs.append(e.alias(name))
-    out = df.select(*exprs)
-    if order_by:
-        out = out.orderBy(*[x.strip() for x in order_by.split(",")])
-    return out
+    return df.select(*exprs)
 
 
 def finalize_sql(sql: str, columns: list[tuple[str, str]]) -> str:
@@ -176,31 +171,29 @@ def _dq_sql(kinds: tuple[str, ...], p: ValuationParams) -> str:
         "val_validation_summary": "v_sum", "mart_bel_components_core": "core", "mart_bel_sensitivity": "sens",
         "mart_validation_summary": "v_sum", "mart_portfolio_overview": "port"}
     parts = []
-    for table, rules in DQ.pipeline_rules(p.checks_by_mort_version).items():
+    basis = ",mort_version_id" if p.checks_by_mort_version else ""
+    for table, rules in O.DQ_RULES.items():
         src = tables[table]
-        for r in rules:
-            if r.kind not in kinds:
+        for rule in rules:
+            word, cols, *rest = rule.format(basis=basis).split(" ", 2)
+            kind = {"values": "accepted_values", "range": "accepted_range",
+                    "unique": "unique_combination_of_columns" if "," in cols else "unique"}.get(word, word)
+            if kind not in kinds:
                 continue
-            head = f"SELECT '{table}' AS table_name, '{r.kind}' AS rule, '{r.label}' AS columns"
-            c = r.columns[0]
-            if r.kind == "not_null":
-                n = f"count(*) FILTER (WHERE {c} IS NULL)"
-            elif r.kind == "accepted_values":
-                n = f"count(*) FILTER (WHERE {c} IS NOT NULL AND {c} NOT IN ({_in(r.values)}))"
-            elif r.kind == "accepted_range":
-                conds = []
-                if r.min_value is not None:
-                    conds.append(f"{c} {'>=' if r.inclusive else '>'} {r.min_value}")
-                if r.max_value is not None:
-                    conds.append(f"{c} {'<=' if r.inclusive else '<'} {r.max_value}")
-                n = f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT ({' AND '.join(conds)}))"
-            else:
-                cols = ", ".join(r.columns)
-                where = f"WHERE {c} IS NOT NULL " if r.kind == "unique" else ""
+            head = f"SELECT '{table}' AS table_name, '{kind}' AS rule, '{cols}' AS columns"
+            if word == "unique":
+                where = "" if "," in cols else f"WHERE {cols} IS NOT NULL "
                 parts.append(f"{head}, (SELECT count(*) FROM (SELECT {cols} FROM {src} t {where}"
                              f"GROUP BY {cols} HAVING count(*) > 1)) AS failing_rows")
                 continue
-            parts.append(f"{head}, {n} AS failing_rows FROM {src} t")
+            if word == "not_null":
+                bad = f"{cols} IS NULL"
+            elif word == "values":
+                bad = f"{cols} NOT IN ({rest[0]})"
+            else:
+                low, high = rest[0].split(" ")[:2], rest[0].split(" ")[2:]
+                bad = f"NOT ({cols} {' '.join(low)})" + (f" OR NOT ({cols} {' '.join(high)})" if high else "")
+            parts.append(f"{head}, count(*) FILTER (WHERE {bad}) AS failing_rows FROM {src} t")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -297,9 +290,9 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
     g_cols = _grain_cols(p)
     va_case = "CASE WHEN version_id = 'B' THEN 'A' WHEN version_id = 'D' THEN 'C' END"
     decay = ", ".join(f"max(CASE WHEN projection_month = {m} THEN round(inforce_open, 0) END) AS {n}"
-                      for m, n in RP.DECAY_MONTHS)
+                      for m, n in O.DECAY_MONTHS)
     matrix = ", ".join(f"avg(CASE WHEN scenario_id = '{s}' THEN delta_bel_pct END) AS \"{s}\""
-                       for s in RP.MATRIX_SCENARIOS)
+                       for s in O.MATRIX_SCENARIOS)
     return {
         # ---------------------------------------------------------- staging (B)
         "stg_policy": Spec(
@@ -449,7 +442,7 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             "cohort_id:s sex:s scenario_id:s version_id:s mort_version_id:s delta_m:d2 delta_pct:d1",
             "SELECT cohort_id, sex, scenario_id, version_id, mort_version_id, round(delta_bel / 1000000, 2) AS delta_m, "
             "round(delta_bel_pct * 100, 1) AS delta_pct FROM sens "
-            f"WHERE scenario_id IN ({_in(RP.SENSITIVITY_REPORT_SCENARIOS)})"),
+            f"WHERE scenario_id IN ({_in(O.SENSITIVITY_REPORT_SCENARIOS)})"),
         "report_decay": Spec(
             lambda c: RP.report_decay(c.v.inforce_rollforward, c.params),
             "cohort_id:s sex:s mort_version_id:s " + " ".join(f"{n}:d0" for _, n in RP.DECAY_MONTHS),
@@ -463,16 +456,13 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             lambda c: RP.df_by_scenario(c.v.discounted_cashflows),
             "cohort_id:s sex:s scenario_id:s version_id:s projection_month:i discount_factor:d10",
             "SELECT DISTINCT cohort_id, sex, scenario_id, version_id, projection_month, discount_factor FROM disc "
-            f"WHERE cashflow_type = 'death_benefit' AND scenario_id IN ({_in(RP.DISCOUNT_CHART_SCENARIOS)})"),
+            f"WHERE cashflow_type = 'death_benefit' AND scenario_id IN ({_in(O.DISCOUNT_CHART_SCENARIOS)})"),
         "bel_waterfall": Spec(
             lambda c: RP.bel_waterfall(c.v.bel_components, c.params),
             "model_point:s version_id:s mort_version_id:s premium_pv:d2 benefit_pv:d2 expense_pv:d2 bel_amount:d2 "
-            "bel_per_policy:d4 rank_bel:i rank_bel_per_policy:i",
+            "bel_per_policy:d4",
             "SELECT cohort_id || '-' || sex AS model_point, version_id, mort_version_id, premium_pv, benefit_pv, "
-            "expense_pv, bel_amount, bel_per_policy, "
-            "rank() OVER (PARTITION BY version_id, mort_version_id ORDER BY bel_amount) AS rank_bel, "
-            "rank() OVER (PARTITION BY version_id, mort_version_id ORDER BY bel_per_policy) AS rank_bel_per_policy "
-            f"FROM bel WHERE scenario_id = {base}"),
+            f"expense_pv, bel_amount, bel_per_policy FROM bel WHERE scenario_id = {base}"),
         "delta_ranking": Spec(
             lambda c: RP.delta_ranking(c.v.mart_portfolio, c.params),
             "scenario_id:s scenario_group:s version_id:s mort_version_id:s total_delta_bel:d1 "
@@ -525,7 +515,7 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             "policy_id:i cohort_id:s sex:s annual_net_premium:d4 annual_gross_premium:d4 "
             "pricing_assumption_version:s premium_frequency:s premium_currency:s",
             "SELECT p.policy_id, p.cohort_id, p.sex, p.sum_assured * r.benefit_sum / r.annuity_sum AS annual_net_premium, "
-            f"p.sum_assured * r.benefit_sum / r.annuity_sum / {PR.gross_divisor(p)!r} AS annual_gross_premium, "
+            f"p.sum_assured * r.benefit_sum / r.annuity_sum / {O.GROSS_DIVISOR!r} AS annual_gross_premium, "
             f"'{p.pricing_version_id}' AS pricing_assumption_version, 'ANNUAL' AS premium_frequency, "
             "'EUR' AS premium_currency FROM pol p JOIN u_prates r USING (sex, issue_age, term_years)"),
         "pricing_long_terms": Spec(
@@ -647,8 +637,7 @@ def queries(params: ValuationParams | None = None, shared: bool = True, rounding
     out = {}
     for name, spec in specs(params).items():
         def run(spark: SparkSession, sf_dir: str, _spec: Spec = spec) -> DataFrame:
-            return finalize(_spec.build(context(spark, sf_dir, params, shared)), _spec.columns, _spec.order_by,
-                            rounding)
+            return finalize(_spec.build(context(spark, sf_dir, params, shared)), _spec.columns, rounding)
         out[name] = run
     return out
 

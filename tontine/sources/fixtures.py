@@ -158,16 +158,18 @@ def _zero_rate(start: F.Column) -> F.Column:
 
 
 def supplier_curves(lineitem: DataFrame, max_years: int = SUPPLIER_CURVE_YEARS) -> DataFrame:
-    """Two curves per supplier: ``S<key>`` starts at 1 % plus a tenth of its mean discount,
-    ``S<key>-VA`` lies above it at the start by a tenth of its mean tax. Means of whole
-    percentages, so that the order of summation does not matter."""
+    """Two curves per supplier: ``S<key>`` starts at 1 % plus a term that grows with its mean
+    discount, ``S<key>-VA`` lies above it at the start by one that grows with its mean tax. Means
+    of whole percentages, so that the order of summation does not matter; square roots, so that
+    rates are no short decimals, whose last digit rounding would leave to the platform."""
     per = lineitem.filter(F.col("l_suppkey").isNotNull()).groupBy("l_suppkey").agg(
         *[(F.sum(F.round(F.col(c) * 100).cast("long")) / F.count(c)).alias(c) for c in ("l_discount", "l_tax")])
-    start = F.lit(0.01) + F.col("l_discount") / F.lit(1000.0)
+    term = lambda c: F.sqrt(F.col(c) + F.lit(1 / 3)) / F.lit(500.0)
+    start = F.lit(0.01) + term("l_discount")
     name = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
     versions = F.array(F.struct(name.alias("version_id"), start.alias("start_rate")),
                        F.struct(F.concat(name, F.lit("-VA")).alias("version_id"),
-                                (start + F.col("l_tax") / F.lit(1000.0)).alias("start_rate")))
+                                (start + term("l_tax")).alias("start_rate")))
     g = (per.select(F.inline(versions))
          .select("version_id", "start_rate", F.explode(F.sequence(F.lit(1), F.lit(max_years))).alias("t")))
     return conform(g.select((F.col("t") * 12).alias("tenor_month"), _zero_rate(F.col("start_rate")).alias("zero_rate_annual"),
