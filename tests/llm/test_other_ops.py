@@ -251,3 +251,12 @@ def test_own_labels(spark):
     lab = p.select("url", F.when(F.col("page_id") % 2 == 1, "block").otherwise("allow").alias("verdict"))
     got = url_filter.judge(p, labels=lab).collect()
     assert all((r.verdict == "block") == (r.page_id % 2 == 1) and r.antecedent for r in got)
+
+
+def test_mining_reads_every_label(spark):
+    """Over 200,000 labels: one token set holds most of them, another is labelled both ways."""
+    r = spark.range(280_000)
+    lab = r.select(F.when(r.id < 210_000, F.array(F.lit("h:most"))).otherwise(F.array(F.lit("h:few"))).alias("tokens"),
+                   F.when((r.id < 210_000) | (r.id >= 276_500), "allow").otherwise("block").alias("verdict"))
+    got = {(tuple(x.antecedent), x.verdict): (round(x.confidence, 9), round(x.support, 9)) for x in url_filter.mine(lab).collect()}
+    assert got == {(("h:most",), "allow"): (1.0, 0.75), (("h:few",), "block"): (0.95, 0.2375)}

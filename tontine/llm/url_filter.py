@@ -10,7 +10,7 @@ the whole combination. Among matching rules the most confident wins, then the be
 then allow; no match is allow.
 
 Matching works on distinct token sets, so a host that holds a third of all urls is looked up a
-few times. Mining takes at most ``max_labels`` labelled urls (the smallest hashes).
+few times. Mining reads every labelled url, so supports and confidences are those of the corpus.
 
 Defined results: null urls, or without ``://``: host and path empty, no tokens, allow; repeated
 rows each get their row; no labels: no mined rules.
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
-MIN_SUPPORT, MIN_CONFIDENCE, MAX_LABELS = 0.005, 0.9, 200_000
+MIN_SUPPORT, MIN_CONFIDENCE = 0.005, 0.9
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -55,11 +55,10 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
         tagged("h:", F.split(host, r"\.")), tagged("p:", F.split(F.regexp_replace(path, r"[0-9]+", "0"), "/")), tagged("q:", keys))))
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE, max_labels: int = MAX_LABELS) -> DataFrame:
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``(tokens array, verdict)`` -> rules ``(antecedent, verdict, confidence, support, key)``."""
     spark = labelled.sparkSession
-    sample = labelled.where(F.size("tokens") > 0).orderBy(F.xxhash64("tokens", "verdict")).limit(max_labels)
-    items = sample.select(F.concat("tokens", F.array(F.concat(F.lit("class:"), "verdict"))).alias("items"))
+    items = labelled.where(F.size("tokens") > 0).select(F.concat("tokens", F.array(F.concat(F.lit("class:"), "verdict"))).alias("items"))
     schema = "antecedent array<string>, verdict string, confidence double, support double, key string"
     if items.isEmpty():
         return spark.createDataFrame([], schema)
