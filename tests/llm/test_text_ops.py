@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tests.conftest import SF_SMALL
 from tests.llm import brute
 from tontine.llm import decontaminate, elias_fano, line_dedup, mixing, near_dup, secrets, token_files, words
 from tontine.llm.components import connected_components
@@ -361,3 +362,30 @@ def test_randomness_battery_separates_keys_from_text(spark):
         m, n = (64 if b[k].encoding == "base64" else 62) + (2 if b[k].encoding == "base64" else 0), len(x)
         assert b[k].n == n and b[k].encoding in ("base62", "base64") and m >= 62
         assert 0 <= min(b[k].p_chi, b[k].p_runs, b[k].p_serial, b[k].p_text)
+
+
+@pytest.mark.parametrize("share", [0.01, 0.001])
+def test_rare_secrets_are_found(spark, share):
+    """Secrets are a small share of the distinct long tokens; the rest are identifiers, paths and numbers."""
+    rng = np.random.default_rng(11)
+    corpus = [r.text or "" for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("text").collect()]
+    vocabulary = np.array(sorted({w for t in corpus for w in re.findall("[a-z]{3,12}", t.lower())}))
+
+    def word():
+        return str(rng.choice(vocabulary))
+
+    def identifier(k):
+        parts = [word() for _ in range(8)]
+        return ("_".join(parts), "".join(p.capitalize() for p in parts), "/".join(parts), "_".join(parts).upper(), "-".join(parts) + str(rng.integers(1e6)),
+                "".join(map(str, rng.integers(0, 10, 24))))[k % 6]
+
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = {"base62": upper + lower + digits, "base64": upper + lower + digits + "+/", "HEX": digits + "ABCDEF", "base32": upper + "234567"}
+    kinds = [(a, n) for a in alphabets.values() for n in (20, 32, 40)]
+    text = list(dict.fromkeys(identifier(k) for k in range(4000)))
+    secret = ["".join(rng.choice(list(kinds[i % len(kinds)][0]), kinds[i % len(kinds)][1])) for i in range(max(4, round(share * len(text))))]
+    docs = [(i, t, "", "") for i, t in enumerate(text + secret)] + [(None, re.sub(secrets.TOKEN, " ", t), "", "") for t in corpus]
+    got = {r.doc_id for r in secrets.scan(brute.docs(spark, docs)).where("n_random > 0").collect()}
+    hidden = set(range(len(text), len(text) + len(secret)))
+    assert len(got & hidden) >= 0.75 * len(hidden)
+    assert len(got - hidden) <= max(1, 0.1 * len(hidden))

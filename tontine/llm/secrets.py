@@ -9,9 +9,13 @@ The method: runs of 20 or more letters, digits and ``+ / _ = -`` are candidate t
 encoding is inferred from its symbols (hex, base32, base62, base64). Three tests hold it against
 uniform random symbols: chi-squared of the symbol counts, the number of runs above and below the
 middle of the alphabet, and the correlation of neighbouring symbols. A token must pass all three
-(Bonferroni over the battery). The discovery is then tested against text: the chance that a token
-with the symbol collision rate of ordinary text repeats its symbols as rarely as this one.
-These p-values, weighted by length (longer tokens get a larger share of the error budget), go
+(Bonferroni over the battery). The discovery is then tested against text in two ways: the chance
+that a token with the symbol collision rate of ordinary text repeats its symbols as rarely as this
+one, and the likelihood ratio of the token's symbol pairs, text against uniform, whose inverse text
+exceeds t times with a chance of 1/t at most. Text's pairs are counted in Spark over the distinct
+words of the corpus that are too short to be tokens, each as written, in lower case, in upper
+case and capitalized, and mixed with a fixed share of switches between letter cases and digits. The smaller p-value
+counts, doubled. These, weighted by length (longer tokens get a larger share of the error budget), go
 through Benjamini-Hochberg over all distinct tokens. P-values are rounded up to a grid of 2**(-1/8),
 so ranks are counts over a table of bounded size and nothing is sorted globally.
 
@@ -32,7 +36,10 @@ KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS, HEX = r"AKIA[A-Z0-9]{16,}", r"[0-9a-f]{24,}"
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+WORD = r"[A-Za-z0-9+/_=-]+"
 FDR, BATTERY, LEAST = 0.05, 0.001, 20
+#: Share of the fixed pair model in that of text, and its weight in pseudo-counts.
+FIXED, PSEUDO = 0.2, 100
 GRID, TOP = 8, 8000
 _D, _U, _L = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: encoding -> (pattern of its tokens, alphabet, symbol collision rate of text written in it, its excess third moment)
@@ -42,6 +49,10 @@ ENCODINGS = {
     "base62": ("^[A-Za-z0-9]+$", _U + _L + _D, 0.060, 0.001),
     "base64": ("", _U + _L + _D + "+/_-", 0.060, 0.001),
 }
+CLASSES = (_U, _L, _D, "+/_-=")
+#: The fixed pair model: chances from class to class, where identifiers switch too.
+MOVES = ((0.45, 0.45, 0.05, 0.05), (0.1, 0.75, 0.05, 0.1), (0.05, 0.05, 0.8, 0.1), (0.2, 0.5, 0.2, 0.1))
+SYMBOLS = "".join(CLASSES)
 
 
 def found(text: Column, pattern: str, ok=None) -> Column:
@@ -71,14 +82,35 @@ def upper_tail(z: Column) -> Column:
     return F.when(z >= 0, q).otherwise(1 - q)
 
 
-def battery(tokens: DataFrame) -> DataFrame:
+def text_costs(texts: DataFrame) -> list[float]:
+    """``(text)`` -> the bits that each pair of ``SYMBOLS`` costs in text, second symbol given the
+    first: a list of fixed length."""
+    words = (texts.select(F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("word"))
+             .where(F.length("word").between(2, LEAST - 1)).distinct())
+    forms = words.select(F.explode(F.array("word", F.lower("word"), F.upper("word"), F.initcap("word"))).alias("word"))
+    pairs = forms.select(F.explode(F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.col("word").substr(i, F.lit(2)))).alias("pair"))
+    seen = {r["pair"]: r["count"] for r in pairs.groupBy("pair").count().collect()}  # one row per pair of symbols at most
+    of = {c: i for i, k in enumerate(CLASSES) for c in k}
+    costs = []
+    for a in SYMBOLS:
+        total = sum(seen.get(a + b, 0) for b in SYMBOLS)
+        for b in SYMBOLS:
+            fixed = MOVES[of[a]][of[b]] / len(CLASSES[of[b]])
+            counted = (seen.get(a + b, 0) + PSEUDO * fixed) / (total + PSEUDO)
+            costs.append(-math.log2((1 - FIXED) * counted + FIXED * fixed))
+    return costs
+
+
+def battery(tokens: DataFrame, costs: list[float] | None = None) -> DataFrame:
     """``(token)`` -> plus ``encoding, n, p_chi, p_runs, p_serial, p_text``. Padding does not
-    count; tokens with fewer than ``LEAST`` other symbols are left out."""
+    count; tokens with fewer than ``LEAST`` other symbols are left out. Without ``costs`` (those
+    of ``text_costs``) ``p_text`` rests on the collision rate alone."""
     body = F.regexp_replace("token", "=+$", "")
     kind = F.lit("base64")
     for name in ("base62", "base32", "hex"):
         kind = F.when(F.col("body").rlike(ENCODINGS[name][0]), F.lit(name)).otherwise(kind)
     t = tokens.withColumn("body", body).where(F.length("body") >= LEAST).withColumn("encoding", kind)
+    t = t.withColumn("written", F.col("body"))
     t = t.withColumn("body", F.when(F.col("encoding") == "hex", F.lower("body")).otherwise(F.col("body"))).withColumn("n", F.length("body").cast("double"))
 
     def by_kind(value) -> Column:
@@ -124,14 +156,22 @@ def battery(tokens: DataFrame) -> DataFrame:
     expected = rate * F.col("n") * (F.col("n") - 1) / 2
     spread = F.sqrt(expected + F.col("n") * (F.col("n") - 1) * (F.col("n") - 2) * excess)
     p_text = 1 - upper_tail((pairs + 0.5 - expected) / spread)
+    if costs is not None:
+        bits = F.split(F.lit(",".join(map(repr, costs))), ",").cast("array<double>")
+        at = F.transform(F.split("written", ""), lambda c: F.instr(F.lit(SYMBOLS), c) - 1)
+        t = t.withColumn("at", at)
+        step = F.zip_with(F.slice("at", 1, F.size("at") - 1), F.slice("at", 2, F.size("at") - 1), lambda a, b: F.get(bits, a * len(SYMBOLS) + b))
+        gain = F.aggregate(step, F.lit(0.0), lambda s, v: s + v) - (F.col("n") - 1) * F.log2("m")
+        # hex is written in two cases: one alternative more than encodings
+        p_text = F.least(F.lit(1.0), 2 * F.least(p_text, (len(ENCODINGS) + 1) * F.pow(F.lit(2.0), -gain)))
     return t.select("token", "encoding", "n", upper_tail(F.col("z_chi")).alias("p_chi"), p_runs.alias("p_runs"), p_serial.alias("p_serial"),
                     F.greatest(p_text, F.lit(1e-300)).alias("p_text"))
 
 
-def discoveries(tokens: DataFrame, fdr: float = FDR, alpha: float = BATTERY) -> DataFrame:
+def discoveries(tokens: DataFrame, fdr: float = FDR, alpha: float = BATTERY, costs: list[float] | None = None) -> DataFrame:
     """The ``(token)`` rows judged random: pass the battery, and are rejected as text at a false
     discovery rate of ``fdr`` over all distinct tokens, weighted by length."""
-    t = materialize(battery(tokens.distinct()), "battery")
+    t = materialize(battery(tokens.distinct(), costs), "battery")
     total = t.agg(F.count(F.lit(1)).alias("m"), F.avg("n").alias("mean_n"))
     fine = (F.least("p_chi", "p_runs", "p_serial") * 3 >= alpha)
     weighted = F.least(F.lit(1.0), F.col("p_text") * F.col("mean_n") / F.col("n"))
@@ -160,7 +200,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fdr: f
     spans = (one.repartition(parts, "row").withColumn("end", F.sum(F.col("gap") + F.col("len")).over(upto))
              .withColumn("start", F.col("end") - F.col("len")).where("keep").select("row", "kind", "start", "end", "token"))
     spans = materialize(spans, "spans")
-    random = discoveries(spans.where("kind = 3").select("token"), fdr, alpha)
+    random = discoveries(spans.where("kind = 3").select("token"), fdr, alpha, text_costs(src))
     kept = spans.where("kind < 3").drop("token").unionByName(spans.where("kind = 3").join(random, "token", "left_semi").drop("token"))
     label = lambda c: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), c["kind"] + 1), c["start"], c["end"])
     of_kind = lambda i: F.size(F.filter("s", lambda c: c["kind"] == i)).cast("long")
