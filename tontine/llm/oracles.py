@@ -166,4 +166,30 @@ SELECT u.page_id, u.host, u.path, fit.rule, coalesce(fit.verdict, best.verdict,
 FROM u LEFT JOIN fit USING (rid) LEFT JOIN best USING (rid)
 """
 
-SQL = {"op1_license_scan": OP1, "op2_decontaminate": OP2, "op3_near_dup": OP3, "op4_line_dedup": OP4, "op5_mixing": OP5, "op10_url_filter": OP10}
+_ROLL = " + ".join(f"lead(h, {j}, 0) OVER o * {pow(1103515245, 4 - j, 1 << 31)}::HUGEINT" for j in range(5))
+OP11 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id NULLS FIRST) AS r, count(*) OVER () AS n FROM documents),
+e AS (SELECT d.doc_id, d.r, x.r AS nr, d.text, CAST(length(d.text) AS BIGINT) AS nc, substr(d.text, 1, length(d.text) - length(d.text) // 2) || substr(x.text, 1, length(d.text) // 2) AS edited
+      FROM d JOIN d x ON x.r = d.r % d.n + 1),
+t AS (SELECT r, 0 AS kind, text FROM e UNION ALL SELECT r, 1, edited FROM e),
+w AS (SELECT r, kind, i, ws[i] AS word, len(ws) AS m
+      FROM (SELECT r, kind, ws, unnest(range(1, len(ws) + 1)) AS i FROM (SELECT r, kind, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS ws FROM t))),
+h AS (SELECT *, CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) & 2147483647 AS h FROM w),
+g AS (SELECT r, kind, i, m, ({_ROLL}) % 2147483648 AS g, concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) AS gram
+      FROM h WINDOW o AS (PARTITION BY r, kind ORDER BY i)),
+v AS (SELECT r, kind, i, m, min(g * 4294967296 + (4294967295 - i)) OVER (PARTITION BY r, kind ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS low FROM g WHERE i <= m - 4),
+c AS (SELECT DISTINCT r, kind, CAST(4294967295 - low % 4294967296 AS BIGINT) AS i FROM v WHERE i <= greatest(1, m - 11)
+      UNION ALL SELECT r, kind, i FROM w WHERE m < 5 AND i = 1),
+k AS (SELECT r, kind, i - 1 AS pos, substr(md5(gram), 1, 16) AS hash FROM c JOIN g USING (r, kind, i)),
+f AS (SELECT r, kind, string_agg(pos || ':' || hash, ',' ORDER BY pos) AS f, count(DISTINCT hash) AS n FROM k GROUP BY r, kind),
+u AS (SELECT DISTINCT r, kind, hash FROM k),
+pe AS (SELECT a.r, count(*) AS c FROM u a JOIN u b ON b.r = a.r AND b.hash = a.hash WHERE a.kind = 0 AND b.kind = 1 GROUP BY a.r),
+pn AS (SELECT e.r, count(*) AS c FROM e JOIN u a ON a.r = e.r AND a.kind = 0 JOIN u b ON b.r = e.nr AND b.kind = 0 AND b.hash = a.hash GROUP BY e.r)
+SELECT e.doc_id, e.nc AS n_chars, sha256(e.edited) AS edited_sha256, coalesce(a.f, '') AS fingerprint, coalesce(b.f, '') AS edited_fingerprint,
+       CASE WHEN coalesce(a.n, 0) + coalesce(b.n, 0) = 0 THEN 1.0::DOUBLE ELSE coalesce(pe.c, 0) / (coalesce(a.n, 0) + coalesce(b.n, 0) - coalesce(pe.c, 0))::DOUBLE END AS near_edited,
+       CASE WHEN coalesce(a.n, 0) + coalesce(x.n, 0) = 0 THEN 1.0::DOUBLE ELSE coalesce(pn.c, 0) / (coalesce(a.n, 0) + coalesce(x.n, 0) - coalesce(pn.c, 0))::DOUBLE END AS near_next
+FROM e LEFT JOIN f a ON a.r = e.r AND a.kind = 0 LEFT JOIN f b ON b.r = e.r AND b.kind = 1 LEFT JOIN f x ON x.r = e.nr AND x.kind = 0
+LEFT JOIN pe ON pe.r = e.r LEFT JOIN pn ON pn.r = e.r
+"""
+
+SQL = {"op1_license_scan": OP1, "op2_decontaminate": OP2, "op3_near_dup": OP3, "op4_line_dedup": OP4, "op5_mixing": OP5, "op10_url_filter": OP10, "op11_fingerprints": OP11}

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tontine.llm import decontaminate, licenses, line_dedup, mixing, near_dup, neighbours, quality, secrets, token_files, url_filter
+from tontine.llm import decontaminate, fingerprints, licenses, line_dedup, mixing, near_dup, neighbours, quality, secrets, token_files, url_filter
 from tontine.llm.common import on_workers, read_table
 
 
@@ -60,5 +60,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read_table(spark, sf_dir, "pages")).drop("antecedent")
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = fingerprints.edit_report(read_table(spark, sf_dir, "documents"))
+    return r.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), fingerprints.as_text(F.col("marks")).alias("fingerprint"),
+                    fingerprints.as_text(F.col("edited_marks")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 QUERIES = {f.__name__: on_workers(f) for f in (op1_license_scan, op2_decontaminate, op3_near_dup, op4_line_dedup, op5_mixing, op6_neighbours, op7_secret_scan,
-                                   op8_token_files, op9_quality, op10_url_filter)}
+                                   op8_token_files, op9_quality, op10_url_filter, op11_fingerprints)}
