@@ -192,4 +192,16 @@ FROM e LEFT JOIN f a ON a.r = e.r AND a.kind = 0 LEFT JOIN f b ON b.r = e.r AND
 LEFT JOIN pe ON pe.r = e.r LEFT JOIN pn ON pn.r = e.r
 """
 
-SQL = {"op1_license_scan": OP1, "op2_decontaminate": OP2, "op3_near_dup": OP3, "op4_line_dedup": OP4, "op5_mixing": OP5, "op10_url_filter": OP10, "op11_fingerprints": OP11}
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_alnum("text")} AS t FROM documents),
+b AS (SELECT row_number() OVER () AS q, item_id, list_distinct({_alnum("text")}) AS t FROM benchmark),
+stat AS (SELECT count(*) FILTER (len(t) > 0) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM p, stat GROUP BY term),
+s AS (SELECT q, r, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+      FROM (SELECT q, unnest(t) AS term FROM b) JOIN p USING (term) JOIN w USING (term), stat GROUP BY q, r),
+k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST, r) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k JOIN b USING (q) WHERE rank <= 10
+"""
+
+SQL = {"op1_license_scan": OP1, "op2_decontaminate": OP2, "op3_near_dup": OP3, "op4_line_dedup": OP4, "op5_mixing": OP5, "op10_url_filter": OP10, "op11_fingerprints": OP11, "op12_lexical_search": OP12}
