@@ -204,4 +204,23 @@ k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NU
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM k JOIN b USING (q) WHERE rank <= 10
 """
 
-SQL = {"op1_license_scan": OP1, "op2_decontaminate": OP2, "op3_near_dup": OP3, "op4_line_dedup": OP4, "op5_mixing": OP5, "op10_url_filter": OP10, "op11_fingerprints": OP11, "op12_lexical_search": OP12}
+OP13 = f"""
+WITH RECURSIVE tab(n, k, v) AS (SELECT range, 0, range FROM range(256) UNION ALL
+  SELECT n, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM tab WHERE k < 8),
+crc(c, s, i, v) AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR), 0, 4294967295 FROM conversations WHERE conv_id IS NOT NULL UNION ALL
+  SELECT c, s, i + 1, xor(crc.v >> 8, tab.v) FROM crc JOIN tab ON tab.k = 8 AND tab.n = xor(crc.v, ascii(s[i + 1])) & 255 WHERE i < length(s)),
+h AS (SELECT c, xor(v, 4294967295) % 4 AS h FROM crc WHERE i = length(s)),
+o AS (SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ts
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+reb AS (SELECT o.c, list_concat(CASE WHEN h > 0 AND b.c IS NOT NULL THEN b.ts[1:h] ELSE [] END, o.ts[h + 1:]) AS ts
+        FROM o JOIN h USING (c) LEFT JOIN o b ON b.c = o.c - o.c % 20),
+occ AS (SELECT c, d, ts[1:d] AS p, d = len(ts) AS last FROM (SELECT c, ts, unnest(range(0, len(ts) + 1)) AS d FROM reb)),
+n AS (SELECT p, d, min(c) AS c, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (last), '')) AS ends FROM occ GROUP BY p, d),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n FROM n WHERE d > 0 GROUP BY 1),
+e AS (SELECT n.*, coalesce(kids.n, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * len({_blank("n.p[n.d].t")}) END AS saved FROM n LEFT JOIN kids USING (p)),
+up AS (SELECT p[1:k] AS p, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved FROM (SELECT p, saved, n_children, unnest(range(0, d + 1)) AS k FROM e) GROUP BY 1)
+SELECT e.c AS conv_id, e.d AS depth, CASE WHEN e.d > 0 THEN f.c END AS parent_conv_id, e.n_convs, e.n_children, up.n_leaves, CAST(up.saved AS BIGINT) AS saved_tokens, e.ends AS ends_sha256
+FROM e JOIN up ON up.p = e.p LEFT JOIN n f ON e.d > 0 AND f.p = e.p[1:e.d - 1]
+"""
+
+SQL = {"op1_license_scan": OP1, "op2_decontaminate": OP2, "op3_near_dup": OP3, "op4_line_dedup": OP4, "op5_mixing": OP5, "op10_url_filter": OP10, "op11_fingerprints": OP11, "op12_lexical_search": OP12, "op13_prefix_trie": OP13}

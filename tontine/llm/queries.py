@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tontine.llm import decontaminate, fingerprints, lexical, licenses, line_dedup, mixing, near_dup, neighbours, quality, secrets, token_files, url_filter
+from tontine.llm import decontaminate, fingerprints, lexical, licenses, line_dedup, mixing, near_dup, neighbours, prefix_trie, quality, secrets, token_files, url_filter
 from tontine.llm.common import on_workers, read_table
 
 
@@ -70,6 +70,10 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(lexical.index(read_table(spark, sf_dir, "documents")), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: on_workers(f) for f in (op1_license_scan, op2_decontaminate, op3_near_dup, op4_line_dedup, op5_mixing, op6_neighbours, op7_secret_scan,
                                    op8_token_files, op9_quality, op10_url_filter, op11_fingerprints,
-                                   op12_lexical_search)}
+                                   op12_lexical_search, op13_prefix_trie)}
