@@ -77,7 +77,7 @@ def main(argv=None) -> int:
             print(f"FAIL {x}")
         return 1 if bad else 0
     rules = DQ.pipeline_rules(v.params.checks_by_mort_version)
-    results = DQ.run_rules(v.tables(), rules)
+    results = v.assertions(rules)
     bad_rules = results.filter(F.col("failing_rows") > 0).collect()            # one row per rule at most
     bad_gate = _gate(v)
     for r in bad_rules:

@@ -138,8 +138,10 @@ def validation_summary(proj: DataFrame, inf: DataFrame, cf: DataFrame, disc: Dat
     kg = _grain(params)
     j = (proj.select(*k3, "projection_ok")
          .join(disc.select(*k5, "discount_ok"), k3, "left")
-         .join(inf.select(*kg, "inforce_ok"), kg, "left")
-         .join(cf.select(*kg, "cashflow_ok"), kg, "left")
+         .join(inf.select(*kg, "inforce_ok", "cashflow_ok") if inf is cf else inf.select(*kg, "inforce_ok"), kg, "left"))
+    if inf is not cf:
+        j = j.join(cf.select(*kg, "cashflow_ok"), kg, "left")
+    j = (j
          .join(bel.select(*k5, "bel_reconciled"), k5, "left")
          .join(sens.select(*k5, "sensitivity_ok"), k5, "left"))
     cols = ["projection_ok", "inforce_ok", "cashflow_ok", "discount_ok", "bel_reconciled"]
@@ -155,6 +157,71 @@ def validation_summary(proj: DataFrame, inf: DataFrame, cf: DataFrame, disc: Dat
                     _status(*conds).alias("overall_validation_status"))
 
 
+def gate_sums(inforce: DataFrame, curve: DataFrame, scenario: DataFrame, expense_rate: Column, versions: list[str],
+              params: ValuationParams) -> DataFrame:
+    """L1-L5 as aggregates of one pass over the in-force rows: per (model point, scenario, basis)
+    the month axis, the roll-forward identity and the signs, and per curve version (an array) the
+    unusable discount factors and the sum of the discounted lines. Every row is joined once with
+    a table of the versions' factors and never becomes three lines times the curves."""
+    from tontine.operators.discounting import curve_horizon, discount_pair_table
+    from tontine.operators.joins import bounded_broadcast, plan_key
+    pairs = discount_pair_table(curve, scenario, params)
+    flag = lambda c: F.when(c, 1).otherwise(0)
+    s, e = F.col("df_start"), F.col("df_end")
+    # the premium reads the first factor, benefit and expense the second
+    pairs = pairs.select("discount_shift_bps", "version_id", F.col("projection_month").alias("m_key"), s.alias("s"), e.alias("e"),
+                         (flag(s.isNull()) + 2 * flag(e.isNull())).alias("void"), (flag(s <= 0) + 2 * flag(e <= 0)).alias("bad"))
+    wide = pairs.groupBy("discount_shift_bps", "m_key").pivot("version_id", versions).agg(*[F.first(c).alias(c) for c in ("s", "e", "void", "bad")])
+    small = bounded_broadcast(wide, params.broadcast_max_rows, key=("gate",) + plan_key(curve, scenario))
+    m = F.col("projection_month")
+    rows = inforce.withColumn("m_key", F.least(m, (curve_horizon(curve) + 2).cast("int"))).join(small, ["discount_shift_bps", "m_key"], "left")
+    o, d, lp, c, prem = (F.col(x) for x in ("inforce_open", "expected_deaths", "expected_lapses", "inforce_close", "monthly_premium"))
+    paid = prem.isNotNull()
+    premium, benefit, expense = -(o * prem), F.when(paid, d * F.col("sum_assured")), o * prem * expense_rate
+    first = m == 1
+    aggs = [F.min(m).alias("min_month"), F.max(m).alias("max_month"), F.count(F.lit(1)).alias("row_count"), F.max("remaining_months").alias("remaining_months"),
+            F.max(F.abs(o - d - lp - c)).alias("max_identity_error"), F.sum(flag((o < 0) | (c < 0) | (d < 0) | (lp < 0))).alias("negative_count"),
+            F.min(F.when(first, o)).alias("first_month_open"), F.min(F.when(first, F.col("policy_count"))).alias("policy_count"),
+            F.count(prem).alias("paid"), F.sum(flag(premium > 0) + flag(benefit < 0) + flag(expense < 0)).alias("sign_fails")]
+    for i, v in enumerate(versions):
+        s, e = F.col(f"`{v}_s`"), F.col(f"`{v}_e`")
+        aggs += [F.sum(F.when(paid, F.col(f"`{v}_void`"))).alias(f"void{i}"), F.sum(F.when(paid, F.col(f"`{v}_bad`"))).alias(f"bad{i}"),
+                 *[F.sum(x).alias(f"{n}{i}") for n, x in (("p", premium * s), ("b", benefit * e), ("x", expense * e))]]
+    g = rows.groupBy("cohort_id", "sex", "scenario_id", "mort_version_id").agg(*aggs)
+    line = lambda n, i: F.coalesce(F.col(f"{n}{i}"), F.lit(0.0))
+    per_version = F.array(*[F.struct(F.lit(v).alias("version_id"), F.col(f"void{i}").alias("df_null"), F.col(f"bad{i}").alias("df_non_positive"),
+                                     (line("p", i) + line("b", i) + line("x", i)).alias("line_sum")) for i, v in enumerate(versions)])
+    fixed = ["cohort_id", "sex", "scenario_id", "mort_version_id", "min_month", "max_month", "row_count", "remaining_months", "max_identity_error",
+             "negative_count", "first_month_open", "policy_count", "paid", "sign_fails"]
+    return g.select(*fixed, per_version.alias("by_version"))
+
+
+def gate_tables(frame: DataFrame, sums: DataFrame, bel: DataFrame, params: ValuationParams) -> dict[str, DataFrame]:
+    """The check tables by name, keys and verdicts, from ``gate_sums``, the month axis of the frame
+    and the published BEL; the same verdicts as the single checks give, each with a pass of its own."""
+    k3 = ["cohort_id", "sex", "scenario_id"]
+    k4, k5, kg = k3 + ["mort_version_id"], k3 + ["version_id", "mort_version_id"], _grain(params)
+    broken = ((F.col("min_month") != 1) | (F.col("max_month") != F.col("remaining_months")) | (F.col("row_count") != F.col("remaining_months")))
+    bases = sums.agg(F.countDistinct("mort_version_id")).scalar()
+    chain = sums.groupBy(*k3).agg(F.max(broken).alias("chain_broken"), F.count(F.lit(1)).alias("chain_bases"))
+    proj = _month_axis(frame, k3).join(chain, k3, "left").select(
+        *k3, _status(broken, F.coalesce("chain_broken", F.lit(True)), F.col("chain_bases") != bases).alias("projection_ok"))
+    g = sums.groupBy(*kg).agg(F.max("max_identity_error").alias("err"), F.sum("negative_count").alias("neg"), F.min("first_month_open").alias("open"),
+                              F.min("policy_count").alias("n"), F.sum("paid").alias("paid"), F.sum("sign_fails").alias("signs"))
+    inf = g.select(*kg, _status(F.col("err") > params.inforce_tolerance, F.col("neg") > 0, F.col("open") != F.col("n")).alias("inforce_ok"),
+                   F.when(F.col("paid") > 0, _status(F.col("signs") > 0)).alias("cashflow_ok"))
+    disc = sums.where("paid > 0").select(*k4, F.inline("by_version")).select(
+        *k5, _status(F.col("df_non_positive") > 0, F.col("df_null") > 0).alias("discount_ok"), "line_sum")
+    sens = val_direction(bel, params)
+    err = F.greatest(F.abs(F.col("benefit_pv") + F.col("expense_pv") + F.col("premium_pv") - F.col("bel_amount")), F.abs(F.col("line_sum") - F.col("bel_amount")))
+    both = bel.select(*k5, "premium_pv", "benefit_pv", "expense_pv", "bel_amount").join(disc, k5, "left")
+    bel_ok = both.select(*k5, _status(err > params.bel_tolerance, F.col("line_sum").isNull()).alias("bel_reconciled"))
+    return {"val_projection_continuity": proj, "val_inforce_reconciliation": inf.select(*kg, "inforce_ok"),
+            "val_cashflow_sign_and_timing": inf.where("cashflow_ok is not null").select(*kg, "cashflow_ok"),
+            "val_discounting_sanity": disc.drop("line_sum"), "val_bel_reconciliation": bel_ok, "val_sensitivity_direction": sens,
+            "val_validation_summary": validation_summary(proj, inf, inf, disc, bel_ok, sens, params)}
+
+
 MART_VALIDATION_COLUMNS = ["cohort_id", "sex", "scenario_id", "projection_ok", "version_id", "mort_version_id",
                            "inforce_ok", "cashflow_ok", "discount_ok", "bel_reconciled", "sensitivity_ok",
                            "overall_validation_status"]

@@ -97,6 +97,13 @@ def discount_pair_table(curve: DataFrame, scenario: DataFrame, params: Valuation
             .filter(F.col("projection_month") >= 1))
 
 
+def pivot_versions(curve: DataFrame, params: ValuationParams) -> list[str] | None:
+    """The curve versions, if few enough to be columns of one aggregation."""
+    few = curve.select("version_id").distinct().sort("version_id").limit(params.max_pivot_versions + 1)
+    versions = [r.version_id for r in few.collect()]  # max_pivot_versions + 1 names at most
+    return None if len(versions) > params.max_pivot_versions or None in versions else versions
+
+
 def pv_sums(inforce: DataFrame, curve: DataFrame, scenario: DataFrame, params: ValuationParams,
             keys: list[str]) -> DataFrame:
     """Per ``keys`` x curve version: a_start = sum open*DF(m-1), a_end = sum open*DF(m),
@@ -109,9 +116,8 @@ def pv_sums(inforce: DataFrame, curve: DataFrame, scenario: DataFrame, params: V
     aggregated once; more of them stay rows of the same table, with the same result.
     """
     pairs = discount_pair_table(curve, scenario, params).withColumnRenamed("projection_month", "m_key")
-    few = curve.select("version_id").distinct().sort("version_id").limit(params.max_pivot_versions + 1)
-    versions = [r.version_id for r in few.collect()]  # max_pivot_versions + 1 names at most
-    if len(versions) > params.max_pivot_versions or None in versions:
+    versions = pivot_versions(curve, params)
+    if versions is None:
         return _pv_sums_long(inforce, pairs, curve, scenario, params, keys)
     wide = (pairs.groupBy("discount_shift_bps", "m_key").pivot("version_id", versions)
             .agg(F.first("df_start").alias("s"), F.first("df_end").alias("e")))

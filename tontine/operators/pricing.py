@@ -17,9 +17,13 @@ PRICE_KEYS = ["sex", "issue_age", "term_years"]
 
 def pricing_discount(curve: DataFrame, params: ValuationParams) -> DataFrame:
     """Annual DF v^t = 1 / (1 + z_t)^t on the named pricing curve, every whole year of the curve."""
-    c = curve.filter((F.col("version_id") == params.pricing_curve_version) & (F.col("tenor_month") % 12 == 0))
+    return annual_discounts(curve.filter(F.col("version_id") == params.pricing_curve_version)).drop("version_id")
+
+
+def annual_discounts(curve: DataFrame) -> DataFrame:
+    """J1 of every curve version: a book whose portfolios price on curves of their own."""
     t = (F.col("tenor_month") / F.lit(12)).cast("int")
-    return (c.select(t.alias("tenor_year"), "zero_rate_annual")
+    return (curve.filter(F.col("tenor_month") % 12 == 0).select("version_id", t.alias("tenor_year"), "zero_rate_annual")
             .withColumn("annual_df", F.lit(1.0) / F.pow(F.lit(1.0) + F.col("zero_rate_annual"),
                                                         F.col("tenor_year").cast("double"))))
 
@@ -70,13 +74,14 @@ def gross_divisor(params: ValuationParams) -> float:
     return 1.0 - total
 
 
-def price(policies: DataFrame, mortality: DataFrame, curve: DataFrame, params: ValuationParams) -> DataFrame:
+def price(policies: DataFrame, mortality: DataFrame, curve: DataFrame, params: ValuationParams, keys: DataFrame | None = None) -> DataFrame:
     """net = SA * sum(v p q) / sum(v p); gross = net / (1 - loadings).
     The rate table has one row per distinct pricing key (bounded by the key domain, not by the
     policy count); it is materialized, counted and broadcast, so the policies are streamed
     through a hash join and never shuffled. A policy that cannot be priced keeps its row with null
-    premiums."""
-    rates = materialized_broadcast(premium_rates(policies, mortality, curve, params), params.broadcast_max_rows)
+    premiums. ``keys`` names the pricing keys, if they are known without deriving the policies a
+    second time; keys without a policy do no harm."""
+    rates = materialized_broadcast(premium_rates(policies if keys is None else keys, mortality, curve, params), params.broadcast_max_rows)
     net = F.col("sum_assured") * F.col("benefit_sum") / F.col("annuity_sum")
     return (policies.join(rates, PRICE_KEYS, "left")
             .withColumn("annual_net_premium", net)
@@ -84,9 +89,9 @@ def price(policies: DataFrame, mortality: DataFrame, curve: DataFrame, params: V
 
 
 def premium_table(policies: DataFrame, mortality: DataFrame, curve: DataFrame, params: ValuationParams,
-                  id_cols: tuple[str, ...] = ("cohort_id", "sex")) -> DataFrame:
+                  id_cols: tuple[str, ...] = ("cohort_id", "sex"), keys: DataFrame | None = None) -> DataFrame:
     """premium_input rows (tagged with the pricing version)."""
-    p = price(policies, mortality, curve, params)
+    p = price(policies, mortality, curve, params, keys)
     return p.select(*id_cols, "annual_net_premium", "annual_gross_premium",
                     F.lit(params.pricing_version_id).alias("pricing_assumption_version"),
                     F.lit("ANNUAL").alias("premium_frequency"), F.lit("EUR").alias("premium_currency"))

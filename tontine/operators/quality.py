@@ -9,10 +9,12 @@ rows (row rules) or of duplicated key groups (uniqueness rules), as dbt reports
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 ROW_RULES = ("not_null", "accepted_values", "accepted_range")
@@ -109,6 +111,94 @@ def run_rules(tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Rule
     return out
 
 
+RESULT_SCHEMA = "table_name string, rule string, columns string, failing_rows long"
+
+
+class Watch:
+    """Row rules as observed metrics: a watched DataFrame counts its failing rows whenever it is
+    computed on the way to another; ``results`` computes the leaves in one job and reads them all."""
+
+    def __init__(self, rules: Mapping[str, Sequence[Rule]]):
+        self.rules = {t: [r for r in rs if r.kind in ROW_RULES] for t, rs in rules.items()}
+        self.seen: dict[str, Observation] = {}
+        self.tables: dict[str, DataFrame] = {}
+        self.leaves: list[DataFrame] = []
+
+    def __call__(self, table: str, df: DataFrame) -> DataFrame:
+        rules = self.rules.get(table, [])
+        if not rules:
+            return df
+        self.tables[table] = df
+        self.seen[table] = Observation(f"{table}-{uuid.uuid4().hex}")
+        return df.observe(self.seen[table], *[F.sum(F.when(failing_condition(r), 1).otherwise(0)).alias(f"r{i}") for i, r in enumerate(rules)])
+
+    def leaf(self, table: str, df: DataFrame) -> None:
+        needed = {c for r in self.rules.get(table, []) for c in r.columns}
+        if needed:
+            df = self(table, df.select(*sorted(needed)))
+        self.leaves.append(df.select(F.lit(1).alias("one")))
+
+    def results(self) -> list[tuple]:
+        one = self.leaves[0]
+        for more in self.leaves[1:]:
+            one = one.unionAll(more)
+        one.write.format("noop").mode("overwrite").save()
+        out = []
+        for table, seen in self.seen.items():
+            rules = self.rules[table]
+            try:
+                got = seen.get  # as many numbers as rules
+            except Py4JJavaError:  # nothing below it had rows, so Spark left the observed plan out: counted by itself
+                out += [tuple(r) for r in run_table(table, self.tables[table], rules).collect()]
+                continue
+            out += [(table, r.kind, r.label, int(got.get(f"r{i}") or 0)) for i, r in enumerate(rules)]
+        return out
+
+
+_POLICY = ("stg_policy_cohort_input", ("cohort_id", "sex"))
+_SCENARIO = ("stg_stress_scenario_definition", ("scenario_id",))
+_MORTALITY = ("stg_mortality_assumption", ("age", "sex", "mort_version_id"))
+_LAPSE = ("stg_lapse_assumption", ("duration_year",))
+_PREMIUM = ("stg_premium_input", ("cohort_id", "sex"))
+_CURVE = ("stg_discount_curve", ("tenor_month", "version_id"))
+#: Whose keys make a model's key unique: each of these is built by joins on those keys and by
+#: exploding distinct months, lines or versions.
+PROVEN_BY: dict[str, tuple[tuple[str, tuple[str, ...]], ...]] = {
+    "int_projection_frame": (_POLICY, _SCENARIO, _PREMIUM),
+    "int_projection_mortality_rates": (_POLICY, _SCENARIO, _PREMIUM, _MORTALITY),
+    "int_projection_lapse_rates": (_POLICY, _SCENARIO, _PREMIUM, _LAPSE),
+    "int_inforce_rollforward": (_POLICY, _SCENARIO, _PREMIUM, _MORTALITY, _LAPSE),
+    "int_cashflow_lines": (_POLICY, _SCENARIO, _PREMIUM, _MORTALITY, _LAPSE),
+    "int_cashflows_discounted": (_POLICY, _SCENARIO, _PREMIUM, _MORTALITY, _LAPSE, _CURVE),
+}
+
+
+def _duplicated(df: DataFrame, columns: Sequence[str], skip_null: bool) -> DataFrame:
+    src = df.filter(F.col(columns[0]).isNotNull()) if skip_null else df
+    return src.groupBy(*columns).count().filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("n"))
+
+
+def unique_results(tables: Mapping[str, DataFrame], rules: Mapping[str, Sequence[Rule]]) -> list[tuple]:
+    """Duplicated keys per uniqueness rule. Keys of the inputs are counted in one job; a model whose
+    inputs' keys are all unique has a unique key and is not grouped, any other one is."""
+    wanted = [(t, r) for t, rs in rules.items() for r in rs if r.kind in UNIQUE_RULES]
+
+    def count(pairs: list[tuple[str, tuple[str, ...], bool]]) -> dict[tuple, int]:
+        parts = [_duplicated(tables[t], cols, skip).select(F.lit(i).alias("i"), "n") for i, (t, cols, skip) in enumerate(pairs)]
+        one = None
+        for p in parts:
+            one = p if one is None else one.unionAll(p)
+        return {} if one is None else {pairs[r.i][:2]: int(r.n) for r in one.collect()}  # one row a rule
+
+    proving = {x for t, _ in wanted for x in PROVEN_BY.get(t, ())}
+    first = [(t, r.columns, r.kind == "unique") for t, r in wanted if t not in PROVEN_BY]
+    first += [(t, cols, False) for t, cols in sorted(proving) if (t, cols) not in {(a, b) for a, b, _ in first}]
+    known = count(first)
+    proven = {t for t, by in PROVEN_BY.items() if all(known.get(x) == 0 for x in by)}
+    known |= count([(t, r.columns, r.kind == "unique") for t, r in wanted if t in PROVEN_BY and t not in proven])
+    return [(t, r.kind, r.label, known.get((t, r.columns), 0)) for t, r in wanted]
+
+
 def _val(col: str, keys: Sequence[str]) -> list[Rule]:
     return [not_null(col), accepted_values(col, ["PASS", "FAIL"]), unique_combo(*keys)]
 

@@ -74,6 +74,21 @@ def df_by_scenario(discounted: DataFrame, scenarios: Sequence[str] = tuple(DISCO
             .distinct())
 
 
+def df_by_scenario_from_table(frame: DataFrame, factors: DataFrame, mortality: DataFrame, curve: DataFrame, max_rows: int,
+                              scenarios: Sequence[str] = tuple(DISCOUNT_CHART_SCENARIOS)) -> DataFrame:
+    """I7 straight from the discount-factor table: the months of the frame that have a death benefit
+    (a premium and a mortality row), joined with the factor of their month. The frame's key
+    is unique, so nothing is expanded and nothing is made distinct."""
+    from tontine.operators.discounting import curve_horizon
+    from tontine.operators.joins import bounded_broadcast
+    months = (frame.filter(F.col("scenario_id").isin(list(scenarios)) & F.col("monthly_premium").isNotNull())
+              .join(mortality.select(F.col("age").alias("attained_age"), "sex").distinct(), ["attained_age", "sex"], "left_semi")
+              .withColumn("dm_key", F.least(F.col("projection_month"), (curve_horizon(curve) + 1).cast("int"))))
+    f = bounded_broadcast(factors.select("version_id", "discount_shift_bps", F.col("discount_month").alias("dm_key"), "discount_factor"), max_rows)
+    return (months.join(f, ["discount_shift_bps", "dm_key"])
+            .select("cohort_id", "sex", "scenario_id", "version_id", "projection_month", "discount_factor"))
+
+
 def bel_waterfall(bel: DataFrame, params: ValuationParams, by: str = "bel_amount") -> DataFrame:
     """I8: BASE components per model point, sorted by ``by`` (``bel_amount`` or ``bel_per_policy``)
     within each curve and basis."""

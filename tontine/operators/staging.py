@@ -28,6 +28,26 @@ def base_version_counts(assumption_version: DataFrame) -> DataFrame:
             .withColumn("ok", F.col("n_base") == 1))
 
 
+def base_versions(assumption_version: DataFrame, assumption_type: str) -> DataFrame:
+    """B9 for a book of several portfolios: every base version of a type, however many."""
+    return base_version(assumption_version, assumption_type).distinct()
+
+
+def of_versions(raw: DataFrame, versions: DataFrame) -> DataFrame:
+    """The rows of the versions listed in ``versions (version_id)``."""
+    return raw.join(versions.select("version_id").distinct(), "version_id", "left_semi")
+
+
+def stg_lapse_versions(raw: DataFrame, versions: DataFrame) -> DataFrame:
+    """B3 with a base version per portfolio."""
+    return of_versions(raw, versions).select("duration_year", "lapse_rate_annual", "version_id")
+
+
+def stg_expense_versions(raw: DataFrame, versions: DataFrame) -> DataFrame:
+    """B4 with a base version per portfolio."""
+    return of_versions(raw, versions).select("expense_type", "expense_basis", "expense_rate", "version_id", "comment")
+
+
 def stg_policy(raw: DataFrame) -> DataFrame:
     """B1: attained age and remaining term; version_id -> cohort_version_id."""
     return raw.select(
@@ -38,9 +58,11 @@ def stg_policy(raw: DataFrame) -> DataFrame:
         F.col("version_id").alias("cohort_version_id"))
 
 
-def stg_mortality(raw: DataFrame, versions: Sequence[str]) -> DataFrame:
-    """B2: keep the listed mortality versions, renamed mort_version_id (list is a parameter)."""
-    return (raw.filter(F.col("version_id").isin(list(versions)))
+def stg_mortality(raw: DataFrame, versions: Sequence[str] | DataFrame) -> DataFrame:
+    """B2: keep the listed mortality versions, renamed mort_version_id. ``versions`` is a list, or a
+    table with a column ``version_id`` where they are many."""
+    kept = of_versions(raw, versions) if isinstance(versions, DataFrame) else raw.filter(F.col("version_id").isin(list(versions)))
+    return (kept
             .select("age", "sex", "qx_annual", "source", "year", F.col("version_id").alias("mort_version_id")))
 
 

@@ -16,8 +16,10 @@ from tontine.operators import checks as CK
 from tontine.operators import discounting as DS
 from tontine.operators import pricing as PR
 from tontine.operators import projection as PJ
+from tontine.operators import quality as DQ
 from tontine.operators import staging as ST
 from tontine.operators import valuation as VL
+from tontine.operators import vectors as VC
 from tontine.operators.joins import forget_counts
 from tontine.params import ValuationParams
 from tontine.session import boundary_path, ensure_checkpoint_dir
@@ -100,8 +102,7 @@ class Valuation:
     # ------------------------------------------------------------------ projection
     @cached_property
     def frame_wide(self) -> DataFrame:
-        priced = PJ.with_premium(self.staged.policy, self.staged.premium)
-        return PJ.projection_frame(priced, self.staged.scenario, self.params)
+        return PJ.projection_frame(self.priced, self.staged.scenario, self.params)
 
     @cached_property
     def projection_frame(self) -> DataFrame:
@@ -115,11 +116,23 @@ class Valuation:
     def lapse_rates(self) -> DataFrame:
         return PJ.lapse_rates(self.frame_wide, self.staged.lapse, self.params)
 
+    @cached_property
+    def priced(self) -> DataFrame:
+        """Model points with their monthly premium."""
+        return PJ.with_premium(self.staged.policy, self.staged.premium)
+
+    @cached_property
+    def inforce_plan(self) -> DataFrame:
+        return PJ.inforce_wide_years(self.priced, self.staged.scenario, self.staged.mortality, self.staged.lapse, self.params)
+
     @cached_property
     def inforce_wide(self) -> DataFrame:
-        priced = PJ.with_premium(self.staged.policy, self.staged.premium)
-        return self._boundary(PJ.inforce_wide_years(priced, self.staged.scenario, self.staged.mortality,
-                                                    self.staged.lapse, self.params))
+        return self._boundary(self.inforce_plan)
+
+    @cached_property
+    def chain_vectors(self) -> DataFrame:
+        """The projection as month vectors, one row per model point, scenario and basis."""
+        return VC.chain_vectors(self.priced, self.staged.scenario, self.staged.mortality, self.staged.lapse, self.params)
 
     @cached_property
     def inforce_rollforward(self) -> DataFrame:
@@ -151,8 +164,13 @@ class Valuation:
     @cached_property
     def bel_wide(self) -> DataFrame:
         st = self.staged
-        return self._boundary(VL.bel_from_inforce(self.inforce_wide, st.curve, st.scenario,
-                                                  CF.expense_rate(st.expense, self.params), self.params))
+        return self._boundary(VC.bel_from_vectors(self.chain_vectors, st.curve, st.scenario, CF.expense_rate(st.expense, self.params), self.params))
+
+    @cached_property
+    def bel_by_rows(self) -> DataFrame:
+        """The BEL summed from month rows: the same values by the other layout."""
+        st = self.staged
+        return VL.bel_from_inforce(self.inforce_wide, st.curve, st.scenario, CF.expense_rate(st.expense, self.params), self.params)
 
     @cached_property
     def bel_components(self) -> DataFrame:
@@ -195,8 +213,25 @@ class Valuation:
     def val_direction(self) -> DataFrame:
         return CK.val_direction(self.bel_components, self.params)
 
+    @cached_property
+    def gate(self) -> dict[str, DataFrame] | None:
+        """The check tables from one pass over the month rows; None when the curve versions are too
+        many to be columns of it."""
+        st = self.staged
+        versions = DS.pivot_versions(st.curve, self.params)
+        if versions is None:
+            return None
+        rows = self.__dict__.get("inforce_wide", self.inforce_plan)  # read once here: no boundary of its own
+        sums = self._boundary(CK.gate_sums(rows, st.curve, st.scenario, CF.expense_rate(st.expense, self.params), versions, self.params))
+        return CK.gate_tables(self.frame_wide, sums, self.bel_components, self.params)
+
     @cached_property
     def validation_summary(self) -> DataFrame:
+        return self.validation_by_checks if self.gate is None else self.gate["val_validation_summary"]
+
+    @cached_property
+    def validation_by_checks(self) -> DataFrame:
+        """L7 from the single checks, each with a pass of its own."""
         return CK.validation_summary(self.val_projection, self.val_inforce, self.val_cashflow, self.val_discount,
                                      self.val_bel, self.val_direction, self.params)
 
@@ -210,6 +245,43 @@ class Valuation:
         return CK.assumption_checks(self.frame_wide, self.staged.mortality, self.staged.lapse, self.staged.curve,
                                     self.staged.expense, rated, self.params)
 
+    # ------------------------------------------------------------------ assertions
+    def row_assertions(self, rules: dict[str, list[DQ.Rule]]) -> list[tuple]:
+        """Every row rule of every model in one job: the models are observed where they are computed,
+        each layer on the way to the next, and the last ones meet in one union without a shuffle."""
+        watch = DQ.Watch(rules)
+        t, st = self._checked_tables(), self.staged
+        frame = watch("int_projection_frame", self.frame_wide)
+        rows = watch("int_inforce_rollforward", self.__dict__.get("inforce_wide", self.inforce_plan))
+        lines = watch("int_cashflow_lines", CF.cashflow_lines(rows, st.expense, self.params, carry=("discount_shift_bps",)))
+        bel = watch("int_bel_components", self.bel_wide)
+        core = watch("mart_bel_components_core", VL.mart_core(bel))
+        sens = watch("mart_bel_sensitivity", VL.mart_sensitivity(core, self.params))
+        summary = watch("val_validation_summary", t["val_validation_summary"])
+        watch.leaf("int_projection_mortality_rates", PJ.mortality_rates(frame, st.mortality, self.params))
+        watch.leaf("int_projection_lapse_rates", PJ.lapse_rates(self.frame_wide, st.lapse, self.params))
+        watch.leaf("int_cashflows_discounted", DS.discounted_cashflows(lines, st.curve, st.scenario, self.params))
+        watch.leaf("mart_portfolio_overview", VL.mart_portfolio(core, sens, self.params))
+        watch.leaf("mart_validation_summary", CK.mart_validation(summary))
+        for name in rules:
+            if name not in watch.seen:
+                watch.leaf(name, t[name])
+        return watch.results()
+
+    def _checked_tables(self) -> dict[str, DataFrame]:
+        """The models, the check tables by the single pass where there is one."""
+        t = self.tables()
+        return t if self.gate is None else t | self.gate | {"mart_validation_summary": CK.mart_validation(self.gate["val_validation_summary"])}
+
+    def key_assertions(self, rules: dict[str, list[DQ.Rule]]) -> list[tuple]:
+        return DQ.unique_results(self._checked_tables(), rules)
+
+    def assertions(self, rules: dict[str, list[DQ.Rule]]) -> DataFrame:
+        """(table_name, rule, columns, failing_rows) of every rule: the row rules of one observed job,
+        uniqueness from the keys of the inputs where these prove it."""
+        found = self.row_assertions(rules) + self.key_assertions(rules)
+        return self.raw.policy_cohort_input.sparkSession.createDataFrame(found, DQ.RESULT_SCHEMA)
+
     # ------------------------------------------------------------------ named tables
     def tables(self) -> dict[str, DataFrame]:
         """Every model of the reference DAG under its reference name."""

@@ -10,6 +10,7 @@ The model-point and seriatim valuations themselves read the fixed invented assum
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 from functools import cached_property
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tontine.operators import curves as CV
 from tontine.operators import discounting as DG
+from tontine.operators import experience as EX
 from tontine.operators import pricing as PR
 from tontine.operators import projection as PJ
 from tontine.operators import quality as DQ
@@ -30,6 +32,7 @@ from tontine.plans.factor import FactorValuation
 from tontine.plans.pipeline import Valuation
 from tontine.sources import assumptions as AS
 from tontine.sources import fixtures as FX
+from tontine.sources import rejects as RJ
 
 
 class Ctx:
@@ -45,6 +48,18 @@ class Ctx:
     def v(self) -> Valuation:
         return Valuation(self.raw, self.params)
 
+    @cached_property
+    def rules(self) -> dict[str, list[DQ.Rule]]:
+        return DQ.pipeline_rules(self.params.checks_by_mort_version)
+
+    @cached_property
+    def row_assertions(self) -> list[tuple]:
+        return self.v.row_assertions(self.rules)
+
+    @cached_property
+    def key_assertions(self) -> list[tuple]:
+        return self.v.key_assertions(self.rules)
+
     @cached_property
     def policies(self) -> DataFrame:
         return FX.policies(FX.read_table(self.spark, self.sf_dir, "orders"),
@@ -59,6 +74,30 @@ class Ctx:
     def agency(self) -> FX.AgencyAssumptions:
         return FX.agency_assumptions(FX.read_table(self.spark, self.sf_dir, "orders"))
 
+    @cached_property
+    def histories(self) -> DataFrame:
+        return FX.policy_histories(FX.read_table(self.spark, self.sf_dir, "orders"))
+
+    @cached_property
+    def study(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return EX.study(self.histories, self.raw.mortality_assumption, STUDY_BASE, STUDY_VERSION, *STUDY_WINDOW, boundary=self.v._boundary)
+
+    @cached_property
+    def study_valuation(self) -> Valuation:
+        mortality = EX.with_experience(self.raw.mortality_assumption, self.v._boundary(self.study[2]))
+        return Valuation(replace(self.raw, mortality_assumption=mortality), replace(self.params, mort_versions=(STUDY_BASE, STUDY_VERSION)))
+
+    @cached_property
+    def agency_bases(self) -> DataFrame:
+        """Every agency is a portfolio whose versions are its base versions."""
+        return self.agency.assumption_version.withColumn("is_base_version", F.lit(True))
+
+    @cached_property
+    def loaded(self) -> tuple[RJ.Loaded, RJ.Loaded]:
+        """The sheets of the agencies' rates and the suppliers' curves, loaded with their rejects."""
+        return (RJ.mortality_by_sex(FX.mortality_sheet(FX.read_table(self.spark, self.sf_dir, "orders")), "AGENCY"),
+                RJ.curve_points(FX.curve_sheet(self.lineitem)))
+
     @cached_property
     def lineitem(self) -> DataFrame:
         return FX.read_table(self.spark, self.sf_dir, "lineitem")
@@ -81,6 +120,7 @@ class Spec:
     build: Callable[[Ctx], DataFrame]
     cols: str
     sql: str | None
+    study: bool = False  # its SQL reads the mortality table that the experience study adds to
 
     @property
     def columns(self) -> list[tuple[str, str]]:
@@ -199,7 +239,8 @@ def _dq_sql(kinds: tuple[str, ...], p: ValuationParams) -> str:
 
 def _dq_build(kinds: tuple[str, ...]):
     def build(c: Ctx) -> DataFrame:
-        return DQ.run_rules(c.v.tables(), DQ.pipeline_rules(c.params.checks_by_mort_version), kinds)
+        found = c.row_assertions if set(kinds) <= set(DQ.ROW_RULES) else c.key_assertions
+        return c.spark.createDataFrame([x for x in found if x[1] in kinds], DQ.RESULT_SCHEMA)
     return build
 
 
@@ -262,9 +303,9 @@ SELECT DISTINCT 'lapse', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(dura
 """
 
 
-#: versions of the agencies' and suppliers' tables that the staging and pricing keys select
-AGENCY_BASES = ("G0", "G1")
-SUPPLIER_PRICING_CURVE = "S1"
+#: the experience study: base version, version that it adds, observation window (end excluded)
+STUDY_BASE, STUDY_VERSION = "M1", "MX"
+STUDY_WINDOW = (dt.date(1996, 1, 1), dt.date(2003, 1, 1))
 
 CELL_KEYS = ["cohort_id", "sex", "issue_age", "term_years", "elapsed_duration_years"]
 
@@ -304,18 +345,17 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             "term_years - elapsed_duration_years AS remaining_term_years, 'COHORT_FIXTURE' AS cohort_version_id "
             "FROM mp_raw"),
         "stg_mortality": Spec(
-            lambda c: ST.stg_mortality(c.agency.mortality_assumption, AGENCY_BASES),
+            lambda c: ST.stg_mortality(c.agency.mortality_assumption, ST.base_versions(c.agency_bases, "mortality")),
             "age:i sex:s qx_annual:d10 source:s year:i mort_version_id:s",
-            "SELECT age, sex, qx_annual, source, year, version_id AS mort_version_id FROM a_mort "
-            "WHERE version_id IN ('G0', 'G1')"),
+            "SELECT age, sex, qx_annual, source, year, version_id AS mort_version_id FROM a_mort"),
         "stg_lapse": Spec(
-            lambda c: ST.stg_lapse(c.agency.lapse_assumption, c.agency.assumption_version),
+            lambda c: ST.stg_lapse_versions(c.agency.lapse_assumption, ST.base_versions(c.agency_bases, "lapse")),
             "duration_year:i lapse_rate_annual:d10 version_id:s",
-            "SELECT duration_year, lapse_rate_annual, version_id FROM a_lapse WHERE version_id = 'L0'"),
+            "SELECT duration_year, lapse_rate_annual, version_id FROM a_lapse"),
         "stg_expense": Spec(
-            lambda c: ST.stg_expense(c.agency.expense_assumption, c.agency.assumption_version),
+            lambda c: ST.stg_expense_versions(c.agency.expense_assumption, ST.base_versions(c.agency_bases, "expense")),
             "expense_type:s expense_basis:s expense_rate:d10 version_id:s comment:s",
-            "SELECT * FROM a_expense WHERE version_id = 'E0'"),
+            "SELECT * FROM a_expense"),
         "stg_version": Spec(
             lambda c: ST.stg_version(c.agency.assumption_version),
             "assumption_type:s version_id:s version_name:s is_base_version:b", "SELECT * FROM a_version"),
@@ -453,7 +493,7 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             "SELECT cohort_id, sex, mort_version_id, projection_month, inforce_open / policy_count * 100 AS survival_pct "
             f"FROM inf WHERE scenario_id = {base}"),
         "df_by_scenario": Spec(
-            lambda c: RP.df_by_scenario(c.v.discounted_cashflows),
+            lambda c: RP.df_by_scenario_from_table(c.v.frame_wide, c.v.discount_factor_table, c.v.staged.mortality, c.v.staged.curve, c.params.broadcast_max_rows),
             "cohort_id:s sex:s scenario_id:s version_id:s projection_month:i discount_factor:d10",
             "SELECT DISTINCT cohort_id, sex, scenario_id, version_id, projection_month, discount_factor FROM disc "
             f"WHERE cashflow_type = 'death_benefit' AND scenario_id IN ({_in(O.DISCOUNT_CHART_SCENARIOS)})"),
@@ -511,7 +551,7 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             "SELECT cohort_id, sex, annual_net_premium, annual_gross_premium FROM prem"),
         "premium_table": Spec(
             lambda c: PR.premium_table(c.policies, c.raw.mortality_assumption, c.raw.discount_curve, c.params,
-                                       id_cols=("policy_id", "cohort_id", "sex")),
+                                       id_cols=("policy_id", "cohort_id", "sex"), keys=FX.pricing_keys(FX.read_table(c.spark, c.sf_dir, "orders"))),
             "policy_id:i cohort_id:s sex:s annual_net_premium:d4 annual_gross_premium:d4 "
             "pricing_assumption_version:s premium_frequency:s premium_currency:s",
             "SELECT p.policy_id, p.cohort_id, p.sex, p.sum_assured * r.benefit_sum / r.annuity_sum AS annual_net_premium, "
@@ -574,10 +614,10 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
         "curve_divergence": Spec(
             lambda c: CV.curve_divergences(c.supplier_curves, c.supplier_pairs),
             "first_version_id:s second_version_id:s tenor_month:i spot_first:d10 spot_second:d10 spot_diff:d10",
-            "SELECT first_version_id, second_version_id, a.tenor_month, a.zero_rate_annual AS spot_first, "
-            "b.zero_rate_annual AS spot_second, b.zero_rate_annual - a.zero_rate_annual AS spot_diff FROM s_pair "
-            "JOIN s_curve a ON a.version_id = first_version_id JOIN s_curve b ON b.version_id = second_version_id "
-            "AND b.tenor_month = a.tenor_month WHERE a.tenor_month <= 240"),
+            "SELECT *, spot_second - spot_first AS spot_diff FROM (SELECT 'S' || l_suppkey AS first_version_id, 'S' || l_suppkey || '-VA' AS second_version_id, "
+            "CAST(12 * t AS BIGINT) AS tenor_month, 0.033e0 - (0.033e0 - start_rate) / (1e0 + t / 8e0) AS spot_first, "
+            "0.033e0 - (0.033e0 - (start_rate + va)) / (1e0 + t / 8e0) AS spot_second "
+            "FROM (SELECT *, unnest(generate_series(1, 20)) AS t FROM s_start))"),
         "curve_interpolation": Spec(
             lambda c: _supplier_discounts(c).select("version_id", "discount_shift_bps", "discount_month",
                                                     "lower_rate", "upper_rate", "interpolated_rate"),
@@ -590,16 +630,46 @@ def specs(p: ValuationParams | None = None) -> dict[str, Spec]:
             "SELECT version_id, discount_shift_bps, discount_month, lower_tenor, upper_tenor, lower_rate, upper_rate, "
             "interpolated_rate, discount_factor FROM s_dft"),
         "pricing_discount": Spec(
-            lambda c: PR.pricing_discount(c.supplier_curves, replace(c.params, pricing_curve_version=SUPPLIER_PRICING_CURVE)),
-            "tenor_year:i zero_rate_annual:d10 annual_df:d10",
-            "SELECT tenor_month / 12 AS tenor_year, zero_rate_annual, pow(1e0 + zero_rate_annual, -tenor_month / 12) AS annual_df "
-            "FROM s_curve WHERE version_id = 'S1'"),
+            lambda c: PR.annual_discounts(c.supplier_curves),
+            "version_id:s tenor_year:i zero_rate_annual:d10 annual_df:d10",
+            "SELECT version_id, tenor_month / 12 AS tenor_year, zero_rate_annual, pow(1e0 + zero_rate_annual, -tenor_month / 12) AS annual_df "
+            "FROM s_curve"),
         "duplicate_keys": Spec(
             lambda c: AS.duplicate_keys(c.policies, CELL_KEYS),
             "cohort_id:s sex:s issue_age:i term_years:i elapsed_duration_years:i count:i",
             "SELECT cohort_id, sex, issue_age, term_years, elapsed_duration_years, count(*) AS count FROM pol "
             "GROUP BY ALL HAVING count(*) > 1"),
         "assumption_checks": Spec(lambda c: c.v.assumption_checks, "check:s failing:i", ASSUMPTION_CHECKS_SQL),
+        # ---------------------------------------------------------- loaders with a reject channel
+        "loaded_mortality": Spec(
+            lambda c: c.loaded[0].loaded, "year:i age:i sex:s qx_annual:d10 source:s",
+            "SELECT year, CAST(regexp_extract(trim(age), '^([0-9]+)', 1) AS BIGINT) AS age, sex, CAST(rate AS DOUBLE) AS qx_annual, 'AGENCY' AS source "
+            "FROM r_mort WHERE reason IS NULL"),
+        "rejected_mortality": Spec(
+            lambda c: c.loaded[0].rejected, "record:s reason:s",
+            "SELECT concat_ws('|', year, age, sex, rate) AS record, reason FROM r_mort WHERE reason IS NOT NULL"),
+        "loaded_curves": Spec(
+            lambda c: c.loaded[1].loaded, "tenor_month:i zero_rate_annual:d10 version_id:s",
+            "SELECT 12 * CAST(tenor AS BIGINT) AS tenor_month, CAST(rate AS DOUBLE) AS zero_rate_annual, version_id FROM r_curve WHERE reason IS NULL"),
+        "rejected_curves": Spec(
+            lambda c: c.loaded[1].rejected, "record:s reason:s",
+            "SELECT concat_ws('|', tenor, rate, version_id) AS record, reason FROM r_curve WHERE reason IS NOT NULL"),
+        # ---------------------------------------------------------- experience study (X)
+        "experience_exposure": Spec(
+            lambda c: EX.exposure_table(c.histories, *STUDY_WINDOW), "sex:s attained_age:i duration_year:i days:i deaths:i",
+            "SELECT sex, attained_age, duration_year, sum(days) AS days, sum(deaths) AS deaths FROM x_piece GROUP BY ALL", study=True),
+        "experience_ae": Spec(
+            lambda c: c.study[0], "sex:s attained_age:i days:i deaths:i expected:d6 ae_ratio:d7",
+            "SELECT sex, age AS attained_age, days, deaths, expected, ae_ratio FROM x_ae", study=True),
+        "experience_graduation": Spec(
+            lambda c: c.study[1], "sex:s term:i coefficient:d7 age_from:i age_to:i",
+            "SELECT sex, 0 AS term, c0 AS coefficient, age_from, age_to FROM x_fit UNION ALL SELECT sex, 1, c1, age_from, age_to FROM x_fit "
+            "UNION ALL SELECT sex, 2, c2, age_from, age_to FROM x_fit", study=True),
+        "experience_mortality": Spec(
+            lambda c: c.study[2], "age:i sex:s qx_annual:d9 deaths:i credibility:d9 ratio:d7 version_id:s source:s",
+            "SELECT age, sex, qx_annual, deaths, credibility, ratio, 'MX' AS version_id, 'EXPERIENCE' AS source FROM x_mort", study=True),
+        "experience_portfolio": Spec(
+            lambda c: c.study_valuation.mart_portfolio, C_PORT, "SELECT * FROM port", study=True),
         # ---------------------------------------------------------- seriatim unit-factor path
         "seriatim_factors": Spec(
             lambda c: c.fv.factors,
@@ -643,6 +713,6 @@ def queries(params: ValuationParams | None = None, shared: bool = True, rounding
 
 
 def oracle_sql(params: ValuationParams | None = None) -> dict[str, str]:
-    ctes = O.all_ctes(params)
-    return {name: ctes + "\n" + finalize_sql(spec.sql, spec.columns)
+    ctes = {False: O.all_ctes(params), True: O.all_ctes(params, study=True)}
+    return {name: ctes[spec.study] + "\n" + finalize_sql(spec.sql, spec.columns)
             for name, spec in specs(params).items() if spec.sql is not None}

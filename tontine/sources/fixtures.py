@@ -3,6 +3,8 @@
 * ``policies``      one seriatim policy per order (unit-factor path, pricing)
 * ``model_points``  agency x segment x sex model points (reference row path); an agency is a block
   of 1,000 customer keys, so the book grows with the data
+* ``policy_histories`` dated lives of the orders' policies (birth, entry, exit, cause) for the
+  experience study
 * ``mortality_table`` / ``curve_table``: invented assumption tables (not the reference's data)
 * ``agency_assumptions`` / ``supplier_curves``: assumption tables with a version per agency or
   supplier, taken from orders and lineitem, so that the assumption operators work on tables that
@@ -69,6 +71,28 @@ def policies(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.lit(1).alias("policy_count")), POLICY_SCHEMA)
 
 
+def policy_histories(orders: DataFrame) -> DataFrame:
+    """One dated policy per order: entry on the order's date, birth by customer, an invented exit
+    (a death with 1.2 times the M1 rate at entry age over the time held, else a lapse or none)."""
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    o = orders.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("entry_date"))
+    held = (key * 7919 % 3000 + 1).cast("int")
+    o = o.select(key.alias("policy_id"), _sex(cust).alias("sex"), F.date_add(F.lit("1925-01-01").cast("date"), (cust * 37 % 18000).cast("int")).alias("birth_date"),
+                 "entry_date", held.alias("held"), (key * 48271 % 99991 / F.lit(99991.0)).alias("draw"), (key % 3 == 0).alias("lapses"))
+    o = o.withColumn("age", F.year("entry_date") - F.year("birth_date"))
+    died = F.col("draw") < F.col("held") / F.lit(365.25) * _gompertz(F.lit(1.2))
+    cause = F.when(died, F.lit("death")).when(F.col("lapses"), F.lit("lapse"))
+    return o.withColumn("exit_cause", cause).select("policy_id", "sex", "birth_date", "entry_date",
+                                                   F.when(F.col("exit_cause").isNotNull(), F.date_add("entry_date", F.col("held"))).alias("exit_date"), "exit_cause")
+
+
+def pricing_keys(orders: DataFrame) -> DataFrame:
+    """The pricing keys (sex, issue age, term) of ``policies``, from the orders alone."""
+    cust = F.col("o_custkey")
+    return orders.where(cust.isNotNull()).select(_sex(cust).alias("sex"), (25 + 5 * (cust % 9)).cast("int").alias("issue_age"),
+                                                 (10 + 5 * (F.col("o_orderkey") % 5)).cast("int").alias("term_years")).distinct()
+
+
 SEGMENT_SCHEMA = T.StructType([T.StructField("seg", T.StringType()), T.StructField("cohort_id", T.StringType()),
                                T.StructField("issue_age", T.IntegerType()), T.StructField("term_years", T.IntegerType()),
                                T.StructField("elapsed", T.IntegerType())])
@@ -236,6 +260,32 @@ def agency_assumptions(orders: DataFrame, max_age: int = 110) -> AgencyAssumptio
         (scenario, "stress_scenario_definition"), (version, "assumption_version"))))
 
 
+def mortality_sheet(orders: DataFrame, max_age: int = 110) -> DataFrame:
+    """The agencies' mortality as a sheet of text cells, one row per agency and age: labels with
+    units, and defects that grow with the book (agency plus age divisible by 17: no number in the label; by
+    13: a word for the male rate; by 19: a female rate above one; by 23: no year)."""
+    o = orders.filter(F.col("o_custkey").isNotNull()).select(_agency(F.col("o_custkey")).alias("agency"), "o_orderstatus")
+    per = o.groupBy("agency").agg((F.count(F.when(F.col("o_orderstatus") == "F", 1)) / F.count(F.lit(1))).alias("finished"))
+    grid = per.select("agency", "finished", F.explode(F.sequence(F.lit(0), F.lit(max_age))).alias("age"))
+    n = F.col("agency") + F.col("age")
+    # a quotient of integers with few digits, so that its text is the same everywhere
+    rate = lambda base: (F.floor((F.lit(base) + F.col("age")) * (F.lit(0.8) + F.col("finished")) * 100) / F.lit(131072.0)).cast("string")
+    label = F.when(n % 17 == 0, F.lit("n/a")).when(F.col("age") == max_age, F.concat(F.col("age").cast("string"), F.lit("+"))).otherwise(F.concat(F.lit(" "), F.col("age").cast("string"), F.lit(" ans")))
+    return grid.select(F.when(n % 23 != 0, F.lit("2019")).alias("year"), label.alias("age"), F.when(n % 19 == 0, F.lit("1.5")).otherwise(rate(3)).alias("female"),
+                       F.when(n % 13 == 0, F.lit("x")).otherwise(rate(5)).alias("male"), rate(4).alias("total"))
+
+
+def curve_sheet(lineitem: DataFrame, years: int = 20) -> DataFrame:
+    """The suppliers' curves as a sheet of text cells (tenor in years, rate, version), with defects:
+    supplier plus tenor divisible by 11: a dash for the rate; by 7: a tenor in words."""
+    per = lineitem.filter(F.col("l_suppkey").isNotNull()).groupBy("l_suppkey").agg(F.count("l_discount").alias("lines"))
+    g = per.select("l_suppkey", "lines", F.explode(F.sequence(F.lit(1), F.lit(years))).alias("t"))
+    n = F.col("l_suppkey") + F.col("t")
+    return g.select(F.when(n % 7 == 0, F.concat(F.col("t").cast("string"), F.lit("Y"))).otherwise(F.col("t").cast("string")).alias("tenor"),
+                    F.when(n % 11 == 0, F.lit("-")).otherwise(((F.col("lines") % 100 + F.col("t") + 10) / F.lit(8192.0)).cast("string")).alias("rate"),
+                    F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("version_id"))
+
+
 @dataclass
 class RawInputs:
     """The eight raw tables of the reference (premium_input is priced from the others)."""
