@@ -56,27 +56,49 @@ def test_vectors_hold_the_months_of_the_rows(val_small):
     rows = {}
     for r in val_small.inforce_wide.filter("cohort_id = 'C3' and mort_version_id = 'M1'").select("sex", "scenario_id", "projection_month", "inforce_open", "expected_deaths").collect():
         rows.setdefault((r.sex, r.scenario_id), {})[r.projection_month] = (r.inforce_open, r.expected_deaths)
-    for c in val_small.chain_vectors.filter("cohort_id = 'C3' and mort_version_id = 'M1'").collect():
+    for c in VC.month_vectors(val_small.chain_years.filter("cohort_id = 'C3' and mort_version_id = 'M1'")).collect():
         want = rows[c.sex, c.scenario_id]
         assert len(c.open) == len(c.deaths) == len(want) == c.remaining_months
         for m, (o, d) in want.items():
             assert (c.open[m - 1], c.deaths[m - 1]) == pytest.approx((o, d), rel=1e-12)
 
 
+def test_discount_years_equal_the_factor_table(val_small):
+    st = val_small.staged
+    table = {(r.version_id, r.discount_shift_bps, r.discount_month): r.discount_factor for r in val_small.discount_factor_table.collect()}
+    years = VC.discount_years(st.curve, st.scenario).collect()
+    assert len(years) == 4 * 3 * 151
+    for r in years:
+        for k in range(13):
+            want = table.get((r.version_id, r.discount_shift_bps, (r.projection_year - 1) * 12 + k))
+            assert r.d[k] == (pytest.approx(want, rel=1e-14) if want is not None else None)
+
+
+def test_premium_vectors_equal_the_rate_table(spark, raw_small):
+    from tontine.operators import pricing as PR
+    pol = spark.createDataFrame([(i, s, a, t, 1000 * i) for i, (s, a, t) in enumerate(
+        [("F", 35, 30), ("M", 60, 45), ("M", 60, 60), ("F", 40, 0), ("X", 40, 10), ("F", 105, 10), (None, 40, 5), ("M", 0, 1)])], "cohort_id long, sex string, issue_age int, term_years int, sum_assured long")
+    short = raw_small.discount_curve.filter("not (version_id = 'A' and tenor_month = 600)")
+    for curve in (raw_small.discount_curve, short):
+        a = {r.cohort_id: r for r in PR.price(pol, raw_small.mortality_assumption, curve, P).collect()}
+        b = {r.cohort_id: r for r in VC.premium_vectors(pol, raw_small.mortality_assumption, curve, P).collect()}
+        assert a.keys() == b.keys()
+        for i, r in a.items():
+            for c in ("annual_net_premium", "annual_gross_premium"):
+                assert b[i][c] == (None if r[c] is None else pytest.approx(r[c], rel=1e-12)), (i, c)
+
+
 def test_vector_chains_are_not_shuffled(raw_small):
     v = Valuation(raw_small, P, materialize="none")
-    chains = VC.chain_vectors(v.priced, v.staged.scenario, v.staged.mortality, v.staged.lapse, P)
-    plan = chains._jdf.queryExecution().executedPlan().toString()
+    plan = v.chain_years._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "SortMergeJoin" not in plan
-    bel = v.bel_wide._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in bel
 
 
 def test_a_repeated_mortality_key_stops_the_vectors(raw_small):
     extra = raw_small.mortality_assumption.filter("age = 60 and sex = 'F' and version_id = 'M1'")
     v = Valuation(_raw(raw_small, mortality_assumption=raw_small.mortality_assumption.unionByName(extra)), P, materialize="none")
     with pytest.raises(Exception, match="[Dd]uplicate"):
-        v.chain_vectors.collect()
+        v.chain_years.collect()
 
 
 def _verdicts(df, columns):
@@ -96,7 +118,7 @@ def _gate(v, rows, bel=None):
     from tontine.operators import cashflow as CF
     from tontine.operators.discounting import pivot_versions
     st = v.staged
-    sums = CK.gate_sums(rows, st.curve, st.scenario, CF.expense_rate(st.expense, P), pivot_versions(st.curve, P), P)
+    sums = CK.gate_sums(rows, v.discount_years, CF.expense_rate(st.expense, P), pivot_versions(st.curve, P), P)
     return CK.gate_tables(v.frame_wide, sums, v.bel_components if bel is None else bel, P)
 
 

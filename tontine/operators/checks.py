@@ -157,24 +157,25 @@ def validation_summary(proj: DataFrame, inf: DataFrame, cf: DataFrame, disc: Dat
                     _status(*conds).alias("overall_validation_status"))
 
 
-def gate_sums(inforce: DataFrame, curve: DataFrame, scenario: DataFrame, expense_rate: Column, versions: list[str],
-              params: ValuationParams) -> DataFrame:
+def gate_sums(inforce: DataFrame, discounts: DataFrame, expense_rate: Column, versions: list[str], params: ValuationParams) -> DataFrame:
     """L1-L5 as aggregates of one pass over the in-force rows: per (model point, scenario, basis)
     the month axis, the roll-forward identity and the signs, and per curve version (an array) the
     unusable discount factors and the sum of the discounted lines. Every row is joined once with
     a table of the versions' factors and never becomes three lines times the curves."""
-    from tontine.operators.discounting import curve_horizon, discount_pair_table
-    from tontine.operators.joins import bounded_broadcast, plan_key
-    pairs = discount_pair_table(curve, scenario, params)
+    from tontine.operators.joins import bounded_broadcast
     flag = lambda c: F.when(c, 1).otherwise(0)
-    s, e = F.col("df_start"), F.col("df_end")
-    # the premium reads the first factor, benefit and expense the second
-    pairs = pairs.select("discount_shift_bps", "version_id", F.col("projection_month").alias("m_key"), s.alias("s"), e.alias("e"),
-                         (flag(s.isNull()) + 2 * flag(e.isNull())).alias("void"), (flag(s <= 0) + 2 * flag(e <= 0)).alias("bad"))
-    wide = pairs.groupBy("discount_shift_bps", "m_key").pivot("version_id", versions).agg(*[F.first(c).alias(c) for c in ("s", "e", "void", "bad")])
-    small = bounded_broadcast(wide, params.broadcast_max_rows, key=("gate",) + plan_key(curve, scenario))
+    # month by month: the premium reads the first factor, benefit and expense the second
+    pairs = F.zip_with(F.slice("d", 1, 12), F.slice("d", 2, 12), lambda s, e: F.struct(s.alias("s"), e.alias("e")))
+    pairs = (discounts.select("discount_shift_bps", "version_id", "projection_year", F.posexplode(pairs).alias("k", "p"))
+             .select("discount_shift_bps", "version_id", ((F.col("projection_year") - 1) * 12 + F.col("k") + 1).alias("m_key"), "p.s", "p.e"))
+    s, e = F.col("s"), F.col("e")
+    void, bad = flag(s.isNull()) + 2 * flag(e.isNull()), flag(s <= 0) + 2 * flag(e <= 0)
+    wide = pairs.groupBy("discount_shift_bps", "m_key").agg(*[F.max(F.when(F.col("version_id") == v, x)).alias(f"{v}_{n}")
+                                                              for v in versions for n, x in (("s", s), ("e", e), ("void", void), ("bad", bad))])
+    last = discounts.agg(F.max("projection_year") * 12).scalar()
     m = F.col("projection_month")
-    rows = inforce.withColumn("m_key", F.least(m, (curve_horizon(curve) + 2).cast("int"))).join(small, ["discount_shift_bps", "m_key"], "left")
+    # at most months x shifts of one valuation; as many bytes as the discount table itself
+    rows = inforce.withColumn("m_key", F.least(m, last.cast("int"))).join(bounded_broadcast(wide, params.broadcast_max_rows), ["discount_shift_bps", "m_key"], "left")
     o, d, lp, c, prem = (F.col(x) for x in ("inforce_open", "expected_deaths", "expected_lapses", "inforce_close", "monthly_premium"))
     paid = prem.isNotNull()
     premium, benefit, expense = -(o * prem), F.when(paid, d * F.col("sum_assured")), o * prem * expense_rate

@@ -91,7 +91,10 @@ def price(policies: DataFrame, mortality: DataFrame, curve: DataFrame, params: V
 def premium_table(policies: DataFrame, mortality: DataFrame, curve: DataFrame, params: ValuationParams,
                   id_cols: tuple[str, ...] = ("cohort_id", "sex"), keys: DataFrame | None = None) -> DataFrame:
     """premium_input rows (tagged with the pricing version)."""
-    p = price(policies, mortality, curve, params, keys)
-    return p.select(*id_cols, "annual_net_premium", "annual_gross_premium",
+    return premium_columns(price(policies, mortality, curve, params, keys), params, id_cols)
+
+
+def premium_columns(priced: DataFrame, params: ValuationParams, id_cols: tuple[str, ...] = ("cohort_id", "sex")) -> DataFrame:
+    return priced.select(*id_cols, "annual_net_premium", "annual_gross_premium",
                     F.lit(params.pricing_version_id).alias("pricing_assumption_version"),
                     F.lit("ANNUAL").alias("premium_frequency"), F.lit("EUR").alias("premium_currency"))

@@ -78,9 +78,9 @@ class Valuation:
     def premium_input(self) -> DataFrame:
         if self.raw.premium_input is not None:
             return self.raw.premium_input
-        # a join of two materialized tables (staged model points, priced rates): no boundary
-        return conform(PR.premium_table(self.staged_policy, self.raw.mortality_assumption,
-                                        self.raw.discount_curve, self.params), RAW_SCHEMAS["premium_input"])
+        # priced inside the row: no table of rates, no boundary
+        priced = VC.premium_vectors(self.staged_policy, self.raw.mortality_assumption, self.raw.discount_curve, self.params)
+        return conform(PR.premium_columns(priced, self.params), RAW_SCHEMAS["premium_input"])
 
     @cached_property
     def staged_policy(self) -> DataFrame:
@@ -130,9 +130,9 @@ class Valuation:
         return self._boundary(self.inforce_plan)
 
     @cached_property
-    def chain_vectors(self) -> DataFrame:
-        """The projection as month vectors, one row per model point, scenario and basis."""
-        return VC.chain_vectors(self.priced, self.staged.scenario, self.staged.mortality, self.staged.lapse, self.params)
+    def chain_years(self) -> DataFrame:
+        """The projection as year vectors, one row per model point, scenario and basis."""
+        return VC.chain_years(self.priced, self.staged.scenario, self.staged.mortality, self.staged.lapse, self.params)
 
     @cached_property
     def inforce_rollforward(self) -> DataFrame:
@@ -152,6 +152,11 @@ class Valuation:
     def discount_factor_table(self) -> DataFrame:
         return DS.discount_factor_table(self.staged.curve, self.staged.scenario, self.params)
 
+    @cached_property
+    def discount_years(self) -> DataFrame:
+        """The discount factors by year: a small table that the BEL and the gate read."""
+        return self._boundary(VC.discount_years(self.staged.curve, self.staged.scenario))
+
     @cached_property
     def discounted_wide(self) -> DataFrame:
         return DS.discounted_cashflows(self.cashflow_wide, self.staged.curve, self.staged.scenario, self.params)
@@ -164,7 +169,7 @@ class Valuation:
     @cached_property
     def bel_wide(self) -> DataFrame:
         st = self.staged
-        return self._boundary(VC.bel_from_vectors(self.chain_vectors, st.curve, st.scenario, CF.expense_rate(st.expense, self.params), self.params))
+        return self._boundary(VC.bel_from_years(self.chain_years, self.discount_years, CF.expense_rate(st.expense, self.params), self.params))
 
     @cached_property
     def bel_by_rows(self) -> DataFrame:
@@ -222,7 +227,7 @@ class Valuation:
         if versions is None:
             return None
         rows = self.__dict__.get("inforce_wide", self.inforce_plan)  # read once here: no boundary of its own
-        sums = self._boundary(CK.gate_sums(rows, st.curve, st.scenario, CF.expense_rate(st.expense, self.params), versions, self.params))
+        sums = self._boundary(CK.gate_sums(rows, self.discount_years, CF.expense_rate(st.expense, self.params), versions, self.params))
         return CK.gate_tables(self.frame_wide, sums, self.bel_components, self.params)
 
     @cached_property
