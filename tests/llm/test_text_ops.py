@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tests.llm import brute
-from tontine.llm import decontaminate, elias_fano, line_dedup, mixing, near_dup, secrets, token_files, words
+from tontine.llm import decontaminate, elias_fano, line_dedup, mixing, near_dup, row_marks, secrets, token_files, words
 from tontine.llm.components import connected_components
 
 
@@ -119,8 +119,41 @@ def test_cross_pairs():
     left, right = side != 1, side != 0
     want = {(i, j) for i in range(60) for j in range(i + 1, 60) if comp[i] != comp[j] and ((left[i] and right[j]) or (right[i] and left[j]))
             and 100 * len(set(sets[i]) & set(sets[j])) >= 75 * len(set(sets[i]) | set(sets[j]))}
-    assert {tuple(x) for x in near_dup.cross_pairs(sets, comp, left, right, 75, 100).tolist()} == want
-
+    assert {tuple(x) for x in near_dup.cross_pairs(sets, np.array([len(x) for x in sets]), comp, left, right, 75, 100).tolist()} == want
+
+
+def test_block_keeps_a_pair_at_the_threshold_whose_short_hashes_meet():
+    """75 common shingles of 100, two of them with equal short hashes: 74 of 99 by those."""
+    common = np.concatenate([np.arange(73), [500]]).astype(np.uint32)  # two full hashes stand behind 500
+    a, b = np.concatenate([common, np.arange(1000, 1012)]).astype(np.uint32), np.concatenate([common, np.arange(2000, 2013)]).astype(np.uint32)
+    whole = np.array([len(a) + 1, len(b) + 1])
+    side = np.ones(2, dtype=bool)
+    assert near_dup.cross_pairs([a, b], whole, np.array([0, 1]), side, side, 75, 100).tolist() == [[0, 1]]
+    assert near_dup.cross_pairs([a[1:], b], whole - [1, 0], np.array([0, 1]), side, side, 75, 100).tolist() == []
+
+
+def test_words_that_break_a_polynomial_hash_stay_apart(spark):
+    """The Thue-Morse words over two letters: equal under any polynomial modulo 2**64."""
+    turn = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    one, two = turn[:1024], turn[1024:]
+    assert one != two
+    data = [(1, one, "en", "a"), (2, two, "en", "a"), (3, f"{one} x y z w", "en", "a"), (4, f"{two} x y z w", "en", "a")]
+    same(near_dup.near_duplicates(brute.docs(spark, data)), DUP, brute.components(data))
+
+
+def test_rows_are_picked_by_place(spark, tmp_path):
+    """Several files and row groups, marks of some files only, extra columns of any type."""
+    path = str(tmp_path / "t")
+    spark.range(0, 5000, 1, 7).selectExpr("id", "cast(id as string) s", "array(id, null) a", "struct(id as x) b", "null as e").drop("e").write.option("parquet.block.size", 4096).parquet(path)
+    table = row_marks.on_files(spark.read.parquet(path))
+    marks = row_marks.write_marks(row_marks.placed(table).where("id % 13 = 0 and id < 3000"))
+    want = {i for i in range(5000) if i % 13 == 0 and i < 3000}
+    got = row_marks.pick(row_marks.placed(table), marks)
+    assert got.schema == table.schema and {r.id for r in got.collect()} == want
+    rest = row_marks.pick(row_marks.placed(table.filter("id > 10")), marks, wanted=False)
+    assert {r.id for r in rest.collect()} == {i for i in range(11, 5000) if i not in want}
+    assert row_marks.pick(row_marks.placed(table), row_marks.write_marks(row_marks.placed(table).limit(0))).count() == 0
+    assert row_marks.on_files(spark.range(3).unionAll(spark.range(3))).count() == 6
 
 def test_chain_of_near_copies_is_one_component(spark):
     w = [f"u{i}" for i in range(60)]
@@ -254,7 +287,8 @@ def test_mixing(spark, data):
 
 
 def test_mix_emits_rows_as_planned_and_agrees_with_itself(spark):
-    for data in (brute.DOCS, sized(300, 2)):
+    ties = [(i % 40, "w " * (1 + i % 2), "en", "ab"[i // 40 % 2]) for i in range(400)]  # repeated rows around every cut
+    for data in (brute.DOCS, sized(300, 2), ties):
         d = brute.docs(spark, data)
         plan = mixing.plan_mix(d)
         want = sorted(_key((r.doc_id, r.size)) for r in plan.collect() for _ in range(r.copies))

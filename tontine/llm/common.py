@@ -97,6 +97,14 @@ def materialize(df: DataFrame, name: str, by: list[str] | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def file_system(uri: str):
+    """The (pyarrow) file system of a path or URI, and the path in it."""
+    import pyarrow.fs as pafs
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
+    return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
+
+
 def range_prefix(df: DataFrame, order: list[str], value: str, out: str, parts: int, name: str,
                  rank: str | None = None) -> DataFrame:
     """Running sum of ``value`` (inclusive) over the total order ``order`` without a global

@@ -33,9 +33,13 @@ def n_words(text: Column) -> Column:
     return F.when(F.coalesce(F.length(flat), F.lit(0)) == 0, F.lit(0)).otherwise(gaps).cast("long")
 
 
+def shuffle_key_of(key: Column) -> Column:
+    """60 bits of md5 of an id: the same order in every run and engine."""
+    return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+
+
 def shuffle_key(id_col: str) -> Column:
-    """60 bits of md5 of the id: the same order in every run and engine."""
-    return F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))), 1, 15), 16, 10).cast("long")
+    return shuffle_key_of(F.col(id_col))
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, epochs: int = EPOCHS) -> DataFrame:
@@ -100,24 +104,44 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
             .withColumn("taken", F.col("copies") * F.col("size")))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
-    """``docs`` as the mix takes them: each row as many times as planned. Rows of one id share
-    the id's plan in hash order, so repeated rows come out as often as planned in total."""
-    plan = materialize(plan_mix(docs, id_col, **params), "mix")
-    again = plan.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.sum("copies").alias("sum"), F.min("copies").alias("lo"), F.max("copies").alias("hi"))
-    plain = again.where("lo = hi").select(F.col("doc_id").alias("__id"), F.col("lo").alias("__copies"))
-    joined = docs.join(plain.where("__copies > 0"), docs[id_col].cast("long").eqNullSafe(F.col("__id")))
-    out = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
-    mixed = again.where("lo <> hi")
-    if mixed.isEmpty():
+def cutoffs(plan: DataFrame) -> DataFrame:
+    """``plan_mix`` -> ``(source, copies, cut)``: in a source's queue, by (hash, id, size), the number of
+    copies only falls; ``cut`` is the last row that still gets ``copies``. One row per source and epoch."""
+    at = plan.where("copies > 0").select("source", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copies"), shuffle_key("doc_id").alias("hash"), "doc_id", "size")
+    last = at.groupBy("source", "copies").agg(F.max(F.struct("hash", "doc_id", "size")).alias("last"))
+    return last.select("source", "copies", F.col("last").alias("cut"))
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", epochs: int = EPOCHS, **params) -> DataFrame:
+    """``docs`` as the mix takes them: each row as many times as planned.
+
+    Within a source the taken rows are a prefix of its queue, one prefix an epoch, so the last row
+    of each prefix decides every document in the scan; texts are not shuffled. Rows that tie with
+    such a last row (one id and size) may not all be taken: these few ids, one per source and epoch
+    at most, are told apart by their order."""
+    plan = materialize(plan_mix(docs, id_col, text_col, source_col, epochs=epochs, **params), "mix")
+    cuts = cutoffs(plan)
+    # one row per source: the cut of every epoch, and the ids whose rows get different numbers
+    cuts = cuts.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("copies", "cut"))).alias("cuts"))
+    split = (plan.groupBy("source", "doc_id", "size").agg(F.min("copies").alias("lo"), F.max("copies").alias("hi")).where("lo < hi")
+             .groupBy("source").agg(F.collect_list(F.struct("doc_id", "size")).alias("split")))
+    bounds = materialize(cuts.join(split, cuts["source"].eqNullSafe(split["source"]), "left").select(cuts["source"].alias("__source"), "cuts", "split"), "cutoffs")
+
+    names = docs.columns
+    key = F.col(id_col).cast("long")
+    size = n_words(F.col(text_col).cast("string"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("__doc"), F.struct(shuffle_key_of(key).alias("hash"), key.alias("doc_id"), size.alias("size")).alias("__key"),
+                       F.col(source_col).cast("string").alias("__src"))
+    rows = rows.join(bounds, F.col("__src").eqNullSafe(F.col("__source")))
+    mine = F.struct(F.col("__key.doc_id").alias("doc_id"), F.col("__key.size").alias("size"))
+    tied = F.coalesce(F.exists("split", lambda x: x.eqNullSafe(mine)), F.lit(False))
+    copies = F.size(F.filter("cuts", lambda c: F.col("__key") <= c["cut"]))
+    out = rows.where(~tied).select("__doc", F.explode(F.array_repeat(F.lit(1), copies))).select("__doc.*")
+    ties = plan.join(bounds, plan["source"].eqNullSafe(F.col("__source"))).where(F.exists("split", lambda x: x.eqNullSafe(F.struct("doc_id", "size"))))
+    if ties.isEmpty():
         return out
-    # repeated ids whose rows got different numbers of copies: matched by their order
-    w = Window.partitionBy("__id").orderBy("__size", "__tie")
-    left = (docs.join(mixed.select(F.col("doc_id").alias("__id")), docs[id_col].cast("long").eqNullSafe(F.col("__id")))
-            .withColumns({"__size": n_words(F.col(params.get("text_col", "text")).cast("string")), "__tie": F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])})
-            .withColumn("__k", F.row_number().over(w)))
-    right = plan.join(mixed.select("doc_id"), plan["doc_id"].eqNullSafe(mixed["doc_id"]), "left_semi").withColumn(
-        "__k", F.row_number().over(Window.partitionBy("doc_id").orderBy("size", "__row"))).select(F.col("doc_id").alias("__rid"), F.col("__k").alias("__rk"), "copies")
-    extra = (left.join(right, left["__id"].eqNullSafe(right["__rid"]) & (left["__k"] == right["__rk"])).where("copies > 0")
-             .withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns))
-    return out.unionByName(extra)
+    order = Window.partitionBy("__src", "__key.doc_id", "__key.size")
+    left = rows.where(tied).drop("cuts", "split", "__source").withColumn("__k", F.row_number().over(order.orderBy(F.xxhash64("__doc"))))
+    right = ties.select("source", "doc_id", F.col("size").alias("s"), "copies", F.row_number().over(Window.partitionBy("source", "doc_id", "size").orderBy("__row")).alias("k"))
+    extra = left.join(right, left["__src"].eqNullSafe(right["source"]) & left["__key.doc_id"].eqNullSafe(right["doc_id"]) & (left["__key.size"] == right["s"]) & (left["__k"] == right["k"]))
+    return out.unionByName(extra.select("__doc", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("__doc.*"))

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tontine.llm.common import materialize, tidied
 from tontine.llm.components import connected_components
+from tontine.llm.row_marks import FILE, POS, on_files, pick, placed, write_marks
 from tontine.llm.words import U, mix, shingles
 
 SHINGLE, BANDS, ROWS = 5, 42, 5
@@ -88,7 +89,7 @@ def _fingerprints(shingle: int, bands: int, rows: int):
             flat = np.concatenate(hs) if hs else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(k1, pa.int64()), pa.array(k2, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], ["id", "n", "k1", "k2", "bands"])
+                 pa.ListArray.from_arrays(pa.array(offs), pa.array(flat)), b.column(2), b.column(3)], ["id", "n", "k1", "k2", "bands", FILE, POS])
     return run
 
 
@@ -118,9 +119,12 @@ def _confirm(num: int, den: int):
     return run
 
 
-def cross_pairs(sets: list[np.ndarray], comp: np.ndarray, left: np.ndarray, right: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Index pairs (i < j) of different components and sides whose sets are similar enough.
-    ``left`` and ``right`` mark the sides that a set belongs to (both, within one block)."""
+def cross_pairs(sets: list[np.ndarray], whole: np.ndarray, comp: np.ndarray, left: np.ndarray, right: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Index pairs (i < j) of different components and sides whose sets can be similar enough.
+    ``left`` and ``right`` mark the sides that a set belongs to (both, within one block). The sets
+    hold short hashes; ``whole`` are the sizes of the full ones. Two sets have at most as many
+    common shingles as common short hashes and the fewer of those that either lost to equal short
+    hashes, so no pair is missed; the full sets decide later."""
     n = len(sets)
     size = np.array([len(x) for x in sets])
     owner, item = np.repeat(np.arange(n), size), np.concatenate(sets)
@@ -139,7 +143,9 @@ def cross_pairs(sets: list[np.ndarray], comp: np.ndarray, left: np.ndarray, righ
         x = np.zeros((n, width), dtype=np.float32)
         x[owner[a:b], column[a:b] - at] = 1
         common += x @ x.T
-    fits = den * common >= num * (size[:, None] + size[None, :] - common)
+    lost = whole - size
+    most = common.astype(np.int64) + np.minimum(lost[:, None], lost[None, :])
+    fits = den * most >= num * (whole[:, None] + whole[None, :] - most)
     sides = (left[:, None] & right[None, :]) | (right[:, None] & left[None, :])
     return np.argwhere(np.triu(fits & sides & (comp[:, None] != comp[None, :]), 1))
 
@@ -148,9 +154,9 @@ def _blocks(num: int, den: int):
     """Rows sorted by (h, lo, hi) -> the similar pairs of each block, a run of equal keys."""
     def pairs(run: list[pa.RecordBatch]) -> tuple[list[int], list[int]]:
         t = pa.Table.from_batches(run)
-        rep, comp, part = (t[c].to_numpy() for c in ("rep", "comp", "part"))
+        rep, comp, part, whole = (t[c].to_numpy() for c in ("rep", "comp", "part", "n"))
         sets = [np.frombuffer(x.as_py(), dtype=np.uint32) for x in t["short"]]
-        got = cross_pairs(sets, comp, part == t["lo"].to_numpy(), part == t["hi"].to_numpy(), num, den)
+        got = cross_pairs(sets, whole, comp, part == t["lo"].to_numpy(), part == t["hi"].to_numpy(), num, den)
         a, b = rep[got[:, 0]], rep[got[:, 1]]
         return np.minimum(a, b).tolist(), np.maximum(a, b).tolist()
 
@@ -187,8 +193,8 @@ def block_pairs(placed: DataFrame, sets: DataFrame, num: int = NUM, den: int = D
     rows = placed.join(many, "h").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     whole = rows.where("parts = 1").withColumn("other", F.lit(0))
     dealt = rows.where("parts > 1").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = whole.unionByName(dealt).select("h", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "rep", "comp")
-    rows = rows.join(sets.select(F.col("id").alias("rep"), "short"), "rep").select("h", "lo", "hi", "part", "rep", "comp", "short")
+    rows = whole.unionByName(dealt).select("h", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi"), "part", "rep", "n", "comp")
+    rows = rows.join(sets.select(F.col("id").alias("rep"), "short"), "rep").select("h", "lo", "hi", "part", "rep", "n", "comp", "short")
     parts = int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.repartition(parts, "h", "lo", "hi").sortWithinPartitions("h", "lo", "hi").mapInArrow(tidied(_blocks(num, den)), "a long, b long").distinct())
 
@@ -200,13 +206,12 @@ def confirm(pairs: DataFrame, sets: DataFrame, num: int = NUM, den: int = DEN) -
             .select("a", "b", "x", "y").mapInArrow(tidied(_confirm(num, den)), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    bands: int = BANDS, rows: int = ROWS, num: int = NUM, den: int = DEN,
-                    block_rows: int = BLOCK_ROWS, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs``."""
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, bands: int, rows: int, num: int, den: int,
+                block_rows: int, block_items: int) -> DataFrame:
+    """``(id, n, comp)`` and file and position of every row of ``docs``, which scans files."""
+    src = placed(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), FILE, POS)
     fp = materialize(src.mapInArrow(tidied(_fingerprints(shingle, bands, rows)),
-                                    "id long, n long, k1 long, k2 long, bands array<long>"), "fingerprints")
+                                    f"id long, n long, k1 long, k2 long, bands array<long>, {FILE} string, {POS} long"), "fingerprints")
     known = fp.where("n > 0 and id is not null")
     reps = materialize(known.groupBy("k1", "k2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("c")), "classes")
 
@@ -217,35 +222,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mem = materialize(member.join(hubs, "h"), "buckets")
 
     star = materialize(mem.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct(), "star")
-    needed = mem.select(F.col("rep").alias("id")).distinct()
-    sets = materialize(src.where("id is not null").join(needed, "id", "left_semi").mapInArrow(tidied(_sets(shingle)), "id long, items binary, short binary"), "sets")
+    needed = fp.select("id", FILE, POS).join(mem.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    sets = materialize(pick(src, write_marks(needed), then=_sets(shingle), schema="id long, items binary, short binary"), "sets")
     # an id that names several texts stands for each of them
     links = materialize(confirm(star, sets, num, den), "links")
     comp = connected_components(links)
 
     c = comp.select(F.col("id").alias("rep"), "comp")
-    placed = mem.join(c, "rep", "left").select("h", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
-    cross = materialize(block_pairs(placed, sets, num, den, block_rows, block_items), "cross")
+    at = mem.join(c, "rep", "left").select("h", "rep", "n", F.coalesce("comp", "rep").alias("comp"))
+    cross = materialize(block_pairs(at, sets, num, den, block_rows, block_items), "cross")
     more = materialize(confirm(cross, sets, num, den), "links2")
 
     # classes hang on their representative; an id may stand in several classes
     twin = known.join(reps.where("c > 1").select("k1", "k2", "rep"), ["k1", "k2"]).select(F.col("rep").alias("a"), F.col("id").alias("b"))
     ids = connected_components(links.union(more).union(twin))
     final = ids.select(F.col("id").alias("__id"), "comp")
-    return (fp.select("id", "n").join(final, F.col("id") == F.col("__id"), "left")
-            .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.coalesce("comp", "id").alias("component_id"),
-                    (F.col("id").isNull() | (F.coalesce("comp", "id") == F.col("id"))).alias("kept")))
+    return (fp.select("id", "n", FILE, POS).join(final, F.col("id") == F.col("__id"), "left")
+            .select("id", "n", F.coalesce("comp", "id").alias("comp"), FILE, POS))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    bands: int = BANDS, rows: int = ROWS, num: int = NUM, den: int = DEN,
+                    block_rows: int = BLOCK_ROWS, block_items: int = BLOCK_ITEMS) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs``."""
+    found = _components(on_files(docs), id_col, text_col, shingle, bands, rows, num, den, block_rows, block_items)
+    return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"),
+                        (F.col("id").isNull() | (F.col("comp") == F.col("id"))).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                         bands: int = BANDS, rows: int = ROWS, num: int = NUM, den: int = DEN,
+                         block_rows: int = BLOCK_ROWS, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates, its smallest id. Rows without
-    an id stay; of repeated rows of one id, one stays."""
-    found = materialize(near_duplicates(docs, id_col, text_col, **params), "near_dup")
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
-    again = found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if again.isEmpty():
-        return kept
-    ids = again.select(F.col("doc_id").alias(id_col))
-    return kept.join(ids, id_col, "left_anti").unionByName(kept.join(ids, id_col, "left_semi").dropDuplicates([id_col]))
+    an id stay; of repeated rows of one id, the first in file and position stays. Texts are not shuffled."""
+    docs = on_files(docs)
+    found = materialize(_components(docs, id_col, text_col, shingle, bands, rows, num, den, block_rows, block_items), "near_dup")
+    place = F.struct(FILE, POS)
+    gone = found.where("comp <> id")
+    kept = found.where("comp = id")
+    again = kept.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
+    more = kept.join(again.select("id", "first"), "id").where(place != F.col("first"))
+    return pick(placed(docs), write_marks(gone.select(FILE, POS).unionByName(more.select(FILE, POS))), wanted=False)

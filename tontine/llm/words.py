@@ -7,6 +7,7 @@ whole text is hashed by a handful of numpy passes. Sequences of words are hashed
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 U = np.uint64
 _BASE, _SEQ = 0x9E3779B97F4A7C15 | 1, 0xD1342543DE82EF95 | 1
@@ -104,6 +105,6 @@ def sequence_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 def shingles(text: bytes, n: int) -> np.ndarray:
     """Sorted distinct hashes of the ``n``-word shingles of ``text`` (words between white space,
-    A-Z lower-cased); fewer words make one shingle, no word none."""
-    words = word_hashes(text, "space")[2]
+    A-Z lower-cased); fewer words make one shingle, no word none. Words go through xxh3."""
+    words = np.array(list(map(xxhash.xxh3_64_intdigest, text.lower().split())), dtype=U)  # bytes: ASCII case, blank and \\x09-\\x0D
     return np.unique(sequence_hashes(words, min(n, len(words))))
