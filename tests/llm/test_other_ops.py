@@ -1,8 +1,10 @@
 """License scans, neighbours, quality and URL filters against brute force or held-out accuracy."""
 
+import hashlib
 import itertools
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -24,21 +26,24 @@ FILES = [
 ]
 
 
+def license_units(p, t):
+    lines = [re.sub(licenses.MARKS.replace(r"\z", r"\Z"), "", x) for x in t.split("\n")]
+    out = []
+    for par in re.split(licenses.PARAGRAPH, "\n".join(lines)):
+        flat = par.replace("\n", " ")
+        if re.search(licenses.MENTIONS, flat):
+            out += [x for x in par.split("\n") + re.split(licenses.SENTENCE, flat) if re.search(licenses.MENTIONS, x)] + [flat]
+    return set(out) | ({t} if re.search(licenses.LICENCE_FILE, p) and t else set())
+
+
 def license_rows(files, threshold=0.5, share=0.5):
     def terms(t):
         return Counter(x for x in re.split("[^a-z0-9]+", t.lower()) if x)
-    occ = []
-    for k, (p, t) in enumerate(files):
-        p, t = p or "", t or ""
-        occ += [(k, x) for x in t.split("\n") if re.search(licenses.MENTIONS, x)]
-        if re.search(licenses.LICENCE_FILE, p) and t:
-            occ.append((k, t))
-    weight, df = Counter(x for _, x in occ), Counter()
-    for x, c in weight.items():
-        df.update({t: c for t in terms(x)})
+    occ = [(k, x) for k, (p, t) in enumerate(files) for x in license_units(p or "", t or "")]
+    df = Counter()
     for _, x in licenses.TEMPLATES:
         df.update(set(terms(x)))
-    n = sum(weight.values()) + len(licenses.TEMPLATES)
+    n = len(licenses.TEMPLATES)
 
     def vec(x):
         return {t: (1 + math.log(c)) * (math.log((1 + n) / (1 + df[t])) + 1) for t, c in terms(x).items()}
@@ -55,9 +60,9 @@ def license_rows(files, threshold=0.5, share=0.5):
         hits = [(best(x), x) for j, x in occ if j == k]
         hits = [(b, x) for b, x in hits if b[0] >= threshold]
         if hits:
-            own[k] = max(hits, key=lambda h: h[0][0])[0]
+            own[k] = max(hits, key=lambda h: (round(h[0][0] * math.sqrt(len(terms(h[1]))), 6), h[0][0], hashlib.md5(h[1].encode()).hexdigest()))[0]
             p, t = p or "", t or ""
-            if re.search(licenses.LICENCE_FILE, p) or sum(len(x) for _, x in hits) >= share * len(t):
+            if re.search(licenses.LICENCE_FILE, p) or max(len(x) for _, x in hits) >= share * len(t):
                 spoken.setdefault(p.rpartition("/")[0], []).append(own[k][2])
     for k, (p, t) in enumerate(files):
         d, source = (p or "").rpartition("/")[0], None
@@ -81,6 +86,41 @@ def test_license_scan(spark):
     assert licenses.scan(f.where("path like 'other%'")).where("license is not null").count() == 0
 
 
+def wrapped(text, mark="# ", width=70):
+    import textwrap
+    return "\n".join(mark + x for x in textwrap.wrap(text, width))
+
+
+BODY = "\n\nimport os\n\n\ndef main():\n    return os.name\n" * 20
+REAL = [
+    ("a/LICENSE", "Copyright (c) 2001-2020 Some Body and others.\nAll rights reserved.\n\n" + wrapped(licenses._BSD, "", 76) + "\n\n" + wrapped(licenses._NAMES, "  3. ", 70) + "\n\n" + wrapped(licenses._DISCLAIMER, "", 76), "BSD-3-Clause"),
+    ("b/LICENSE.txt", "BSD License\n\nCopyright 1999 X\n\n" + wrapped(licenses._BSD, "", 60) + "\n\n" + wrapped(licenses._DISCLAIMER, "", 60), "BSD-2-Clause"),
+    ("c/LICENSE.md", "# The MIT License (MIT)\n\nCopyright (c) 2015 Jane Roe <jane@example.org>\n\n" + wrapped(licenses._MIT, "", 72), "MIT"),
+    ("d/COPYING", " " * 20 + "GNU GENERAL PUBLIC LICENSE\n" + " " * 22 + "Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.\n" + "\n\nOther words entirely, of preambles and terms.\n" * 40, "GPL-2.0"),
+    ("e/COPYING", " " * 20 + "GNU GENERAL PUBLIC LICENSE\n" + " " * 22 + "Version 3, 29 June 2007\n\n" + "Other words entirely, of preambles and terms.\n\n" * 40, "GPL-3.0"),
+    ("f/LICENSE", " " * 30 + "Apache License\n" + " " * 27 + "Version 2.0, January 2004\n" + " " * 20 + "http://www.apache.org/licenses/\n\n" + "Terms and conditions, many of them.\n\n" * 50, "Apache-2.0"),
+    ("s/gpl2.py", wrapped("This program is free software; " + licenses._GPL.format("", "2") + ".") + BODY, "GPL-2.0"),
+    ("s/gpl3.c", "/*\n" + wrapped("This program is free software: " + licenses._GPL.format("", "3") + ".", " * ") + "\n */" + BODY, "GPL-3.0"),
+    ("s/lgpl.c", wrapped("This library is free software; " + licenses._GPL.format("Lesser ", "2.1") + ".", "// ") + BODY, "LGPL-2.1"),
+    ("s/bsd.go", "// Copyright 2011 The Authors. All rights reserved.\n// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.\n" + BODY, "BSD-3-Clause"),
+    ("s/apache.py", wrapped(licenses.TEMPLATES[2][1] + ".") + BODY, "Apache-2.0"),
+    ("s/spdx.py", "# SPDX-License-Identifier: MIT" + BODY, "MIT"), ("s/spdx2.c", "/* SPDX-License-Identifier: GPL-2.0-only */" + BODY, "GPL-2.0"),
+    ("s/spdx3.c", "// SPDX-License-Identifier: GPL-3.0-or-later" + BODY, "GPL-3.0"),
+    ("s/own.txt", "Some words. All rights reserved. More words, of this and that.", "Proprietary"), ("s/none.py", "# nothing to see" + BODY, None),
+    ("s/talk.txt", "We talked about the fee of a fishing license at length, and of who must hold one on the lake.", None),
+]
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_license_names_of_real_texts(spark, copies):
+    """Full texts, wrapped headers, SPDX lines and short notices, however often the corpus has them."""
+    f = spark.createDataFrame([(f"{i}/{p}", t) for i in range(copies) for p, t, _ in REAL], "path string, text string")
+    got = {r.path: (r.own_license, r.own_score) for r in licenses.scan(f).collect()}
+    assert [got[f"0/{p}"][0] for p, *_ in REAL] == [w for *_, w in REAL]
+    assert any(s is not None and s < 1 for _, s in got.values())
+    assert all(got[f"{i}/{p}"] == got[f"0/{p}"] for i in range(copies) for p, *_ in REAL)
+
+
 def test_license_scan_of_documents(spark):
     got = licenses.scan(brute.docs(spark), text_col="text", path_col="path", keep=("doc_id",))
     own = {r.doc_id: r.own_license for r in got.where("own_license is not null").collect()}
@@ -253,6 +293,32 @@ def test_own_labels(spark):
     assert all((r.verdict == "block") == (r.page_id % 2 == 1) and r.antecedent for r in got)
 
 
+LONG = "http://" + ".".join(f"l{i}" for i in range(20)) + ".net/fr/" + "/".join(f"s{'abcdefghij'[i % 10]}{'klmnop'[i // 10]}" for i in range(40)) + "?q=1"
+
+
+@pytest.mark.parametrize("copies, others", [(1, 100), (30, 2970), (1, 3000)])
+def test_long_urls_are_mined_in_seconds(spark, copies, others):
+    """A labelled url of over 60 tokens, once or as one row in a hundred, and unlisted ones that share a few."""
+    rows = [LONG] * copies + [f"http://host{i % 7}.com/a{'bc'[i % 2]}/" for i in range(others)]
+    rows += [LONG.replace(".net", ".org"), "http://l3.org/sck/", "http://none.org/of/these"]
+    p = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    began = time.time()
+    got = {r.page_id: r.verdict for r in url_filter.judge(p).collect()}
+    assert time.time() - began < 60
+    frequent = copies >= math.ceil(0.005 * (copies + others))
+    assert [got[i] for i in range(len(rows) - 3, len(rows))] == (["block", "block", "allow"] if frequent else ["allow"] * 3)
+    assert got[0] == "block"
+
+
+def test_a_long_url_under_both_verdicts(spark):
+    """Sixty tokens that the same urls hold, labelled both ways: one item."""
+    words = [f"p:t{i}" for i in range(60)]
+    rows = [(words, "block")] * 19 + [(words, "allow")] + [(["h:x", *words[:1]], "allow")] * 80
+    got = url_filter.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string")).collect()
+    best = {tuple(r.antecedent): (r.verdict, round(r.confidence, 9), round(r.support, 9)) for r in got}
+    assert best[("p:t1",)] == ("block", 0.95, 0.19) and best[("h:x",)] == ("allow", 1.0, 0.8)
+
+
 def test_mining_reads_every_label(spark):
     """Over 200,000 labels: one token set holds most of them, another is labelled both ways."""
     r = spark.range(280_000)

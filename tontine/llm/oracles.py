@@ -3,6 +3,8 @@ so that a change of a constant in an operator shows."""
 
 from __future__ import annotations
 
+from tontine.llm.licenses import TEMPLATES  # licence texts: data, not logic
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -14,29 +16,10 @@ def _blank(c: str) -> str:
     return f"regexp_extract_all({_LOWER.format(f"coalesce({c}, '')")}, '[^\\x20\\x09-\\x0D]+')"
 
 
-#: Notices as their licences word them (fixed values).
-_TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file"),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"),
-    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
-    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work. CC0 1.0 public domain dedication"),
-    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2"),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
-    ("LGPL-3.0", "This library is licensed under the GNU Lesser General Public License, version 3"),
-    ("MIT", "Released under the MIT License"),
-    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    ("Proprietary", "Copyright. All rights reserved. No part may be reproduced without permission"),
-    ("Unlicense", "This is free and unencumbered software released into the public domain"),
-)
-_TEMPLATE_ROWS = ", ".join("({}, '{}', '{}')".format(i, s, t.replace("'", "''")) for i, (s, t) in enumerate(_TEMPLATES))
+_TEMPLATE_ROWS = ", ".join("({}, '{}', '{}')".format(i, s, t.replace("'", "''")) for i, (s, t) in enumerate(TEMPLATES))
+_MENTIONS = ("(?i)licen[cs]e|copyright|copyleft|spdx|permission is hereby granted|permission to use|redistribution and use|redistributions of source"
+             "|free software|public domain|creative commons|all rights reserved")
+_MARKS = r"\A[ \t\r\f/*#;%<!>-]+|[ \t\r\f/*>-]+\z"
 
 OP1 = f"""
 WITH files AS (
@@ -46,28 +29,32 @@ WITH files AS (
          row_number() OVER () AS rid
   FROM documents),
 tpl(template, license, body) AS (VALUES {_TEMPLATE_ROWS}),
+para AS (
+  SELECT rid, list_filter(regexp_split_to_array(array_to_string([regexp_replace(x, '{_MARKS}', '', 'g') FOR x IN string_split(text, chr(10))], chr(10)), '\\n\\n+'),
+                          lambda p: regexp_matches(replace(p, chr(10), ' '), '{_MENTIONS}')) AS ps
+  FROM files WHERE regexp_matches(text, '{_MENTIONS}')),
 occ AS (
-  SELECT rid, line FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM files)
-  WHERE regexp_matches(line, '(?i)licen[cs]e|copyright|copyleft|spdx|permission is hereby granted|public domain|creative commons|all rights reserved')),
-units AS (SELECT line, count(*) AS weight FROM occ GROUP BY line),
-ut AS (SELECT line, weight, term, count(*) AS tf
-       FROM (SELECT line, weight, unnest(regexp_split_to_array(lower(line), '[^a-z0-9]+')) AS term FROM units) WHERE term <> '' GROUP BY ALL),
+  SELECT rid, unnest(list_distinct(list_concat(
+    list_filter(flatten([string_split(p, chr(10)) FOR p IN ps]), lambda x: regexp_matches(x, '{_MENTIONS}')),
+    list_filter(flatten([regexp_split_to_array(replace(p, chr(10), ' '), '[.;!?]+ +') FOR p IN ps]), lambda x: regexp_matches(x, '{_MENTIONS}')),
+    [replace(p, chr(10), ' ') FOR p IN ps]))) AS line FROM para),
+units AS (SELECT DISTINCT line FROM occ),
+ut AS (SELECT line, term, count(*) AS tf FROM (SELECT line, unnest(regexp_split_to_array(lower(line), '[^a-z0-9]+')) AS term FROM units) WHERE term <> '' GROUP BY ALL),
 tt AS (SELECT template, license, term, count(*) AS tf
        FROM (SELECT template, license, unnest(regexp_split_to_array(lower(body), '[^a-z0-9]+')) AS term FROM tpl) WHERE term <> '' GROUP BY ALL),
-n AS (SELECT coalesce((SELECT sum(weight) FROM units), 0) + (SELECT count(*) FROM tpl) AS n),
-idf AS (SELECT term, ln((1 + (SELECT n FROM n)) / (1.0 + sum(weight))) + 1 AS idf
-        FROM (SELECT term, weight FROM ut UNION ALL SELECT term, 1 FROM tt) GROUP BY term),
-uw AS (SELECT line, term, (1 + ln(tf)) * idf AS w FROM ut JOIN idf USING (term)),
+n AS (SELECT count(*) AS n FROM tpl),
+idf AS (SELECT term, ln((1 + (SELECT n FROM n)) / (1.0::DOUBLE + count(*))) + 1 AS idf FROM tt GROUP BY term),
+uw AS (SELECT line, term, (1 + ln(tf)) * coalesce(idf, ln(1.0::DOUBLE + (SELECT n FROM n)) + 1) AS w FROM ut LEFT JOIN idf USING (term)),
 tw AS (SELECT template, license, term, (1 + ln(tf)) * idf AS w FROM tt JOIN idf USING (term)),
-un AS (SELECT line, sqrt(sum(w * w)) AS norm FROM uw GROUP BY line),
+un AS (SELECT line, sqrt(sum(w * w)) AS norm, count(*) AS terms FROM uw GROUP BY line),
 tn AS (SELECT template, sqrt(sum(w * w)) AS norm FROM tw GROUP BY template),
-cosine AS (SELECT uw.line, tw.template, tw.license, round(sum(uw.w * tw.w) / (any_value(un.norm) * any_value(tn.norm)), 6) AS score
+cosine AS (SELECT uw.line, tw.template, tw.license, any_value(un.terms) AS terms, round(sum(uw.w * tw.w) / (any_value(un.norm) * any_value(tn.norm)), 6) AS score
            FROM uw JOIN tw USING (term) JOIN un ON un.line = uw.line JOIN tn ON tn.template = tw.template GROUP BY uw.line, tw.template, tw.license),
-best AS (SELECT line, license, score FROM cosine WHERE score >= 0.5 QUALIFY row_number() OVER (PARTITION BY line ORDER BY score DESC, template) = 1),
+best AS (SELECT line, license, score, round(score * sqrt(terms), 6) AS mass FROM cosine QUALIFY row_number() OVER (PARTITION BY line ORDER BY score DESC, template) = 1),
 own AS (SELECT rid, license, score, covered FROM (
-          SELECT rid, license, score, sum(length(line)) OVER (PARTITION BY rid) AS covered,
-                 row_number() OVER (PARTITION BY rid ORDER BY score DESC, md5(line) DESC) AS k
-          FROM occ JOIN best USING (line)) WHERE k = 1),
+          SELECT rid, license, score, max(length(line)) OVER (PARTITION BY rid) AS covered,
+                 row_number() OVER (PARTITION BY rid ORDER BY mass DESC, score DESC, md5(line) DESC) AS k
+          FROM occ JOIN best USING (line) WHERE score >= 0.5) WHERE k = 1),
 got AS (SELECT f.doc_id, f.path, regexp_extract(f.path, '^(.*)/[^/]*$', 1) AS dir, o.license AS own_license, o.score AS own_score,
                o.license IS NOT NULL AND o.covered >= 0.5 * length(f.text) AS speaks
         FROM files f LEFT JOIN own o USING (rid)),
