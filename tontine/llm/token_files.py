@@ -36,12 +36,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tontine.llm import elias_fano
-from tontine.llm.common import materialize, range_prefix, scratch_path, tidied
+from tontine.llm.common import file_system, materialize, range_prefix, scratch_path, tidied
 
 MAGIC = b"EFTOKIDS"
 _FOOT = struct.Struct("<8sIIQQQqQQ")  # magic, version, bytes an id, docs, ids, docs without id, smallest id, bytes of ends, bytes of ids' ids
 SHARD_IDS = 1 << 26
-CACHE = 200_000
+CACHE_BYTES = 32 << 20  # of each of the two generations of pieces that a worker keeps
+_ENTRY = 200  # bytes of a cached piece besides its text and ids
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PIECE = re.compile(rf"\s*[{_LETTERS}]+(?=[\s.,;:!?#$%&*|()]|$)|\s*\S+|\s+")
 _PLAIN = re.compile(rf" [{_LETTERS}]+")
@@ -53,13 +54,6 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def file_system(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of a path or URI, and the path in it."""
-    if uri.startswith("file:"):
-        return pafs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
-
-
 class Encoder:
     """Ids of texts, as little-endian bytes of ``kind``."""
 
@@ -76,13 +70,16 @@ class Encoder:
         self.starts = np.zeros(size, dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.starts[i] = token.startswith("Ġ")
-        self.cache: dict[str, bytes] = {}
+        self.hot: dict[str, bytes] = {}
+        self.cold: dict[str, bytes] = {}
+        self.held = 0
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: set[str]) -> None:
-        plain, rest = [], []
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """The ids of new pieces."""
+        plain, rest, out = [], [], {}
         for p in new:
             (plain if _PLAIN.fullmatch(p) else rest).append(p)
         groups = [plain[at:at + 200] for at in range(0, len(plain), 200)]
@@ -94,28 +91,39 @@ class Encoder:
                 continue
             raw, step = ids.tobytes(), self.kind.itemsize
             ends = [*(cut[1:] * step).tolist(), len(raw)]
-            self.cache.update((p, raw[a:b]) for p, a, b in zip(part, (cut * step).tolist(), ends))
-        self.cache.update(zip(rest, self._whole(rest)))
+            out.update((p, raw[a:b]) for p, a, b in zip(part, (cut * step).tolist(), ends))
+        out.update(zip(rest, self._whole(rest)))
+        return out
+
+    def _hold(self, pieces: dict[str, bytes]) -> None:
+        """Keep pieces. When the hot generation has reached its bytes it becomes the cold one, whose
+        pieces come back as they are met again; what is not met is forgotten a generation later."""
+        if self.held > CACHE_BYTES:
+            self.hot, self.cold, self.held = {}, self.hot, 0
+        self.hot.update(pieces)
+        self.held += sum(map(len, pieces)) + sum(map(len, pieces.values())) + _ENTRY * len(pieces)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.pieces:
             return self._whole(texts)
         cut = [None if _ODD.search(t) or any(a in t for a in self.added) else _PIECE.findall(t) for t in texts]
-        used: set[str] = set()
-        for c in cut:
-            used.update(c or ())
-        if len(self.cache) + len(used) > CACHE:
-            self.cache = {p: ids for p in used if (ids := self.cache.get(p)) is not None}  # the common ones stay
-        self._learn(used - self.cache.keys())
-        get = self.cache.__getitem__
-        return [self._whole([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+        found = [None if c is None else list(map(self.hot.get, c)) for c in cut]
+        holes = [k for k, f in enumerate(found) if f is not None and None in f]
+        if holes:
+            missing = {p for k in holes for p, x in zip(cut[k], found[k]) if x is None}
+            got = {p: self.cold[p] for p in missing if p in self.cold}
+            got |= self._learn(missing - got.keys())
+            for k in holes:
+                found[k] = [got[p] if x is None else x for p, x in zip(cut[k], found[k])]
+            self._hold(got)
+        return [self._whole([t])[0] if f is None else b"".join(f) for t, f in zip(texts, found)]
 
 
 _ENCODERS: dict[int, Encoder] = {}
 
 
 def encoder(spec: Broadcast) -> Encoder:
-    """One encoder per worker and vocabulary, kept between tasks (its pieces are not)."""
+    """One encoder per worker and vocabulary, kept between tasks with its pieces, whose bytes are bounded."""
     text = spec.value
     key = zlib.crc32(text.encode())
     if key not in _ENCODERS:
@@ -203,7 +211,6 @@ def _write(spec: Broadcast, folder: str, end_id: int, shard_ids: int):
                         shard = None
         if shard is not None:
             close()
-        enc.cache = {}
         if done:
             yield pa.RecordBatch.from_pydict(dict(zip(("part", "seq", "file", "n_docs", "n_ids"), map(list, zip(*done)))))
     return run
