@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SF_SMALL
 from tests.llm import brute
 from tontine.llm import decontaminate, elias_fano, line_dedup, mixing, near_dup, row_marks, secrets, token_files, words
+from tontine.llm.common import in_parts
 from tontine.llm.components import connected_components
 
 
@@ -423,3 +425,14 @@ def test_rare_secrets_are_found(spark, share):
     hidden = set(range(len(text), len(text) + len(secret)))
     assert len(got & hidden) >= 0.75 * len(hidden)
     assert len(got - hidden) <= max(1, 0.1 * len(hidden))
+
+
+def test_decontaminate_holds_one_worker_a_task(spark):
+    """The scan and what follows it run in one Python step, over small slices of a batch."""
+    bench = brute.docs(spark).select(F.col("doc_id").cast("string").alias("item_id"), "text")
+    for out in (decontaminate.decontaminate(brute.docs(spark), bench), decontaminate.report(brute.docs(spark), bench)):
+        assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    sizes = []
+    b = pa.RecordBatch.from_pydict({"x": list(range(1300))})
+    assert sum((p.column(0).to_pylist() for p in in_parts(lambda bs: (sizes.append(x.num_rows) or x for x in bs))([b])), []) == list(range(1300))
+    assert max(sizes) <= 512

@@ -38,6 +38,11 @@ def tidied(run: Callable) -> Callable:
     return tidy_run
 
 
+def in_parts(run: Callable, rows: int = 512) -> Callable:
+    """A batch function over slices of the batches, so that what it makes of one stays small."""
+    return lambda batches: run(b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows))
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -13,7 +13,7 @@ no windows; windows of items without an id hit words but name no item; repeated
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tontine.llm.common import tidied
+from tontine.llm.common import in_parts, tidied
 from tontine.llm.words import CLASSES, U, sequence_hashes, word_hashes
 
 N = 13
@@ -110,26 +110,30 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int)
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, key: Column | str, text_col: str = "text", item_col: str = "item_id",
-         item_text: str = "text", n: int = N, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+         item_text: str = "text", n: int = N, block_bytes: int = BLOCK_BYTES, then: Callable | None = None, schema=None) -> DataFrame:
     """``(__key, __text, __words, __spans, __items)`` per document: number of words, hit windows
-    flattened to (first word, words) pairs, and sorted item ids. ``key`` may be any column."""
+    flattened to (first word, words) pairs, and sorted item ids. ``key`` may be any column. ``then``,
+    a batch function with output ``schema`` (else the same), follows in the last block's worker: a
+    step of its own would hold a second worker and a copy of the rows a task."""
     key = F.col(key) if isinstance(key, str) else key
     out = docs.select(key.alias("__key"), F.col(text_col).cast("string").alias("__text"), F.lit(0).cast("long").alias("__words"),
                       F.lit(None).cast("array<long>").alias("__spans"), F.lit(None).cast("array<string>").alias("__items"))
-    schema = out.schema
-    for block in blocks(benchmark, item_col, item_text, block_bytes):
-        out = out.mapInArrow(tidied(_scanner(block, n)), schema)
-    return out
+    own = out.schema
+    *first, last = blocks(benchmark, item_col, item_text, block_bytes)
+    for block in first:
+        out = out.mapInArrow(tidied(in_parts(_scanner(block, n))), own)
+    scan_last = _scanner(last, n)
+    return out.mapInArrow(tidied(in_parts(scan_last if then is None else lambda batches: then(scan_last(batches)))), own if schema is None else schema)
 
 
 def _reporter(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n = b.column(1).to_pylist()
-            hit = [int(_mask(k, x).sum()) if x else 0 for k, x in zip(n, b.column(2).to_pylist())]
-            items = b.column(3).to_pylist()
+            n = b.column(2).to_pylist()
+            hit = [int(_mask(k, x).sum()) if x else 0 for k, x in zip(n, b.column(3).to_pylist())]
+            items = b.column(4).to_pylist()
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()),
+                [b.column(0), b.column(2), pa.array(hit, pa.int64()), pa.array([len(x) for x in items], pa.int64()),
                  pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items]),
                  pa.array([h > 0 and den * h >= num * k for h, k in zip(hit, n)], pa.bool_())],
                 ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
@@ -139,8 +143,8 @@ def _reporter(num: int, den: int):
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", num: int = 1, den: int = 20, **params) -> DataFrame:
     """Per document: ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``, where
     contaminated means some hit and ``den * n_hit >= num * n_words``."""
-    h = hits(docs, benchmark, F.col(id_col).cast("long"), **params).drop("__text")
-    return h.mapInArrow(_reporter(num, den), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return hits(docs, benchmark, F.col(id_col).cast("long"), then=_reporter(num, den), **params,
+                schema="doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
 def cut_spans(text: str, spans: list[int]) -> str:
@@ -163,7 +167,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])
-    h = hits(docs, benchmark, whole if len(docs.columns) > 1 else F.lit(None).cast("string"), text_col, **params)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -175,5 +178,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                 text = [cut_spans(t, x) if x else t for t, x in zip(b.column(1).to_pylist(), spans)]
                 yield b.set_column(1, "__text", pa.array(text, b.schema.field(1).type))
 
-    done = h.mapInArrow(tidied(run), h.schema)
+    done = hits(docs, benchmark, whole if len(docs.columns) > 1 else F.lit(None).cast("string"), text_col, then=run, **params)
     return done.select(*[(F.col("__text") if c == text_col else F.col("__key").getField(c)).alias(c) for c in docs.columns])

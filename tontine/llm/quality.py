@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tontine.llm.common import tidied
+from tontine.llm.common import in_parts, tidied
 from tontine.llm.words import word_hashes
 
 MAX_TRAIN = 20_000
@@ -218,7 +218,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` without the text (and any ``score`` it had), plus ``score``."""
     rest = [c for c in docs.columns if c not in (text_col, "score")]
     src = docs.select((F.struct(*[F.col(f"`{c}`") for c in rest]) if rest else F.struct(F.lit(0).alias("_"))).alias("__row"), F.col(text_col).cast("string").alias("__text"))
-    out = src.mapInArrow(tidied(_scorer(model)), f"__row {src.schema['__row'].dataType.simpleString()}, score double")
+    out = src.mapInArrow(tidied(in_parts(_scorer(model))), f"__row {src.schema['__row'].dataType.simpleString()}, score double")
     return out.select(*[F.col("__row").getField(c).alias(c) for c in rest], "score")
 
 
@@ -231,4 +231,4 @@ def keep_good(docs: DataFrame, model: Model, text_col: str = "text", threshold:
             x = np.array([features(t.as_py() or b"") for t in b.column(at).cast(pa.large_binary())]).reshape(-1, len(FEATURES))
             yield b.filter(pa.array(model.score(x) >= threshold))
 
-    return docs.mapInArrow(tidied(run), docs.schema)
+    return docs.mapInArrow(tidied(in_parts(run)), docs.schema)
