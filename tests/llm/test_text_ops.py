@@ -345,6 +345,32 @@ def test_pieces_give_the_ids_of_the_whole_text(text):
     assert enc.encode([text])[0] == enc._whole([text])[0]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet=" \t\n\r\x00\x1c\x85\xa0\u2003\u3000\u201dabst19é×ж中😀.'!_", max_size=30), max_size=6))
+def test_a_block_of_texts_gives_the_ids_of_each(texts):
+    enc = test_pieces_give_the_ids_of_the_whole_text.__dict__.get("enc") or token_files.Encoder(open(token_files.default_tokenizer()).read())
+    test_pieces_give_the_ids_of_the_whole_text.enc = enc
+    want = [enc._whole([t or ""])[0] for t in texts]
+    assert enc.encode(texts) == want
+    assert enc.encode(pa.array(["x", *texts], pa.string()).slice(1)) == want
+
+
+def test_a_block_looks_up_each_distinct_piece_once():
+    """op8's CPU was in a lookup for every word and mark of the texts."""
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return super().get(*a)
+
+    enc = token_files.Encoder(open(token_files.default_tokenizer()).read())
+    enc.hot = Counted()
+    texts = ["the cat, the dog. 12 cats\nthe café <|endoftext|> dogs"] + ["the cat, the dog. 12 cats\nthe café"] * 2000
+    assert enc.encode(texts) == [enc._whole([t])[0] for t in texts[:2]] + [enc._whole([texts[1]])[0]] * 1999
+    assert Counted.asked < 50
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 10**6), max_size=600), st.booleans())
 def test_elias_fano(gaps, dense):

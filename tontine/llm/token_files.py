@@ -10,10 +10,11 @@ more shards (to a temporary name, then renamed: a task that is run again writes
 and writes the shards' manifest with their global starts as a Parquet table beside them.
 ``read_tokens`` reads documents back from the files.
 
-Texts are encoded with the tokenizers library. For byte-level vocabularies a text is cut at
-places where the pre-tokenizer always cuts (before white space; after a run of plain letters that
-some safe sign follows), and equal pieces are encoded once per worker; every other kind of
-vocabulary gets the whole text at once. Both give the ids of the whole text.
+Texts are encoded with the tokenizers library. For byte-level vocabularies a block of texts is cut
+at places where the pre-tokenizer always cuts (before white space; where plain letters, digits and
+signs meet; after a lone line break or tab), its distinct pieces are looked up among those the
+worker keeps, new ones are encoded once, and Arrow gathers the ids; every other kind of vocabulary
+gets the whole text at once. Both give the ids of the whole text.
 
 Defined results: null or empty text: just the end id; rows without doc_id come first (id null);
 repeated rows are written once each, equal ids in order of their text; an empty table gives no
@@ -23,6 +24,7 @@ shard.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import zlib
@@ -30,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -41,12 +44,50 @@ from tontine.llm.common import file_system, materialize, range_prefix, scratch_p
 MAGIC = b"EFTOKIDS"
 _FOOT = struct.Struct("<8sIIQQQqQQ")  # magic, version, bytes an id, docs, ids, docs without id, smallest id, bytes of ends, bytes of ids' ids
 SHARD_IDS = 1 << 26
-CACHE_BYTES = 32 << 20  # of each of the two generations of pieces that a worker keeps
+CACHE_BYTES = 16 << 20  # of each of the two generations of pieces that a worker keeps
 _ENTRY = 200  # bytes of a cached piece besides its text and ids
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PIECE = re.compile(rf"\s*[{_LETTERS}]+(?=[\s.,;:!?#$%&*|()]|$)|\s*\S+|\s+")
-_PLAIN = re.compile(rf" [{_LETTERS}]+")
-_ODD = re.compile("[\x1c-\x1f]")
+BLOCK_BYTES = 4 << 20  # of texts cut at once
+_HIGH_WORD = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")  # with letters from À to ÿ
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that byte-level vocabularies write as the character
+_WRITTEN = dict(zip((b for b in range(256) if b not in _SHOWN), range(256, 512)))  # and the others
+
+_OTHER, _LETTER, _DIGIT, _SIGN, _QUOTE, _BLANK, _BREAK, _HIGH = range(8)  # classes of bytes
+_CLASS = np.zeros(256, dtype=np.uint8)
+_CLASS[33:127] = _SIGN
+_CLASS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_CLASS[48:58] = _DIGIT
+_CLASS[[39, 32]] = _QUOTE, _BLANK
+_CLASS[9:14] = _BREAK
+_CLASS[128:] = _HIGH
+_PLAIN = (_LETTER, _DIGIT, _SIGN, _QUOTE)
+
+
+def _pairs(before: tuple, after: tuple) -> np.ndarray:
+    """Table by 8 * class of the byte before + class of the byte."""
+    return np.array([a in before and b in after for a in range(8) for b in range(8)])
+
+
+# Letters after a quote may belong to it, as in 's; signs and quotes make one word.
+_CUT = (_pairs(_PLAIN, (_BLANK, _BREAK)) | _pairs((_LETTER,), (_DIGIT, _SIGN, _QUOTE)) | _pairs((_DIGIT,), (_LETTER, _SIGN, _QUOTE))
+        | _pairs((_SIGN,), (_LETTER, _DIGIT)))
+_AFTER_HIGH, _AFTER_BREAK = _pairs((_HIGH,), (_BLANK, _BREAK)), _pairs((_BREAK,), _PLAIN)
+_WHITE = [int.from_bytes(chr(c).encode(), "big") for c in range(128, 1 << 16) if chr(c).isspace()]  # UTF-8, two or three bytes
+
+
+def piece_starts(raw: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where pieces start in the UTF-8 bytes ``raw`` of texts that start at ``texts``."""
+    if not len(raw):
+        return np.zeros(0, dtype=np.int64)
+    kinds = _CLASS[raw]
+    pair = (kinds[:-1] << 3) | kinds[1:]
+    cut = np.concatenate([[True], _CUT[pair]])
+    cut[texts[texts < len(raw)]] = True
+    at = np.flatnonzero(_AFTER_HIGH[pair]) + 1
+    last = (raw[at - 2].astype(np.int64) << 8) | raw[at - 1]
+    cut[at[~np.isin(last, _WHITE) & ~np.isin(raw[at - 3].astype(np.int64) << 16 | last, _WHITE)]] = True
+    at = np.flatnonzero(_AFTER_BREAK[pair]) + 1
+    cut[at[cut[at - 1]]] = True  # the break stands alone
+    return np.flatnonzero(cut)
 
 
 def default_tokenizer() -> str:
@@ -67,35 +108,41 @@ class Encoder:
         self.pieces = (d.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
                        and not pre.get("add_prefix_space") and d["model"].get("type", "BPE") == "BPE" and not d["model"].get("dropout"))
         self.added = [t["content"] for t in d.get("added_tokens", [])]
-        self.starts = np.zeros(size, dtype=bool)
-        for token, i in self.tokenizer.get_vocab().items():
-            self.starts[i] = token.startswith("Ġ")
-        self.hot: dict[str, bytes] = {}
-        self.cold: dict[str, bytes] = {}
+        self.words = Tokenizer(self.tokenizer.model)  # the same model, for single words of the pre-tokenizer
+        self.bytes = np.zeros(size, dtype=np.int64)  # of every token of a byte-level vocabulary
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.bytes[i] = len(token)
+        self.hot: dict[bytes, bytes] = {}
+        self.cold: dict[bytes, bytes] = {}
         self.held = 0
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
-        """The ids of new pieces."""
-        plain, rest, out = [], [], {}
+    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of new pieces. Letters or digits behind a blank or nothing are one word to the
+        pre-tokenizer; many such words are encoded together and told apart by their bytes."""
+        words, high, rest, out = [], [], [], {}
         for p in new:
-            (plain if _PLAIN.fullmatch(p) else rest).append(p)
-        groups = [plain[at:at + 200] for at in range(0, len(plain), 200)]
-        for part, e in zip(groups, self.tokenizer.encode_batch_fast(["".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(e.ids, dtype=self.kind)
-            cut = np.flatnonzero(self.starts[ids])  # " a b c": every piece starts with a token that starts with a blank
-            if len(cut) != len(part):
+            word = p.removeprefix(b" ")
+            (words if word.isalpha() or word.isdigit() else high if _HIGH_WORD.fullmatch(p) else rest).append(p)
+        written = b"\n".join(words).decode("ascii").replace(" ", "Ġ").split("\n") if words else []
+        written += [p.decode("latin-1").translate(_WRITTEN) for p in high]
+        words += high
+        groups = range(0, len(words), 200)
+        for at, e in zip(groups, self.words.encode_batch_fast([written[at:at + 200] for at in groups], is_pretokenized=True, add_special_tokens=False)):
+            part, ids = words[at:at + 200], np.array(e.ids, dtype=self.kind)
+            upto, want = np.concatenate([[0], np.cumsum(self.bytes[ids])]), np.cumsum([0, *map(len, part)])
+            cut = np.searchsorted(upto, want)
+            if upto[-1] != want[-1] or (upto[cut] != want).any():  # a byte without a token
                 rest += part
                 continue
-            raw, step = ids.tobytes(), self.kind.itemsize
-            ends = [*(cut[1:] * step).tolist(), len(raw)]
-            out.update((p, raw[a:b]) for p, a, b in zip(part, (cut * step).tolist(), ends))
-        out.update(zip(rest, self._whole(rest)))
+            raw, cut = ids.tobytes(), (cut * self.kind.itemsize).tolist()
+            out.update((p, raw[a:z]) for p, a, z in zip(part, cut, cut[1:]))
+        out.update(zip(rest, self._whole([p.decode() for p in rest])))
         return out
 
-    def _hold(self, pieces: dict[str, bytes]) -> None:
+    def _hold(self, pieces: dict[bytes, bytes]) -> None:
         """Keep pieces. When the hot generation has reached its bytes it becomes the cold one, whose
         pieces come back as they are met again; what is not met is forgotten a generation later."""
         if self.held > CACHE_BYTES:
@@ -103,20 +150,39 @@ class Encoder:
         self.hot.update(pieces)
         self.held += sum(map(len, pieces)) + sum(map(len, pieces.values())) + _ENTRY * len(pieces)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.pieces:
-            return self._whole(texts)
-        cut = [None if _ODD.search(t) or any(a in t for a in self.added) else _PIECE.findall(t) for t in texts]
-        found = [None if c is None else list(map(self.hot.get, c)) for c in cut]
-        holes = [k for k, f in enumerate(found) if f is not None and None in f]
-        if holes:
-            missing = {p for k in holes for p, x in zip(cut[k], found[k]) if x is None}
+    def _found(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of distinct pieces."""
+        found = list(map(self.hot.get, pieces))
+        missing = [p for p, x in zip(pieces, found) if x is None]
+        if missing:
             got = {p: self.cold[p] for p in missing if p in self.cold}
-            got |= self._learn(missing - got.keys())
-            for k in holes:
-                found[k] = [got[p] if x is None else x for p, x in zip(cut[k], found[k])]
+            got |= self._learn([p for p in missing if p not in got])
+            found = [got[p] if x is None else x for p, x in zip(pieces, found)]
             self._hold(got)
-        return [self._whole([t])[0] if f is None else b"".join(f) for t, f in zip(texts, found)]
+        return found
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """The ids of every text, none of a null."""
+        col = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
+        if not self.pieces:
+            return self._whole(col.to_pylist())
+        at = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
+        if not len(col) or at[0] == at[-1]:
+            return [b""] * len(col)
+        raw = np.frombuffer(col.buffers()[2], np.uint8)[at[0]:at[-1]]
+        at = at - at[0]
+        starts = piece_starts(raw, at[:-1])
+        bounds = pa.py_buffer(np.append(starts, len(raw)).astype(np.int32))
+        pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, bounds, pa.py_buffer(raw)]).dictionary_encode()
+        bounds, data = np.frombuffer(pieces.dictionary.buffers()[1], np.int32).tolist(), pieces.dictionary.buffers()[2].to_pybytes()
+        distinct = [data[a:z] for a, z in zip(bounds, bounds[1:len(pieces.dictionary) + 1])]
+        ids = pa.array(self._found(distinct), pa.large_binary()).take(pieces.indices)
+        ends, data = np.frombuffer(ids.buffers()[1], np.int64)[np.searchsorted(starts, at)].tolist(), ids.buffers()[2].to_pybytes()
+        out = [data[a:z] for a, z in zip(ends, ends[1:])]
+        for added in self.added:  # a text that holds one goes to the tokenizer whole
+            for k in pc.indices_nonzero(pc.match_substring(col, added)).to_pylist():
+                out[k] = self._whole([col[k].as_py()])[0]
+        return out
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -124,6 +190,7 @@ _ENCODERS: dict[int, Encoder] = {}
 
 def encoder(spec: Broadcast) -> Encoder:
     """One encoder per worker and vocabulary, kept between tasks with its pieces, whose bytes are bounded."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     text = spec.value
     key = zlib.crc32(text.encode())
     if key not in _ENCODERS:
@@ -199,9 +266,11 @@ def _write(spec: Broadcast, folder: str, end_id: int, shard_ids: int):
             done.append((part, len(done), f"part-{part:05d}-{len(done):05d}.eft", *shard.close()))
 
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                ids = b.column(0).slice(at, 256).to_pylist()
-                for i, x in zip(ids, enc.encode([t or "" for t in b.column(1).slice(at, 256).to_pylist()])):
+            upto = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+            at = 0
+            while at < b.num_rows:
+                to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + BLOCK_BYTES, side="right")))
+                for i, x in zip(b.column(0).slice(at, to - at).to_pylist(), enc.encode(b.column(1).slice(at, to - at))):
                     if shard is None:
                         name = f"part-{part:05d}-{len(done):05d}.eft"
                         shard = ShardWriter(fs, f"{base}/{name}", f"{base}/_{name}.{task.taskAttemptId()}", enc.kind)
@@ -209,6 +278,7 @@ def _write(spec: Broadcast, folder: str, end_id: int, shard_ids: int):
                     if shard.n >= shard_ids:
                         close()
                         shard = None
+                at = to
         if shard is not None:
             close()
         if done:
